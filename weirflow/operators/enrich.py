@@ -22,6 +22,42 @@ def join_lookup(events: DataFrame, lookup: DataFrame, key: str, how: str = "left
     return salted_events.join(salted_lookup, [key, "_salt"], how).drop("_salt")
 
 
+def price_sales(
+    events: DataFrame, products: DataFrame, *columns: str, how: str = "left", salts: int = 1
+) -> DataFrame:
+    """Add unit price and line amount, and further ``columns`` of the products. An unknown product costs 0."""
+    amount = F.col("unit_price") * F.col("quantity")
+    price_type = products.schema["base_price"].dataType
+    if isinstance(price_type, T.DecimalType):
+        # 18 digits keep the amount in a long.
+        amount = amount.cast(T.DecimalType(18, price_type.scale))
+    return (
+        join_lookup(events, products.select("product_id", *columns, "base_price"), "product_id", how, salts)
+        .withColumn("unit_price", F.coalesce("base_price", F.lit(0)))
+        .withColumn("total_amount", amount)
+        .drop("base_price")
+    )
+
+
+def add_region(
+    df: DataFrame, customers: DataFrame, regions: DataFrame | None = None, how: str = "left", salts: int = 1
+) -> DataFrame:
+    """Add the region of the customer.
+
+    ``customers`` carries either ``region`` or a ``nation_id`` that ``regions`` resolves. A report per customer
+    does this last: its rows are fewer than the events.
+    """
+    if regions is None:
+        return join_lookup(df, customers.select("customer_id", "region"), "customer_id", how, salts)
+    with_nation = join_lookup(df, customers.select("customer_id", "nation_id"), "customer_id", how, salts)
+    return join_lookup(with_nation, regions.select("nation_id", "region"), "nation_id", how).drop("nation_id")
+
+
+def add_product(df: DataFrame, products: DataFrame, *columns: str, how: str = "left") -> DataFrame:
+    """Add columns of the products to a report per product. They need not be grouped or shuffled before."""
+    return join_lookup(df, products.select("product_id", *columns), "product_id", how)
+
+
 def enrich_sales(
     events: DataFrame,
     customers: DataFrame,
@@ -30,35 +66,12 @@ def enrich_sales(
     how: str = "left",
     salts: int = 1,
 ) -> DataFrame:
-    """Add region, product columns, unit price and line amount to sales events, batch or stream.
+    """Sales events with region, product columns, unit price and line amount, batch or stream.
 
-    ``customers`` carries either ``region`` or a ``nation_id`` that ``regions`` resolves. With ``how="left"``
-    an event without a match stays and is priced 0; with ``how="inner"`` it is dropped.
+    With ``how="left"`` an event without a match stays; with ``how="inner"`` it is dropped.
     """
-    customer_columns = ["customer_id", "region" if regions is None else "nation_id"]
-    product_columns = ["product_id", "product_name", "base_price"]
-    if "category" in products.columns:
-        product_columns.append("category")
-
-    joined = join_lookup(events, customers.select(*customer_columns), "customer_id", how, salts)
-    if regions is not None:
-        joined = join_lookup(joined, regions.select("nation_id", "region"), "nation_id", how)
-    joined = join_lookup(joined, products.select(*product_columns), "product_id", how, salts)
-
-    amount = F.col("unit_price") * F.col("quantity")
-    price_type = products.schema["base_price"].dataType
-    if isinstance(price_type, T.DecimalType):
-        # 18 digits keep the amount in a long; sums of it do not depend on the order of the rows.
-        amount = amount.cast(T.DecimalType(18, price_type.scale))
-    kept = [c for c in ("event_id", "event_time", "customer_id", "region") if c in joined.columns]
-    return (
-        joined.withColumn("unit_price", F.coalesce("base_price", F.lit(0)))
-        .withColumn("total_amount", amount)
-        .select(
-            *kept,
-            *[c for c in product_columns if c != "base_price"],
-            "quantity",
-            "unit_price",
-            "total_amount",
-        )
+    names = [c for c in ("product_name", "category") if c in products.columns]
+    placed = add_region(events, customers, regions, how, salts)
+    return price_sales(placed, products, *names, how=how, salts=salts).select(
+        *events.columns, "region", *names, "unit_price", "total_amount"
     )

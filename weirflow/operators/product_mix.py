@@ -1,4 +1,8 @@
-"""What was bought inside each customer session."""
+"""What was bought inside each customer session.
+
+``sales`` are priced sales events. Products go by their id; names and the customer's region can be added to
+the result with :mod:`weirflow.operators.enrich`.
+"""
 
 from __future__ import annotations
 
@@ -13,8 +17,7 @@ from weirflow.operators.rank import by_sales, first_n
 from weirflow.operators.sessions import join_slots, session_agg, slot_sessions, with_sessions
 from weirflow.operators.windows import with_watermark
 
-SESSION_KEYS = ("customer_id", "region")
-PRODUCT = ("product_id", "product_name")
+SESSION_KEYS = ("customer_id",)
 TOTALS = (total("quantity", "product_units"), total("total_amount", "product_revenue"))
 
 
@@ -25,7 +28,7 @@ def session_product_totals(sales: DataFrame, gap: str = "30 seconds", keys: Sequ
     """
     return (
         with_sessions(sales, keys, gap)
-        .groupBy("session_start", "session_end", *keys, *PRODUCT)
+        .groupBy("session_start", "session_end", *keys, "product_id")
         .agg(*[m.start for m in TOTALS])
     )
 
@@ -43,13 +46,13 @@ def product_slots(
     """
     return (
         with_watermark(sales, "event_time", watermark)
-        .groupBy(F.window("event_time", gap).alias("w"), *keys, *PRODUCT)
+        .groupBy(F.window("event_time", gap).alias("w"), *keys, "product_id")
         .agg(
             F.min("event_time").alias("_first"),
             F.max("event_time").alias("_last"),
             *[m.start for m in TOTALS],
         )
-        .select(F.col("w.start").alias("_slot"), *keys, *PRODUCT, "_first", "_last", *[m.name for m in TOTALS])
+        .select(F.col("w.start").alias("_slot"), *keys, "product_id", "_first", "_last", *[m.name for m in TOTALS])
     )
 
 
@@ -58,7 +61,7 @@ def totals_from_slots(slots: DataFrame, gap: str = "30 seconds", keys: Sequence[
     spans = slots.groupBy(*keys, "_slot").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
     return (
         join_slots(slots, slot_sessions(spans, keys, gap), keys)
-        .groupBy("session_start", "session_end", *keys, *PRODUCT)
+        .groupBy("session_start", "session_end", *keys, "product_id")
         .agg(*[m.merge for m in TOTALS])
     )
 
@@ -72,36 +75,34 @@ def closed_only(sessions: DataFrame, slots: DataFrame, gap: str = "30 seconds")
 def session_product_mix(totals: DataFrame, k: int = 5, keys: Sequence[str] = SESSION_KEYS) -> DataFrame:
     """The ``k`` best-selling products of each session, one row each with its position.
 
-    Equal revenue and units fall to the name and then the id, both descending.
+    Equal revenue and units fall to the id, descending.
     """
-    order = by_sales("product_revenue", "product_units")
-    order += [F.col("product_name").desc(), F.col("product_id").desc()]
+    order = [*by_sales("product_revenue", "product_units"), F.col("product_id").desc()]
     return first_n(totals, ["session_start", "session_end", *keys], order, k)
 
 
-def session_product_lists(totals: DataFrame, k: int = 5, keys: Sequence[str] = SESSION_KEYS) -> DataFrame:
-    """As :func:`session_product_mix` with one row per session and an array of ``k`` structs (r, u, n).
+def session_product_lists(mix: DataFrame, keys: Sequence[str] = SESSION_KEYS) -> DataFrame:
+    """One row per session with its products as an array of structs (r, u, n), best first.
 
-    Only the rows already ranked among the first ``k`` are collected, so an array never exceeds ``k``.
+    ``mix`` is the output of :func:`session_product_mix` with product names, so an array has at most the k
+    entries it was cut to.
     """
     item = F.struct(
+        "position",
         F.col("product_revenue").alias("r"),
         F.col("product_units").alias("u"),
         F.col("product_name").alias("n"),
-        F.col("product_id").alias("p"),
-    )
-    best = F.sort_array(F.collect_list(item), asc=False)
-    return (
-        session_product_mix(totals, k, keys)
-        .groupBy("session_start", "session_end", *keys)
-        .agg(
-            F.transform(best, lambda x: F.struct(x["r"].alias("r"), x["u"].alias("u"), x["n"].alias("n"))).alias(
-                "top_products"
-            )
-        )
     )
+    best_first = F.sort_array(F.collect_list(item))
+    shown = F.transform(best_first, lambda x: F.struct(x["r"].alias("r"), x["u"].alias("u"), x["n"].alias("n")))
+    return mix.groupBy("session_start", "session_end", *keys).agg(shown.alias("top_products"))
 
 
-def product_session_fragments(sales: DataFrame, gap: str = "30 seconds", watermark: str | None = None) -> DataFrame:
+def product_session_fragments(
+    sales: DataFrame,
+    gap: str = "30 seconds",
+    watermark: str | None = None,
+    keys: Sequence[str] = SESSION_KEYS,
+) -> DataFrame:
     """Sessions of each customer *and product*: a session here ends when that product is not bought again."""
-    return session_agg(sales, [*SESSION_KEYS, *PRODUCT], TOTALS, gap, watermark)
+    return session_agg(sales, [*keys, "product_id"], TOTALS, gap, watermark)

@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirflow.functions.money import cents, in_units
 from weirflow.functions.payload import parse_csv_lines, parse_json_values, to_json_text, to_kafka_payload
 from weirflow.functions.time import zoneless
 from weirflow.operators import fraud
-from weirflow.operators.enrich import enrich_sales
+from weirflow.operators.enrich import add_product, add_region, enrich_sales, price_sales
 from weirflow.operators.late import backdate_every_nth, late_event_audit, late_event_counts
 from weirflow.operators.product_mix import (
     product_session_fragments,
@@ -52,14 +53,9 @@ def query(build: Query) -> Query:
     return build
 
 
-def as_double(df: DataFrame, *columns: str) -> DataFrame:
-    """Exact decimal sums as doubles, for output only."""
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
-
-
 def sales(spark: SparkSession, root: str, how: str = "left") -> DataFrame:
     return enrich_sales(
-        sales_events(read_table(spark, root, "lineitem"), read_table(spark, root, "orders")),
+        order_lines(spark, root),
         customer_lookup(spark, root),
         product_lookup(spark, root),
         region_lookup(spark, root),
@@ -67,6 +63,32 @@ def sales(spark: SparkSession, root: str, how: str = "left") -> DataFrame:
     )
 
 
+def order_lines(spark: SparkSession, root: str) -> DataFrame:
+    return sales_events(read_table(spark, root, "lineitem"), read_table(spark, root, "orders"))
+
+
+def priced_lines(spark: SparkSession, root: str) -> DataFrame:
+    return price_sales(order_lines(spark, root), product_lookup(spark, root))
+
+
+def placed(df: DataFrame, root: str) -> DataFrame:
+    """A report per customer with the customers' regions."""
+    return add_region(df, customer_lookup(df.sparkSession, root), region_lookup(df.sparkSession, root))
+
+
+def named(df: DataFrame, root: str, *columns: str) -> DataFrame:
+    """A report per product with columns of the products."""
+    return add_product(df, product_lookup(df.sparkSession, root), *columns)
+
+
+def kpis(spark: SparkSession, root: str) -> DataFrame:
+    return placed(reports.session_kpis(priced_lines(spark, root), GAP), root)
+
+
+def product_mix(spark: SparkSession, root: str) -> DataFrame:
+    return session_product_mix(session_product_totals(priced_lines(spark, root), GAP))
+
+
 def actions(spark: SparkSession, root: str) -> DataFrame:
     return action_events(read_table(spark, root, "events"))
 
@@ -77,23 +99,23 @@ def card_transactions(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def enrich_sales_left(spark, root):
-    return as_double(sales(spark, root), "unit_price", "total_amount")
+    return in_units(sales(spark, root), "unit_price", "total_amount")
 
 
 @query
 def enrich_sales_inner(spark, root):
-    return as_double(sales(spark, root, "inner"), "unit_price", "total_amount")
+    return in_units(sales(spark, root, "inner"), "unit_price", "total_amount")
 
 
 @query
 def tumbling_sales_by_region_category(spark, root):
-    return as_double(reports.sales_by_region_category(sales(spark, root), WINDOW, sort=True), "revenue")
+    return in_units(reports.sales_by_region_category(sales(spark, root), WINDOW, sort=True), "revenue")
 
 
 @query
 def dashboard_first_rows(spark, root):
     """The 40 rows a console prints of the dashboard."""
-    return as_double(reports.sales_by_region_category(sales(spark, root), WINDOW, sort=True).limit(40), "revenue")
+    return in_units(reports.sales_by_region_category(sales(spark, root), WINDOW, sort=True).limit(40), "revenue")
 
 
 @query
@@ -109,44 +131,48 @@ def tumbling_count(spark, root):
 @query
 def tumbling_total_by_region(spark, root):
     totals = reports.region_totals(sales(spark, root), WINDOW, amount="total_amount")
-    return as_double(totals, "total_sales")
+    return in_units(totals, "total_sales")
 
 
 @query
 def tumbling_product_revenue(spark, root):
-    return as_double(reports.product_revenue(sales(spark, root), WINDOW), "revenue")
+    revenue = reports.product_revenue(sales(spark, root), WINDOW)
+    return in_units(named(revenue, root, "product_name", "category"), "revenue")
 
 
 @query
 def sliding_product_revenue(spark, root):
-    return as_double(reports.product_revenue(sales(spark, root), SLIDE_SIZE, SLIDE), "revenue")
+    revenue = reports.product_revenue(sales(spark, root), SLIDE_SIZE, SLIDE)
+    return in_units(named(revenue, root, "product_name", "category"), "revenue")
 
 
 @query
 def topn_products_tumbling(spark, root):
     revenue = reports.product_revenue(sales(spark, root), WINDOW)
-    return as_double(reports.top_products(revenue, sort=True), "revenue")
+    best = named(reports.top_products(revenue), root, "product_name", "category")
+    return in_units(reports.ranking_order(best), "revenue")
 
 
 @query
 def topn_products_sliding(spark, root):
     revenue = reports.product_revenue(sales(spark, root), SLIDE_SIZE, SLIDE)
-    return as_double(reports.top_products(revenue, newest_first=True, sort=True), "revenue")
+    best = named(reports.top_products(revenue), root, "product_name", "category")
+    return in_units(reports.ranking_order(best, newest_first=True), "revenue")
 
 
 @query
 def session_amount_by_user(spark, root):
-    return as_double(reports.user_session_amounts(actions(spark, root), ACTION_GAP), "session_amount")
+    return in_units(reports.user_session_amounts(actions(spark, root), ACTION_GAP), "session_amount")
 
 
 @query
 def session_kpis(spark, root):
-    return as_double(reports.session_kpis(sales(spark, root), GAP), "session_revenue")
+    return in_units(kpis(spark, root), "session_revenue")
 
 
 @query
 def session_spend_metrics(spark, root):
-    return reports.session_spend(sales(spark, root), GAP)
+    return in_units(placed(reports.session_spend(priced_lines(spark, root), GAP), root), "avg_spend")
 
 
 @query
@@ -155,54 +181,58 @@ def session_order_revenue(spark, root):
     orders = read_table(spark, root, "orders").select(
         F.col("o_orderdate").alias("event_time"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
+        cents("o_totalprice").alias("amount"),
         F.col("o_orderpriority").alias("region"),
     )
-    return as_double(reports.order_sessions(orders, GAP), "session_revenue")
+    return in_units(reports.order_sessions(orders, GAP), "session_revenue")
 
 
 @query
 def top_sessions_by_region(spark, root):
-    kpis = reports.session_kpis(sales(spark, root), GAP)
-    return as_double(reports.top_sessions(kpis, sort=True), "session_revenue")
+    return in_units(reports.top_sessions(kpis(spark, root), sort=True), "session_revenue")
 
 
 @query
 def top_sessions_exact_interval(spark, root):
-    kpis = reports.session_kpis(sales(spark, root), GAP)
-    best = reports.top_sessions(kpis, within=("session_start", "session_end", "region"), sort=True)
-    return as_double(best, "session_revenue")
+    interval = ("session_start", "session_end", "region")
+    best = reports.top_sessions(kpis(spark, root), within=interval, sort=True)
+    return in_units(best, "session_revenue")
 
 
 @query
 def avg_session_duration_by_region(spark, root):
-    return reports.average_session_duration(reports.session_kpis(sales(spark, root), GAP))
+    return reports.average_session_duration(placed(reports.customer_sessions(order_lines(spark, root), GAP), root))
 
 
 @query
 def session_product_totals_all(spark, root):
-    return as_double(session_product_totals(sales(spark, root), GAP), "product_revenue")
+    totals = session_product_totals(priced_lines(spark, root), GAP)
+    return in_units(placed(named(totals, root, "product_name"), root), "product_revenue")
 
 
 @query
 def session_product_mix_top5(spark, root):
-    return as_double(session_product_mix(session_product_totals(sales(spark, root), GAP)), "product_revenue")
+    mix = product_mix(spark, root)
+    return in_units(placed(named(mix, root, "product_name"), root), "product_revenue")
 
 
 @query
 def session_product_mix_json(spark, root):
-    lists = session_product_lists(session_product_totals(sales(spark, root), GAP))
+    mix = named(product_mix(spark, root), root, "product_name")
+    units = (F.col("product_revenue") / 100).cast("decimal(18,2)")
+    lists = placed(session_product_lists(mix.withColumn("product_revenue", units)), root)
     return to_json_text(lists, "top_products", "top_products_json")
 
 
 @query
 def session_product_fragments(spark, root):
-    return as_double(product_session_fragments(sales(spark, root), GAP), "product_revenue")
+    fragments = product_session_fragments(priced_lines(spark, root), GAP)
+    return in_units(placed(named(fragments, root, "product_name"), root), "product_revenue")
 
 
 @query
 def fraud_high_value(spark, root):
-    return as_double(fraud.high_value(card_transactions(spark, root), 200, "High Value > 200"), "amount")
+    return in_units(fraud.high_value(card_transactions(spark, root), 200_00, "High Value > 200"), "amount")
 
 
 @query
@@ -217,7 +247,7 @@ def fraud_attribute_switch(spark, root):
 
 def alert_rules(tx: DataFrame) -> DataFrame:
     return fraud.fraud_alerts(
-        fraud.high_value(tx, 200, "High Value > 200"),
+        fraud.high_value(tx, 200_00, "High Value > 200"),
         fraud.burst_activity(tx, 2, "6 hours", reason="Burst Activity > 2 txns/6 h"),
         fraud.attribute_switch(tx, gap=ACTION_GAP),
     )
@@ -225,7 +255,7 @@ def alert_rules(tx: DataFrame) -> DataFrame:
 
 @query
 def fraud_alerts(spark, root):
-    return as_double(alert_rules(card_transactions(spark, root)), "amount")
+    return in_units(alert_rules(card_transactions(spark, root)), "amount")
 
 
 def backdated(spark: SparkSession, root: str) -> DataFrame:
@@ -234,7 +264,7 @@ def backdated(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def late_events_backdated(spark, root):
-    return as_double(backdated(spark, root), "amount")
+    return in_units(backdated(spark, root), "amount")
 
 
 @query

@@ -124,8 +124,7 @@ PRODUCT_MIX = """
 mix AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY session_start, session_end, customer_id, region
-                                 ORDER BY exact_revenue DESC, product_units DESC, product_name DESC,
-                                          product_id DESC) AS "position"
+                                 ORDER BY exact_revenue DESC, product_units DESC, product_id DESC) AS "position"
     FROM product_totals
   ) WHERE "position" <= 5
 )"""
@@ -193,7 +192,7 @@ FROM in_session GROUP BY session_start, session_end, user_id""",
 SELECT * REPLACE (CAST(session_revenue AS DOUBLE) AS session_revenue) FROM kpis""",
     "session_spend_metrics": f"""{SALES_SESSIONS}
 SELECT session_start, session_end, customer_id, region,
-       CAST(sum(total_amount) AS DOUBLE) / count(total_amount) AS avg_spend, {UNITS} AS total_items
+       CAST(sum(total_amount) * 100 AS DOUBLE) / count(total_amount) / 100 AS avg_spend, {UNITS} AS total_items
 FROM in_session GROUP BY session_start, session_end, customer_id, region""",
     "session_order_revenue": f"""WITH placed AS (
   SELECT o_orderdate AS event_time, o_custkey AS customer_id, CAST(o_totalprice AS DECIMAL(12,2)) AS amount,
@@ -239,3 +238,67 @@ SELECT user_id || '|' || event_id AS key,
        '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}' AS value
 FROM events""",
 }
+
+# Streams. Append mode holds back what the watermark has not passed; it stands at the latest event time, in
+# milliseconds, less the allowed delay. A query with several watermarks goes by the slowest of them.
+
+
+def passed(delay: str, end: str, source: str = "events", time: str = "ts") -> str:
+    return f"{end} <= (SELECT date_trunc('milliseconds', max({time})) - INTERVAL '{delay}' FROM {source})"
+
+
+ACTION_COUNTS = tumbling("actions", "action", "count(*) AS count", "1 hour")
+
+LINES = """
+lines AS (
+  SELECT user_id, date_trunc('second', ts) AS event_time, event_type AS action, floor(value) AS amount
+  FROM events WHERE event_id % 97 <> 0 AND event_id % 101 <> 0
+)"""
+
+# The slots a 30-day watermark has closed, and the sessions that ended before the last of them did.
+CLOSED_UNTIL = f"""(
+  SELECT max({bucket('30 days')} + INTERVAL '30 days') FROM sales
+  WHERE {passed('30 days', bucket('30 days') + " + INTERVAL '30 days'", 'sales', 'event_time')}
+)"""
+
+ORACLE.update(
+    {
+        "stream_tumbling_complete": f"WITH {ACTIONS} {ACTION_COUNTS}",
+        "stream_tumbling_append": f"""WITH {ACTIONS}, counts AS ({ACTION_COUNTS})
+SELECT * FROM counts WHERE {passed('30 minutes', 'window_end')}""",
+        "stream_tumbling_update": f"WITH {ACTIONS} {ACTION_COUNTS}",
+        "stream_session_append": f"""WITH {USER_SESSIONS}
+SELECT session_start, session_end, user_id, CAST(sum(amount) AS DOUBLE) AS session_amount
+FROM in_session WHERE {passed('30 minutes', 'session_end')} GROUP BY session_start, session_end, user_id""",
+        "stream_sales_dashboard": f"WITH {LEFT_SALES} {DASHBOARD}",
+        "stream_topn_snapshot": ORACLE["topn_products_sliding"],
+        "stream_top_sessions": ORACLE["top_sessions_by_region"],
+        "stream_session_product_mix": f"""{SALES_SESSIONS}, {PRODUCT_TOTALS}, {PRODUCT_MIX}
+SELECT * EXCLUDE (exact_revenue) REPLACE (CAST("position" AS INTEGER) AS "position"),
+       CAST(exact_revenue AS DOUBLE) AS product_revenue
+FROM mix WHERE session_end <= {CLOSED_UNTIL}""",
+        "stream_fraud_alerts": f"""WITH {USER_SESSIONS}, high AS ({HIGH_VALUE}),
+burst AS (SELECT * FROM ({BURST}) WHERE {passed('5 minutes', 'window_end')}),
+switch AS (SELECT * FROM ({SWITCH}) WHERE {passed('5 minutes', 'session_end')}) {ALERTS}""",
+        "stream_late_enrichment": f"""WITH {SALES.format(how='')} {ENRICHED.replace(
+            'event_time,',
+            "CASE WHEN product_id % 50 = 0 THEN event_time - INTERVAL 90 SECOND ELSE event_time END AS event_time,",
+        )}""",
+        "stream_line_sessions": f"""WITH {LINES}, {sessions('lines', 'user_id', '30 minutes')}
+SELECT session_start, session_end, CAST(user_id AS VARCHAR) AS user_id,
+       CAST(sum(amount) AS BIGINT) AS session_amount
+FROM in_session WHERE {passed('30 minutes', 'session_end', 'lines', 'event_time')}
+GROUP BY session_start, session_end, user_id""",
+        "stream_line_counts": f"""WITH {LINES},
+counts AS ({tumbling('lines', 'action', 'count(*) AS count', '1 hour')})
+SELECT * FROM counts WHERE {passed('30 minutes', 'window_end', 'lines', 'event_time')}""",
+        "stream_json_sessions": f"""WITH sent AS (
+  SELECT date_trunc('milliseconds', ts) AS event_time, CAST(user_id AS INTEGER) AS customer_id, value AS amount,
+         event_type AS region
+  FROM events
+), {sessions('sent', 'customer_id, region', '30 minutes')}
+SELECT session_start, session_end, customer_id, region, count(*) AS event_count, round(sum(amount), 2) AS session_revenue
+FROM in_session WHERE {passed('1 hour', 'session_end')}
+GROUP BY session_start, session_end, customer_id, region""",
+    }
+)

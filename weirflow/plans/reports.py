@@ -1,6 +1,7 @@
 """The reports: operators put together with their usual parameters.
 
-Each takes enriched sales (or actions) as a batch table or a stream. ``sort`` gives the order the report is
+Each takes enriched sales (or actions) as a batch table or a stream. A key that a lookup determines, such as
+the region of a customer or the name of a product, is best added to the finished report. ``sort`` gives the order the report is
 read in; a stream can be sorted in complete mode only.
 """
 
@@ -18,7 +19,7 @@ from weirflow.operators.sessions import session_agg
 from weirflow.operators.windows import sliding_agg, tumbling_agg
 
 SALES = (total("total_amount", "revenue"), total("quantity", "units"))
-PRODUCT_KEYS = ("region", "product_id", "product_name", "category")
+PRODUCT_KEYS = ("region", "product_id")
 
 
 def sales_by_region_category(
@@ -32,40 +33,50 @@ def sales_by_region_category(
 def product_revenue(
     sales: DataFrame, size: str = "1 minute", slide: str | None = None, watermark: str = "30 seconds"
 ) -> DataFrame:
-    """Revenue and units per window, region and product."""
+    """Revenue and units per window, region and product id."""
     if slide is None:
         return tumbling_agg(sales, PRODUCT_KEYS, SALES, size, watermark)
     return sliding_agg(sales, PRODUCT_KEYS, SALES, size, slide, watermark)
 
 
-def top_products(revenue: DataFrame, n: int = 5, newest_first: bool = False, sort: bool = False) -> DataFrame:
+def top_products(revenue: DataFrame, n: int = 5) -> DataFrame:
     """The best-selling products of each window and region, from a finished :func:`product_revenue` table."""
-    best = top_n(revenue, ["window_start", "window_end", "region"], by_sales(), n)
-    if not sort:
-        return best
+    return top_n(revenue, ["window_start", "window_end", "region"], by_sales(), n)
+
+
+def ranking_order(best: DataFrame, newest_first: bool = False) -> DataFrame:
+    """Top-N rows in reading order: by window, region and rank."""
     start = F.col("window_start")
     return best.orderBy(start.desc() if newest_first else start.asc(), "region", "rank")
 
 
-def session_kpis(sales: DataFrame, gap: str = "30 seconds", watermark: str = "2 minutes") -> DataFrame:
+def session_kpis(
+    sales: DataFrame,
+    gap: str = "30 seconds",
+    watermark: str = "2 minutes",
+    keys: Sequence[str] = ("customer_id",),
+) -> DataFrame:
     """Events, units and revenue of each customer session."""
     measures = (row_count("events_count"), total("quantity", "units"), total("total_amount", "session_revenue"))
-    kpis = session_agg(sales, ["customer_id", "region"], measures, gap, watermark)
+    kpis = session_agg(sales, keys, measures, gap, watermark)
     return kpis.withColumn("session_revenue", F.round("session_revenue", 2))
 
 
-def session_spend(sales: DataFrame, gap: str = "30 seconds", watermark: str = "2 minutes") -> DataFrame:
+def session_spend(
+    sales: DataFrame,
+    gap: str = "30 seconds",
+    watermark: str = "2 minutes",
+    keys: Sequence[str] = ("customer_id",),
+) -> DataFrame:
     """Average line amount and number of items of each customer session."""
     measures = (
         total("total_amount", "spend"),
         value_count("total_amount", "priced_lines"),
         total("quantity", "total_items"),
     )
-    totals = session_agg(sales, ["customer_id", "region"], measures, gap, watermark)
+    totals = session_agg(sales, keys, measures, gap, watermark)
     average = F.col("spend").cast("double") / F.col("priced_lines")
-    return totals.select(
-        "session_start", "session_end", "customer_id", "region", average.alias("avg_spend"), "total_items"
-    )
+    return totals.select("session_start", "session_end", *keys, average.alias("avg_spend"), "total_items")
 
 
 def top_sessions(kpis: DataFrame, n: int = 5, within: Sequence[str] = ("region",), sort: bool = False) -> DataFrame:
@@ -80,6 +91,11 @@ def top_sessions(kpis: DataFrame, n: int = 5, within: Sequence[str] = ("region",
     return best.orderBy("session_start", "region", "rank") if sort else best
 
 
+def customer_sessions(events: DataFrame, gap: str = "30 seconds", watermark: str = "2 minutes") -> DataFrame:
+    """Start and end of each customer session."""
+    return session_agg(events, ["customer_id"], (), gap, watermark)
+
+
 def average_session_duration(sessions: DataFrame) -> DataFrame:
     """Mean session length per region in seconds."""
     seconds = epoch_seconds(F.col("session_end")) - epoch_seconds(F.col("session_start"))

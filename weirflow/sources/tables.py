@@ -1,15 +1,24 @@
-"""The stored tables, and the sales and action events read from them."""
+"""The stored tables, and the sales and action events read from them. Money is in cents."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from weirflow.functions.money import cents
 from weirflow.functions.time import event_clock
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    """A stored table. Its schema is read from a file footer once per application, not once per query."""
+    path = f"{root}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _schemas:
+        _schemas[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[known]).parquet(path)
 
 
 def stream_table(spark: SparkSession, root: str, name: str, files_per_batch: int | None = None) -> DataFrame:
@@ -43,7 +52,7 @@ def product_lookup(spark: SparkSession, root: str) -> DataFrame:
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        F.col("p_retailprice").cast("decimal(12,2)").alias("base_price"),
+        cents("p_retailprice").alias("base_price"),
     )
 
 
@@ -69,7 +78,7 @@ def action_events(events: DataFrame) -> DataFrame:
         F.col("ts").alias("event_time"),
         "user_id",
         F.col("event_type").alias("action"),
-        F.col("value").cast("decimal(12,2)").alias("amount"),
+        cents("value").alias("amount"),
     )
     return event_clock(actions)
 
@@ -80,7 +89,7 @@ def transactions(events: DataFrame) -> DataFrame:
         events.select(
             F.col("event_id").alias("transaction_id"),
             "user_id",
-            F.col("value").cast("decimal(12,2)").alias("amount"),
+            cents("value").alias("amount"),
             F.col("event_type").alias("region"),
             F.col("ts").alias("event_time"),
         )
