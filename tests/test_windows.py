@@ -1,0 +1,83 @@
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+from helpers import at, order, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from weirflow.functions.measures import highest, lowest, row_count, total, value_count
+from weirflow.functions.time import duration
+from weirflow.operators.windows import sliding_agg, tumbling_agg
+
+MEASURES = (
+    total("v", "v"), row_count("n"), value_count("v", "n_v"), lowest("v", "low"), highest("v", "high"),
+)
+SCHEMA = "event_time timestamp_ntz, k string, v bigint"
+EPOCH = datetime(1970, 1, 1)
+slow = settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+
+events_strategy = st.lists(
+    st.tuples(
+        st.one_of(st.none(), st.integers(-100, 400).map(lambda s: EPOCH + timedelta(seconds=s / 2))),
+        st.sampled_from(["a", "b", None]),
+        st.one_of(st.none(), st.integers(-5, 5)),
+    ),
+    max_size=30,
+)
+
+
+def brute_force(events, size, slide):
+    groups = defaultdict(list)
+    for time, key, value in events:
+        if time is None:
+            continue
+        start = EPOCH + (time - EPOCH) // slide * slide
+        while start + size > time:
+            groups[start, start + size, key].append(value)
+            start -= slide
+    out = []
+    for key, values in groups.items():
+        known = [v for v in values if v is not None]
+        low, high = (min(known), max(known)) if known else (None, None)
+        out.append((*key, sum(known) if known else None, len(values), len(known), low, high))
+    return sorted(out, key=order)
+
+
+@slow
+@given(events_strategy)
+def test_windows_against_brute_force(spark, events):
+    df = spark.createDataFrame(events, SCHEMA)
+    minute, ten = timedelta(minutes=1), timedelta(seconds=10)
+    assert rows(tumbling_agg(df, ["k"], MEASURES, "1 minute")) == brute_force(events, minute, minute)
+    expected = brute_force(events, minute, ten)
+    assert rows(sliding_agg(df, ["k"], MEASURES, "1 minute", "10 seconds")) == expected
+    assert rows(sliding_agg(df, ["k"], MEASURES, "1 minute", "10 seconds", panes=False)) == expected
+
+
+def test_slide_that_does_not_divide_the_size(spark):
+    events = [(EPOCH + timedelta(seconds=s), "a", s) for s in range(0, 200, 3)]
+    df = spark.createDataFrame(events, SCHEMA)
+    expected = brute_force(events, timedelta(seconds=60), timedelta(seconds=25))
+    assert rows(sliding_agg(df, ["k"], MEASURES, "60 seconds", "25 seconds")) == expected
+
+
+def test_windows_are_half_open_and_skip_null_times(spark):
+    df = spark.createDataFrame([(at("10:00"), "a", 1), (at("10:05"), "a", 2), (None, "a", 3)], SCHEMA)
+    assert rows(tumbling_agg(df, [], [total("v", "v")], "5 minutes")) == [
+        (at("10:00"), at("10:05"), 1),
+        (at("10:05"), at("10:10"), 2),
+    ]
+
+
+def test_each_event_lies_in_six_windows(spark):
+    df = spark.createDataFrame([(at("10:00:05"), "a", 1)], SCHEMA)
+    assert sliding_agg(df, ["k"], MEASURES, "1 minute", "10 seconds").count() == 6
+
+
+def test_duration():
+    assert duration("1 day 12 hours") == timedelta(hours=36)
+    assert duration("90 Seconds") == timedelta(seconds=90)
+    for text in ("1 month", "soon", "", "1"):
+        with pytest.raises(ValueError):
+            duration(text)
