@@ -2,8 +2,9 @@ from decimal import Decimal
 
 import pytest
 from helpers import at, rows
+from pyspark.sql import functions as F
 
-from weirflow.operators.enrich import add_product, add_region, enrich_sales, join_lookup
+from weirflow.operators.enrich import add_product, add_region, enrich_sales, hot_keys, join_lookup
 from weirflow.sources.schemas import CUSTOMER, PRODUCT, RAW_SALE
 
 
@@ -58,10 +59,26 @@ def test_products_without_category(events, customers, products):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salting_changes_nothing(events, customers, products, how):
-    assert rows(enrich_sales(events, customers, products, how=how, salts=7)) == rows(
-        enrich_sales(events, customers, products, how=how)
-    )
+def test_spreading_hot_keys_changes_nothing(events, customers, products, how):
+    many = events.unionAll(events).unionAll(events)
+    hot_customers, hot_products = hot_keys(many, "customer_id", 0.3), hot_keys(many, "product_id", 0.3)
+    assert rows(hot_customers) == [(1,)] and rows(hot_products) == [(11,)]
+    spread = enrich_sales(many, customers, products, None, how, hot_customers, hot_products)
+    assert rows(spread) == rows(enrich_sales(many, customers, products, how=how))
+
+
+def test_hot_key_is_spread(spark):
+    events = spark.range(1000).selectExpr("if(id < 900, 1, id) as k", "id as v")
+    lookup = spark.range(1000).selectExpr("id as k", "id * 2 as w")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = join_lookup(events, lookup, "k", "inner", hot_keys(events, "k", 0.1), 16)
+        sizes = [r[0] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*")).select("count(1)").collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 1000 and max(sizes) < 600
 
 
 def test_decimal_prices_stay_exact(events, customers, products):

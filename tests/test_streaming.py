@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from weirflow.functions.payload import parse_csv_lines
 from weirflow.functions.time import zoneless
 from weirflow.operators.enrich import enrich_sales
+from weirflow.operators.product_mix import product_session_fragments
 from weirflow.plans import reports
-from weirflow.plans.catalog import QUERIES
-from weirflow.plans.streams import stream_table
+from weirflow.plans.catalog import sales
+from weirflow.plans.streams import sales_stream, stream_table
 from weirflow.session import work_dir
 from weirflow.sources.schemas import CUSTOMER, PRODUCT, RAW_SALE, USER_ACTION
 from weirflow.sources.streams import (
@@ -200,13 +201,14 @@ def test_stateless_enrichment_of_a_json_folder(spark, tmp_path):
     customers = spark.createDataFrame([(1, "Ann", "East", "f")], CUSTOMER)
     products = spark.createDataFrame([(11, "pen", "office", "desk", 1.5)], PRODUCT)
     events = json_folder(spark, str(tmp_path / "in"), RAW_SALE, 1)
-    for how, salts, expected in (("left", 1, 2), ("left", 4, 2), ("inner", 1, 1)):
+    hot = spark.createDataFrame([(1,), (5,)], "customer_id int")
+    for how, hot_customers, expected in (("left", None, 2), ("left", hot, 2), ("inner", None, 1), ("inner", hot, 1)):
+        name = f"{how}-{hot_customers is None}"
         run_stream(
-            enrich_sales(events, customers, products, how=how, salts=salts), "append", "parquet",
-            checkpoint=str(tmp_path / f"cp-{how}-{salts}"), path=str(tmp_path / f"out-{how}-{salts}"),
-            available_now=True,
+            enrich_sales(events, customers, products, how=how, hot_customers=hot_customers), "append", "parquet",
+            checkpoint=str(tmp_path / f"cp-{name}"), path=str(tmp_path / f"out-{name}"), available_now=True,
         )
-        assert spark.read.parquet(str(tmp_path / f"out-{how}-{salts}")).count() == expected
+        assert spark.read.parquet(str(tmp_path / f"out-{name}")).count() == expected
 
 
 def test_several_queries_and_stop_all(spark, tmp_path):
@@ -313,7 +315,23 @@ def test_jdbc_writer_appends_with_the_batch_number(spark):
     assert calls == ["epoch_id", ("jdbc:x", "alerts", "append", {"user": "u"})]
 
 
-def test_complete_stream_equals_batch(spark, small):
-    assert rows(QUERIES["stream_tumbling_complete"](spark, small)) == rows(
-        reports.action_counts(action_events(read_table(spark, small, "events")), "1 hour")
+@pytest.mark.parametrize(
+    "report",
+    [
+        lambda s: reports.sales_by_region_category(s, "30 days"),
+        lambda s: reports.product_revenue(s, "30 days"),
+        lambda s: reports.product_revenue(s, "28 days", "7 days"),
+        lambda s: reports.region_totals(s, "30 days", amount="total_amount"),
+        lambda s: reports.session_kpis(s, "30 days"),
+        lambda s: reports.session_spend(s, "30 days"),
+        lambda s: product_session_fragments(s, "30 days", "1 day"),
+    ],
+)
+def test_complete_stream_equals_batch(spark, small, report):
+    out = work_dir(spark, "parity")
+    write = snapshot_writer(f"{out}/rows")
+    run_stream(
+        report(sales_stream(spark, small)), "complete", "batch", checkpoint=f"{out}/checkpoint", on_batch=write,
+        available_now=True,
     )
+    assert rows(zoneless(read_snapshot(spark, f"{out}/rows"))) == rows(report(sales(spark, small)))

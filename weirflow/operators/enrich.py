@@ -7,23 +7,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def join_lookup(events: DataFrame, lookup: DataFrame, key: str, how: str = "left", salts: int = 1) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, share: float = 0.001) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows; there are fewer than ``1 / share`` of them."""
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col(key).isNotNull() & (F.col("_n") > rows * F.lit(share))).select(key)
+
+
+def join_lookup(
+    events: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "left",
+    hot: DataFrame | None = None,
+    salts: int = 64,
+) -> DataFrame:
     """Join events with a table that holds each ``key`` at most once.
 
     No broadcast is forced. Catalyst broadcasts the lookup while its size is below
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides beyond that, where adaptive execution
-    splits a hot key. Streams run without adaptive execution: for a stream with a lookup too large to
-    broadcast, ``salts`` spreads every key over that many partitions.
+    splits a hot key.
+
+    A stateful stream runs without adaptive execution. For a stream with a lookup too large to broadcast,
+    ``hot`` names the hot keys, as :func:`hot_keys` finds them in the stored table: their events, and those
+    without a key, are spread over ``salts`` partitions, and only their lookup rows are repeated.
     """
-    if salts <= 1:
+    if hot is None:
         return events.join(lookup, key, how)
-    salted_events = events.withColumn("_salt", F.pmod(F.xxhash64(*events.columns), F.lit(salts)).cast("int"))
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_events.join(salted_lookup, [key, "_salt"], how).drop("_salt")
+    # hot_keys bounds the size of this table.
+    marks = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
+    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
+    salt = F.pmod(F.xxhash64(*events.columns), F.lit(salts)).cast("int")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_events = events.join(marks, key, "left").withColumn("_salt", F.when(spread, salt).otherwise(0))
+    salted_lookup = lookup.join(marks, key, "left").withColumn("_salt", F.explode(copies))
+    return salted_events.drop("_hot").join(salted_lookup.drop("_hot"), [key, "_salt"], how).drop("_salt")
 
 
 def price_sales(
-    events: DataFrame, products: DataFrame, *columns: str, how: str = "left", salts: int = 1
+    events: DataFrame, products: DataFrame, *columns: str, how: str = "left", hot: DataFrame | None = None
 ) -> DataFrame:
     """Add unit price and line amount, and further ``columns`` of the products. An unknown product costs 0."""
     amount = F.col("unit_price") * F.col("quantity")
@@ -32,7 +54,7 @@ def price_sales(
         # 18 digits keep the amount in a long.
         amount = amount.cast(T.DecimalType(18, price_type.scale))
     return (
-        join_lookup(events, products.select("product_id", *columns, "base_price"), "product_id", how, salts)
+        join_lookup(events, products.select("product_id", *columns, "base_price"), "product_id", how, hot)
         .withColumn("unit_price", F.coalesce("base_price", F.lit(0)))
         .withColumn("total_amount", amount)
         .drop("base_price")
@@ -40,7 +62,11 @@ def price_sales(
 
 
 def add_region(
-    df: DataFrame, customers: DataFrame, regions: DataFrame | None = None, how: str = "left", salts: int = 1
+    df: DataFrame,
+    customers: DataFrame,
+    regions: DataFrame | None = None,
+    how: str = "left",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add the region of the customer.
 
@@ -48,8 +74,8 @@ def add_region(
     does this last: its rows are fewer than the events.
     """
     if regions is None:
-        return join_lookup(df, customers.select("customer_id", "region"), "customer_id", how, salts)
-    with_nation = join_lookup(df, customers.select("customer_id", "nation_id"), "customer_id", how, salts)
+        return join_lookup(df, customers.select("customer_id", "region"), "customer_id", how, hot)
+    with_nation = join_lookup(df, customers.select("customer_id", "nation_id"), "customer_id", how, hot)
     return join_lookup(with_nation, regions.select("nation_id", "region"), "nation_id", how).drop("nation_id")
 
 
@@ -64,14 +90,15 @@ def enrich_sales(
     products: DataFrame,
     regions: DataFrame | None = None,
     how: str = "left",
-    salts: int = 1,
+    hot_customers: DataFrame | None = None,
+    hot_products: DataFrame | None = None,
 ) -> DataFrame:
     """Sales events with region, product columns, unit price and line amount, batch or stream.
 
     With ``how="left"`` an event without a match stays; with ``how="inner"`` it is dropped.
     """
     names = [c for c in ("product_name", "category") if c in products.columns]
-    placed = add_region(events, customers, regions, how, salts)
-    return price_sales(placed, products, *names, how=how, salts=salts).select(
+    placed = add_region(events, customers, regions, how, hot_customers)
+    return price_sales(placed, products, *names, how=how, hot=hot_products).select(
         *events.columns, "region", *names, "unit_price", "total_amount"
     )

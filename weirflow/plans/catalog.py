@@ -43,14 +43,12 @@ WINDOW, SLIDE_SIZE, SLIDE, GAP = "30 days", "28 days", "7 days", "30 days"
 ACTION_GAP = "30 minutes"
 
 
-def query(build: Query) -> Query:
-    """Register a query under its function name."""
+def query(name: str) -> Callable[[Query], Query]:
+    def register(build: Query) -> Query:
+        QUERIES[name] = lambda spark, root: build(configure(spark), root)
+        return build
 
-    def run(spark: SparkSession, root: str) -> DataFrame:
-        return build(configure(spark), root)
-
-    QUERIES[build.__name__] = run
-    return build
+    return register
 
 
 def sales(spark: SparkSession, root: str, how: str = "left") -> DataFrame:
@@ -97,85 +95,85 @@ def card_transactions(spark: SparkSession, root: str) -> DataFrame:
     return transactions(read_table(spark, root, "events"))
 
 
-@query
+@query("enrich_sales")
 def enrich_sales_left(spark, root):
     return in_units(sales(spark, root), "unit_price", "total_amount")
 
 
-@query
+@query("enrich_sales_inner")
 def enrich_sales_inner(spark, root):
     return in_units(sales(spark, root, "inner"), "unit_price", "total_amount")
 
 
-@query
+@query("tumbling_sales_by_region_category")
 def tumbling_sales_by_region_category(spark, root):
     return in_units(reports.sales_by_region_category(sales(spark, root), WINDOW, sort=True), "revenue")
 
 
-@query
+@query("dashboard_first_rows")
 def dashboard_first_rows(spark, root):
     """The 40 rows a console prints of the dashboard."""
     return in_units(reports.sales_by_region_category(sales(spark, root), WINDOW, sort=True).limit(40), "revenue")
 
 
-@query
+@query("tumbling_count_by_action")
 def tumbling_count_by_action(spark, root):
     return reports.action_counts(actions(spark, root), "1 hour")
 
 
-@query
+@query("tumbling_count")
 def tumbling_count(spark, root):
     return reports.event_counts(actions(spark, root), "1 hour")
 
 
-@query
+@query("tumbling_total_by_region")
 def tumbling_total_by_region(spark, root):
     totals = reports.region_totals(sales(spark, root), WINDOW, amount="total_amount")
     return in_units(totals, "total_sales")
 
 
-@query
+@query("tumbling_product_revenue")
 def tumbling_product_revenue(spark, root):
     revenue = reports.product_revenue(sales(spark, root), WINDOW)
     return in_units(named(revenue, root, "product_name", "category"), "revenue")
 
 
-@query
+@query("sliding_product_revenue")
 def sliding_product_revenue(spark, root):
     revenue = reports.product_revenue(sales(spark, root), SLIDE_SIZE, SLIDE)
     return in_units(named(revenue, root, "product_name", "category"), "revenue")
 
 
-@query
+@query("topn_products_tumbling")
 def topn_products_tumbling(spark, root):
     revenue = reports.product_revenue(sales(spark, root), WINDOW)
     best = named(reports.top_products(revenue), root, "product_name", "category")
     return in_units(reports.ranking_order(best), "revenue")
 
 
-@query
+@query("topn_products_sliding")
 def topn_products_sliding(spark, root):
     revenue = reports.product_revenue(sales(spark, root), SLIDE_SIZE, SLIDE)
     best = named(reports.top_products(revenue), root, "product_name", "category")
     return in_units(reports.ranking_order(best, newest_first=True), "revenue")
 
 
-@query
+@query("session_amount_by_user")
 def session_amount_by_user(spark, root):
     return in_units(reports.user_session_amounts(actions(spark, root), ACTION_GAP), "session_amount")
 
 
-@query
+@query("session_kpis")
 def session_kpis(spark, root):
     return in_units(kpis(spark, root), "session_revenue")
 
 
-@query
+@query("session_spend_metrics")
 def session_spend_metrics(spark, root):
     return in_units(placed(reports.session_spend(priced_lines(spark, root), GAP), root), "avg_spend")
 
 
-@query
+@query("session_order_revenue")
 def session_order_revenue(spark, root):
     """Sessions of order-amount events: one event per order."""
     orders = read_table(spark, root, "orders").select(
@@ -187,36 +185,36 @@ def session_order_revenue(spark, root):
     return in_units(reports.order_sessions(orders, GAP), "session_revenue")
 
 
-@query
+@query("top_sessions_by_region")
 def top_sessions_by_region(spark, root):
     return in_units(reports.top_sessions(kpis(spark, root), sort=True), "session_revenue")
 
 
-@query
+@query("top_sessions_exact_interval")
 def top_sessions_exact_interval(spark, root):
     interval = ("session_start", "session_end", "region")
     best = reports.top_sessions(kpis(spark, root), within=interval, sort=True)
     return in_units(best, "session_revenue")
 
 
-@query
+@query("avg_session_duration_by_region")
 def avg_session_duration_by_region(spark, root):
     return reports.average_session_duration(placed(reports.customer_sessions(order_lines(spark, root), GAP), root))
 
 
-@query
+@query("session_product_totals")
 def session_product_totals_all(spark, root):
     totals = session_product_totals(priced_lines(spark, root), GAP)
     return in_units(placed(named(totals, root, "product_name"), root), "product_revenue")
 
 
-@query
+@query("session_product_mix")
 def session_product_mix_top5(spark, root):
     mix = product_mix(spark, root)
     return in_units(placed(named(mix, root, "product_name"), root), "product_revenue")
 
 
-@query
+@query("session_product_mix_json")
 def session_product_mix_json(spark, root):
     mix = named(product_mix(spark, root), root, "product_name")
     units = (F.col("product_revenue") / 100).cast("decimal(18,2)")
@@ -224,23 +222,23 @@ def session_product_mix_json(spark, root):
     return to_json_text(lists, "top_products", "top_products_json")
 
 
-@query
+@query("session_product_fragments")
 def session_product_fragments(spark, root):
     fragments = product_session_fragments(priced_lines(spark, root), GAP)
     return in_units(placed(named(fragments, root, "product_name"), root), "product_revenue")
 
 
-@query
+@query("fraud_high_value")
 def fraud_high_value(spark, root):
     return in_units(fraud.high_value(card_transactions(spark, root), 200_00, "High Value > 200"), "amount")
 
 
-@query
+@query("fraud_burst")
 def fraud_burst(spark, root):
     return fraud.burst_activity(card_transactions(spark, root), 2, "6 hours", reason="Burst Activity > 2 txns/6 h")
 
 
-@query
+@query("fraud_attribute_switch")
 def fraud_attribute_switch(spark, root):
     return fraud.attribute_switch(card_transactions(spark, root), gap=ACTION_GAP)
 
@@ -253,7 +251,7 @@ def alert_rules(tx: DataFrame) -> DataFrame:
     )
 
 
-@query
+@query("fraud_alerts")
 def fraud_alerts(spark, root):
     return in_units(alert_rules(card_transactions(spark, root)), "amount")
 
@@ -262,18 +260,18 @@ def backdated(spark: SparkSession, root: str) -> DataFrame:
     return backdate_every_nth(actions(spark, root), 50, "90 minutes")
 
 
-@query
+@query("late_events_backdated")
 def late_events_backdated(spark, root):
     return in_units(backdated(spark, root), "amount")
 
 
-@query
+@query("late_event_audit")
 def late_event_status(spark, root):
     audit = late_event_audit(backdated(spark, root), 100, "30 minutes", "1 hour")
     return audit.select("event_id", "event_time", "batch_id", "window_end", "watermark", "status")
 
 
-@query
+@query("late_event_counts")
 def late_event_summary(spark, root):
     return late_event_counts(late_event_audit(backdated(spark, root), 100, "30 minutes", "1 hour"))
 
@@ -291,19 +289,19 @@ def event_lines(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-@query
+@query("parse_event_lines")
 def parse_event_lines(spark, root):
     return zoneless(parse_csv_lines(event_lines(spark, root), USER_ACTION))
 
 
-@query
+@query("parse_event_json")
 def parse_event_json(spark, root):
     """The ``props`` of each event, parsed from their bytes as a Kafka value would be."""
     messages = read_table(spark, root, "events").select(F.col("props").cast("binary").alias("value"))
     return parse_json_values(messages, schema("k int"))
 
 
-@query
+@query("kafka_payload")
 def kafka_payload(spark, root):
     events = read_table(spark, root, "events").select("event_id", "user_id", "event_type")
     return to_kafka_payload(events, ["user_id", "event_id"])

@@ -172,7 +172,7 @@ ENRICHED = """SELECT event_time, customer_id, region, product_id, product_name,
        CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_amount AS DOUBLE) AS total_amount FROM sales"""
 
 ORACLE: dict[str, str] = {
-    "enrich_sales_left": f"WITH {LEFT_SALES} {ENRICHED}",
+    "enrich_sales": f"WITH {LEFT_SALES} {ENRICHED}",
     "enrich_sales_inner": f"WITH {SALES.format(how='')} {ENRICHED}",
     "tumbling_sales_by_region_category": f"WITH {LEFT_SALES} {DASHBOARD}",
     "dashboard_first_rows": f"WITH {LEFT_SALES} {DASHBOARD} ORDER BY window_start, region, category LIMIT 40",
@@ -206,9 +206,9 @@ FROM in_session GROUP BY session_start, session_end, customer_id, region""",
     "top_sessions_exact_interval": top_sessions("session_start, session_end, region"),
     "avg_session_duration_by_region": f"""{KPIS}
 SELECT region, avg(epoch(session_end) - epoch(session_start)) AS avg_session_s FROM kpis GROUP BY region""",
-    "session_product_totals_all": f"""{SALES_SESSIONS}, {PRODUCT_TOTALS}
+    "session_product_totals": f"""{SALES_SESSIONS}, {PRODUCT_TOTALS}
 SELECT * EXCLUDE (exact_revenue), CAST(exact_revenue AS DOUBLE) AS product_revenue FROM product_totals""",
-    "session_product_mix_top5": f"""{SALES_SESSIONS}, {PRODUCT_TOTALS}, {PRODUCT_MIX}
+    "session_product_mix": f"""{SALES_SESSIONS}, {PRODUCT_TOTALS}, {PRODUCT_MIX}
 SELECT * EXCLUDE (exact_revenue) REPLACE (CAST("position" AS INTEGER) AS "position"),
        CAST(exact_revenue AS DOUBLE) AS product_revenue FROM mix""",
     "session_product_mix_json": f"""{SALES_SESSIONS}, {PRODUCT_TOTALS}, {PRODUCT_MIX}
@@ -224,8 +224,8 @@ SELECT * EXCLUDE (exact_revenue), CAST(exact_revenue AS DOUBLE) AS product_reven
     "fraud_attribute_switch": f"WITH {USER_SESSIONS} {SWITCH}",
     "fraud_alerts": f"WITH {USER_SESSIONS}, high AS ({HIGH_VALUE}), burst AS ({BURST}), switch AS ({SWITCH}) {ALERTS}",
     "late_events_backdated": f"WITH {BACKDATED} SELECT * FROM backdated",
-    "late_event_status": f"{AUDIT} SELECT * FROM status",
-    "late_event_summary": f"{AUDIT} SELECT status, count(*) AS events FROM status GROUP BY status",
+    "late_event_audit": f"{AUDIT} SELECT * FROM status",
+    "late_event_counts": f"{AUDIT} SELECT status, count(*) AS events FROM status GROUP BY status",
     "parse_event_lines": """
 SELECT CAST(user_id AS VARCHAR) AS user_id,
        CASE WHEN event_id % 101 <> 0 AND event_id % 97 <> 0 THEN date_trunc('second', ts) END AS event_time,
@@ -271,8 +271,12 @@ SELECT * FROM counts WHERE {passed('30 minutes', 'window_end')}""",
 SELECT session_start, session_end, user_id, CAST(sum(amount) AS DOUBLE) AS session_amount
 FROM in_session WHERE {passed('30 minutes', 'session_end')} GROUP BY session_start, session_end, user_id""",
         "stream_sales_dashboard": f"WITH {LEFT_SALES} {DASHBOARD}",
+        "stream_topn_tumbling": ORACLE["topn_products_tumbling"],
         "stream_topn_snapshot": ORACLE["topn_products_sliding"],
         "stream_top_sessions": ORACLE["top_sessions_by_region"],
+        "stream_avg_session_duration": f"""{KPIS}
+SELECT region, avg(epoch(session_end) - epoch(session_start)) AS avg_session_s FROM kpis
+WHERE {passed('30 days', 'session_end', 'sales', 'event_time')} GROUP BY region""",
         "stream_session_product_mix": f"""{SALES_SESSIONS}, {PRODUCT_TOTALS}, {PRODUCT_MIX}
 SELECT * EXCLUDE (exact_revenue) REPLACE (CAST("position" AS INTEGER) AS "position"),
        CAST(exact_revenue AS DOUBLE) AS product_revenue

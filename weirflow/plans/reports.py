@@ -92,8 +92,8 @@ def top_sessions(kpis: DataFrame, n: int = 5, within: Sequence[str] = ("region",
 
 
 def customer_sessions(events: DataFrame, gap: str = "30 seconds", watermark: str = "2 minutes") -> DataFrame:
-    """Start and end of each customer session."""
-    return session_agg(events, ["customer_id"], (), gap, watermark)
+    """Start, end and number of events of each customer session."""
+    return session_agg(events, ["customer_id"], [row_count("events_count")], gap, watermark)
 
 
 def average_session_duration(sessions: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from weirflow.functions.money import in_units
 from weirflow.functions.payload import parse_csv_lines, parse_json_values
 from weirflow.functions.time import zoneless
-from weirflow.operators.enrich import enrich_sales, price_sales
+from weirflow.operators.enrich import enrich_sales, hot_keys, price_sales
 from weirflow.operators.late import backdate_every_nth
 from weirflow.operators.product_mix import closed_only, product_slots, session_product_mix, totals_from_slots
 from weirflow.plans import reports
@@ -28,7 +28,7 @@ from weirflow.plans.catalog import (
     placed,
     query,
 )
-from weirflow.session import work_dir
+from weirflow.session import stored, work_dir
 from weirflow.sources.schemas import ORDER_AMOUNT, USER_ACTION, USER_CLICK
 from weirflow.sources.streams import text_folder
 from weirflow.sources.tables import (
@@ -53,7 +53,8 @@ from weirflow.streaming.stores import (
 
 def line_stream(spark: SparkSession, root: str) -> DataFrame:
     """Order lines as a stream, joined with the orders as a static table."""
-    return sales_events(stream_table(spark, root, "lineitem"), read_table(spark, root, "orders"))
+    hot = stored(hot_keys(read_table(spark, root, "lineitem"), "l_orderkey"), "hot-orders")
+    return sales_events(stream_table(spark, root, "lineitem"), read_table(spark, root, "orders"), hot)
 
 
 def sales_stream(spark: SparkSession, root: str, how: str = "left", backdate: str | None = None) -> DataFrame:
@@ -104,48 +105,57 @@ def text_stream(lines: DataFrame, purpose: str) -> DataFrame:
     return text_folder(lines.sparkSession, folder)
 
 
-@query
+@query("stream_tumbling_complete")
 def stream_tumbling_complete(spark, root):
     return snapshot(reports.action_counts(action_stream(spark, root), "1 hour", "30 minutes"), "counts")
 
 
-@query
+@query("stream_tumbling_append")
 def stream_tumbling_append(spark, root):
     return appended(reports.action_counts(action_stream(spark, root), "1 hour", "30 minutes"), "counts")
 
 
-@query
+@query("stream_tumbling_update")
 def stream_tumbling_update(spark, root):
     counts = reports.action_counts(action_stream(spark, root), "1 hour", "30 minutes")
     return latest(counts, "counts", ["window_start", "window_end", "action"])
 
 
-@query
+@query("stream_session_append")
 def stream_session_append(spark, root):
     sessions = reports.user_session_amounts(action_stream(spark, root), ACTION_GAP, "30 minutes")
     return in_units(appended(sessions, "sessions"), "session_amount")
 
 
-@query
+@query("stream_sales_dashboard")
 def stream_sales_dashboard(spark, root):
     """The dashboard, sorted, kept as a snapshot and published as a view."""
     table = reports.sales_by_region_category(sales_stream(spark, root), WINDOW, "30 days", sort=True)
     return in_units(snapshot(table, "dashboard", view="dashboard_live"), "revenue")
 
 
-@query
-def stream_topn_snapshot(spark, root):
-    """The sliding Top-N: revenue is kept by the stream, each snapshot is ranked as a table."""
-    revenue = reports.product_revenue(sales_stream(spark, root), SLIDE_SIZE, SLIDE, "30 days")
+def live_top_products(spark: SparkSession, root: str, size: str, slide: str | None, view: str) -> DataFrame:
+    """Revenue is kept by the stream; each snapshot of it is ranked as a table."""
+    revenue = reports.product_revenue(sales_stream(spark, root), size, slide, "30 days")
 
     def ranked(batch: DataFrame) -> DataFrame:
         best = named(reports.top_products(batch), root, "product_name", "category")
-        return reports.ranking_order(best, newest_first=True)
+        return reports.ranking_order(best, newest_first=slide is not None)
+
+    return in_units(snapshot(revenue, "topn", ranked, view), "revenue")
+
+
+@query("stream_topn_tumbling")
+def stream_topn_tumbling(spark, root):
+    return live_top_products(spark, root, WINDOW, None, "topn_live")
 
-    return in_units(snapshot(revenue, "topn", ranked, "topn_sliding_live"), "revenue")
+
+@query("stream_topn_snapshot")
+def stream_topn_snapshot(spark, root):
+    return live_top_products(spark, root, SLIDE_SIZE, SLIDE, "topn_sliding_live")
 
 
-@query
+@query("stream_top_sessions")
 def stream_top_sessions(spark, root):
     kpis = reports.session_kpis(priced_stream(spark, root), GAP, "30 days")
 
@@ -155,7 +165,14 @@ def stream_top_sessions(spark, root):
     return in_units(snapshot(kpis, "sessions", ranked, "sessions_topn_live"), "session_revenue")
 
 
-@query
+@query("stream_avg_session_duration")
+def stream_avg_session_duration(spark, root):
+    """The mean over the sessions that are closed."""
+    closed = appended(reports.customer_sessions(line_stream(spark, root), GAP, "30 days"), "sessions")
+    return reports.average_session_duration(placed(closed, root))
+
+
+@query("stream_session_product_mix")
 def stream_session_product_mix(spark, root):
     """Product slots are appended by the stream; the mix of the closed sessions is read from them."""
     slots = appended(product_slots(priced_stream(spark, root), GAP, "30 days"), "slots")
@@ -163,32 +180,32 @@ def stream_session_product_mix(spark, root):
     return in_units(placed(named(mix, root, "product_name"), root), "product_revenue")
 
 
-@query
+@query("stream_fraud_alerts")
 def stream_fraud_alerts(spark, root):
     alerts = alert_rules(transactions(stream_table(spark, root, "events")))
     return in_units(appended(alerts, "alerts"), "amount")
 
 
-@query
+@query("stream_late_enrichment")
 def stream_late_enrichment(spark, root):
     """Sales with some event times moved back, joined with the lookups; sales without a match are left out."""
     return in_units(appended(sales_stream(spark, root, "inner", "90 seconds"), "late"), "unit_price", "total_amount")
 
 
-@query
+@query("stream_line_sessions")
 def stream_line_sessions(spark, root):
     """Text lines to session amounts; lines that cannot be read have no time and join no session."""
     lines = parse_csv_lines(text_stream(event_lines(spark, root), "lines"), USER_ACTION)
     return appended(reports.user_session_amounts(lines, ACTION_GAP, "30 minutes"), "sessions")
 
 
-@query
+@query("stream_line_counts")
 def stream_line_counts(spark, root):
     lines = parse_csv_lines(text_stream(event_lines(spark, root), "lines"), USER_CLICK)
     return appended(reports.action_counts(lines, "1 hour", "30 minutes"), "counts")
 
 
-@query
+@query("stream_json_sessions")
 def stream_json_sessions(spark, root):
     """JSON messages to sessions of order amounts."""
     order = F.struct(

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from weirflow.functions.money import cents
 from weirflow.functions.time import event_clock
+from weirflow.operators.enrich import join_lookup
 
 _schemas: dict[tuple[str, str], T.StructType] = {}
 
@@ -56,13 +57,15 @@ def product_lookup(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def sales_events(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def sales_events(lineitem: DataFrame, orders: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Order lines as sales events. ``lineitem`` may be a stream.
 
-    Both sides grow with the data, so the join is left to a shuffle; adaptive execution splits an order key
-    that holds too many lines.
+    Both sides grow with the data, so the join is left to a shuffle. In a batch adaptive execution splits an
+    order key with too many lines; for a stream ``hot`` can name such keys.
     """
-    events = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).select(
+    placed = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey")
+    lines = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    events = join_lookup(lines, placed, "l_orderkey", "inner", hot).select(
         F.col("o_orderdate").alias("event_time"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),

@@ -16,8 +16,14 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def check_sink(mode: str, sink: str, checkpoint: str | None, name: str | None, path: str | None,
-               on_batch: BatchWriter | None) -> None:
+def check_sink(
+    mode: str,
+    sink: str,
+    checkpoint: str | None,
+    name: str | None,
+    path: str | None,
+    on_batch: BatchWriter | None,
+) -> None:
     """Refuse what Spark cannot run, before any work starts."""
     if mode not in MODES:
         raise ValueError(f"output mode {mode!r} is not one of {MODES}")
@@ -81,7 +87,8 @@ def run_stream(
         writer = writer.option("path", path)
     writer = writer.foreachBatch(on_batch) if sink == "batch" else writer.format(sink)
 
-    settings = {}
+    # Merge the sessions of a task before the shuffle, so a hot key sends on its sessions and not its rows.
+    settings = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     if rocksdb:
