@@ -63,7 +63,7 @@ def test_spreading_hot_keys_changes_nothing(events, customers, products, how):
     many = events.unionAll(events).unionAll(events)
     hot_customers, hot_products = hot_keys(many, "customer_id", 0.3), hot_keys(many, "product_id", 0.3)
     assert rows(hot_customers) == [(1,)] and rows(hot_products) == [(11,)]
-    spread = enrich_sales(many, customers, products, None, how, hot_customers, hot_products)
+    spread = enrich_sales(many, customers, products, (), how, hot_customers, hot_products)
     assert rows(spread) == rows(enrich_sales(many, customers, products, how=how))
 
 
@@ -89,9 +89,10 @@ def test_decimal_prices_stay_exact(events, customers, products):
 
 
 def test_region_through_nation(spark, events, customers):
-    nations = spark.createDataFrame([(5, "East"), (6, "West")], "nation_id int, region string")
+    nations = spark.createDataFrame([(5, 50), (6, 60)], "nation_id int, region_id int")
+    regions = spark.createDataFrame([(50, "East"), (60, "West")], "region_id int, region string")
     by_nation = spark.createDataFrame([(1, 5), (2, 6)], "customer_id int, nation_id int")
-    assert rows(add_region(events, by_nation, nations).select("customer_id", "region")) == rows(
+    assert rows(add_region(events, by_nation, [nations, regions]).select("customer_id", "region")) == rows(
         add_region(events, customers).select("customer_id", "region")
     )
 

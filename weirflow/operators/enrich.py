@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,19 +66,23 @@ def price_sales(
 def add_region(
     df: DataFrame,
     customers: DataFrame,
-    regions: DataFrame | None = None,
+    steps: Sequence[DataFrame] = (),
     how: str = "left",
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add the region of the customer.
 
-    ``customers`` carries either ``region`` or a ``nation_id`` that ``regions`` resolves. A report per customer
-    does this last: its rows are fewer than the events.
+    ``customers`` has a column ``region``, or ``steps`` lead to it: tables that are joined one after another,
+    each by its first column. They stay apart so that Catalyst knows each one's size from its files; of a join
+    of them it would assume the product. A report per customer adds the region last, since its rows are fewer
+    than the events.
     """
-    if regions is None:
-        return join_lookup(df, customers.select("customer_id", "region"), "customer_id", how, hot)
-    with_nation = join_lookup(df, customers.select("customer_id", "nation_id"), "customer_id", how, hot)
-    return join_lookup(with_nation, regions.select("nation_id", "region"), "nation_id", how).drop("nation_id")
+    keys = [step.columns[0] for step in steps]
+    wanted = keys[0] if keys else "region"
+    joined = join_lookup(df, customers.select("customer_id", wanted), "customer_id", how, hot)
+    for step, key in zip(steps, keys):
+        joined = join_lookup(joined, step, key, how)
+    return joined.drop(*keys)
 
 
 def add_product(df: DataFrame, products: DataFrame, *columns: str, how: str = "left") -> DataFrame:
@@ -88,7 +94,7 @@ def enrich_sales(
     events: DataFrame,
     customers: DataFrame,
     products: DataFrame,
-    regions: DataFrame | None = None,
+    region_steps: Sequence[DataFrame] = (),
     how: str = "left",
     hot_customers: DataFrame | None = None,
     hot_products: DataFrame | None = None,
@@ -98,7 +104,7 @@ def enrich_sales(
     With ``how="left"`` an event without a match stays; with ``how="inner"`` it is dropped.
     """
     names = [c for c in ("product_name", "category") if c in products.columns]
-    placed = add_region(events, customers, regions, how, hot_customers)
+    placed = add_region(events, customers, region_steps, how, hot_customers)
     return price_sales(placed, products, *names, how=how, hot=hot_products).select(
         *events.columns, "region", *names, "unit_price", "total_amount"
     )

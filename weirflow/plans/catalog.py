@@ -31,7 +31,7 @@ from weirflow.sources.tables import (
     customer_lookup,
     product_lookup,
     read_table,
-    region_lookup,
+    region_steps,
     sales_events,
     transactions,
 )
@@ -56,7 +56,7 @@ def sales(spark: SparkSession, root: str, how: str = "left") -> DataFrame:
         order_lines(spark, root),
         customer_lookup(spark, root),
         product_lookup(spark, root),
-        region_lookup(spark, root),
+        region_steps(spark, root),
         how,
     )
 
@@ -71,7 +71,7 @@ def priced_lines(spark: SparkSession, root: str) -> DataFrame:
 
 def placed(df: DataFrame, root: str) -> DataFrame:
     """A report per customer with the customers' regions."""
-    return add_region(df, customer_lookup(df.sparkSession, root), region_lookup(df.sparkSession, root))
+    return add_region(df, customer_lookup(df.sparkSession, root), region_steps(df.sparkSession, root))
 
 
 def named(df: DataFrame, root: str, *columns: str) -> DataFrame:

@@ -36,7 +36,7 @@ from weirflow.sources.tables import (
     customer_lookup,
     product_lookup,
     read_table,
-    region_lookup,
+    region_steps,
     sales_events,
     stream_table,
     transactions,
@@ -63,7 +63,7 @@ def sales_stream(spark: SparkSession, root: str, how: str = "left", backdate: st
     if backdate is not None:
         events = backdate_every_nth(events, delay=backdate, sequence="product_id")
     return enrich_sales(
-        events, customer_lookup(spark, root), product_lookup(spark, root), region_lookup(spark, root), how
+        events, customer_lookup(spark, root), product_lookup(spark, root), region_steps(spark, root), how
     )
 
 

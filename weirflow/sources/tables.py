@@ -40,12 +40,16 @@ def customer_lookup(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def region_lookup(spark: SparkSession, root: str) -> DataFrame:
-    nation = read_table(spark, root, "nation")
-    region = read_table(spark, root, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("nation_id"), F.col("r_name").alias("region")
-    )
+def region_steps(spark: SparkSession, root: str) -> list[DataFrame]:
+    """From a nation to its region, and from there to the name."""
+    return [
+        read_table(spark, root, "nation").select(
+            F.col("n_nationkey").alias("nation_id"), F.col("n_regionkey").alias("region_id")
+        ),
+        read_table(spark, root, "region").select(
+            F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region")
+        ),
+    ]
 
 
 def product_lookup(spark: SparkSession, root: str) -> DataFrame:
