@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.functions.measures import Measure
-from weirflow.functions.time import duration, event_clock, flat_span
+from weirflow.functions.time import duration, event_clock, flat_span, interval
 
 
 def with_watermark(df: DataFrame, time: str, watermark: str | None) -> DataFrame:
@@ -18,6 +18,28 @@ def with_watermark(df: DataFrame, time: str, watermark: str | None) -> DataFrame
     return event_clock(df, time).withWatermark(time, watermark)
 
 
+def _by_window(
+    df: DataFrame, span: Column, size: str, keys: Sequence[str], measures: Sequence[Measure], merge: bool = False
+) -> DataFrame:
+    aggregates = [m.merge if merge else m.start for m in measures]
+    if df.isStreaming:
+        # The watermark closes groups by their window struct.
+        return flat_span(df.groupBy(span.alias("w"), *keys).agg(*aggregates), "w", "window")
+    # The end follows from the start, so only the start is grouped and shuffled.
+    grouped = (
+        df.withColumn("_window", span)
+        .withColumn("_window", F.col("_window.start"))
+        .groupBy(F.col("_window").alias("window_start"), *keys)
+        .agg(*aggregates)
+    )
+    return grouped.select(
+        "window_start",
+        (F.col("window_start") + interval(size)).alias("window_end"),
+        *keys,
+        *[m.name for m in measures],
+    )
+
+
 def tumbling_agg(
     df: DataFrame,
     keys: Sequence[str],
@@ -30,12 +52,7 @@ def tumbling_agg(
 
     The sums are combined before the shuffle, so a hot key costs one row per task and window.
     """
-    grouped = (
-        with_watermark(df, time, watermark)
-        .groupBy(F.window(time, size).alias("w"), *keys)
-        .agg(*[m.start for m in measures])
-    )
-    return flat_span(grouped, "w", "window")
+    return _by_window(with_watermark(df, time, watermark), F.window(time, size), size, keys, measures)
 
 
 def sliding_agg(
@@ -55,19 +72,8 @@ def sliding_agg(
     has no such panes. A stream keeps to one stateful step.
     """
     if not panes or df.isStreaming or duration(size) % duration(slide):
-        grouped = (
-            with_watermark(df, time, watermark)
-            .groupBy(F.window(time, size, slide).alias("w"), *keys)
-            .agg(*[m.start for m in measures])
-        )
-        return flat_span(grouped, "w", "window")
+        span = F.window(time, size, slide)
+        return _by_window(with_watermark(df, time, watermark), span, size, keys, measures)
 
-    pane_totals = (
-        df.groupBy(F.window(time, slide).alias("pane"), *keys)
-        .agg(*[m.start for m in measures])
-        .select(F.col("pane.start").alias("pane_start"), *keys, *[m.name for m in measures])
-    )
-    grouped = pane_totals.groupBy(F.window("pane_start", size, slide).alias("w"), *keys).agg(
-        *[m.merge for m in measures]
-    )
-    return flat_span(grouped, "w", "window")
+    pane_totals = _by_window(df, F.window(time, slide), slide, keys, measures)
+    return _by_window(pane_totals, F.window("window_start", size, slide), size, keys, measures, merge=True)

@@ -41,7 +41,7 @@ def product_revenue(
 
 def top_products(revenue: DataFrame, n: int = 5) -> DataFrame:
     """The best-selling products of each window and region, from a finished :func:`product_revenue` table."""
-    return top_n(revenue, ["window_start", "window_end", "region"], by_sales(), n)
+    return top_n(revenue, ["window_start", "region"], by_sales(), n)
 
 
 def ranking_order(best: DataFrame, newest_first: bool = False) -> DataFrame:
