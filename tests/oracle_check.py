@@ -7,13 +7,14 @@ from collections import Counter
 
 import duckdb
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
 
 
-def duck(root: str) -> duckdb.DuckDBPyConnection:
+def duck(root: str, files: str = "") -> duckdb.DuckDBPyConnection:
+    """Views over the tables below ``root``; ``files`` is a pattern for tables that are folders."""
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{root}/{name}.parquet')")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{root}/{name}.parquet{files}')")
     return con
 
 

@@ -9,11 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.001) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows; there are fewer than ``1 / share`` of them."""
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col(key).isNotNull() & (F.col("_n") > rows * F.lit(share))).select(key)
+def hot_keys(df: DataFrame, key: str, share: float = 0.002) -> DataFrame:
+    """Keys that hold more than about ``share`` of the rows, null among them; at most ``1 / share`` keys.
+
+    One pass over the column with a sketch of fixed size: the keys are not shuffled. What it finds decides how
+    rows are spread over tasks and not what a join returns.
+    """
+    most = int(1 / share)
+    found = df.agg(F.expr(f"approx_top_k({key}, {most}, {8 * most})").alias("top"), F.count(F.lit(1)).alias("n"))
+    return (
+        found.select(F.explode("top").alias("t"), "n")
+        .filter(F.col("t.count") > F.col("n") * share)
+        .select(F.col("t.item").alias(key))
+    )
 
 
 def join_lookup(

@@ -6,6 +6,8 @@ below ``spark.checkpoint.dir``; nothing is gathered in the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,24 +53,50 @@ from weirflow.streaming.stores import (
 )
 
 
-def line_stream(spark: SparkSession, root: str) -> DataFrame:
+def hot_sale_keys(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The hot keys of each join of the sales stream, as far as there are any in the tables."""
+    columns = {
+        "l_orderkey": ("lineitem", "l_orderkey"),
+        "product_id": ("lineitem", "l_partkey"),
+        "customer_id": ("orders", "o_custkey"),
+    }
+    found = [
+        hot_keys(read_table(spark, root, table), column).select(F.lit(key).alias("name"), F.col(column).alias("hot"))
+        for key, (table, column) in columns.items()
+    ]
+    kept = stored(reduce(DataFrame.unionAll, found), "hot-keys")
+    return {
+        row.name: kept.filter(F.col("name") == row.name).select(F.col("hot").alias(row.name))
+        for row in kept.select("name").distinct().collect()
+    }
+
+
+def line_stream(spark: SparkSession, root: str, hot: dict[str, DataFrame]) -> DataFrame:
     """Order lines as a stream, joined with the orders as a static table."""
-    hot = stored(hot_keys(read_table(spark, root, "lineitem"), "l_orderkey"), "hot-orders")
-    return sales_events(stream_table(spark, root, "lineitem"), read_table(spark, root, "orders"), hot)
+    lineitem, orders = stream_table(spark, root, "lineitem"), read_table(spark, root, "orders")
+    return sales_events(lineitem, orders, hot.get("l_orderkey"))
 
 
 def sales_stream(spark: SparkSession, root: str, how: str = "left", backdate: str | None = None) -> DataFrame:
     """The stream of order lines with the lookups; every 50th product's lines can be moved back in time."""
-    events = line_stream(spark, root)
+    hot = hot_sale_keys(spark, root)
+    events = line_stream(spark, root, hot)
     if backdate is not None:
         events = backdate_every_nth(events, delay=backdate, sequence="product_id")
     return enrich_sales(
-        events, customer_lookup(spark, root), product_lookup(spark, root), region_steps(spark, root), how
+        events,
+        customer_lookup(spark, root),
+        product_lookup(spark, root),
+        region_steps(spark, root),
+        how,
+        hot.get("customer_id"),
+        hot.get("product_id"),
     )
 
 
 def priced_stream(spark: SparkSession, root: str) -> DataFrame:
-    return price_sales(line_stream(spark, root), product_lookup(spark, root))
+    hot = hot_sale_keys(spark, root)
+    return price_sales(line_stream(spark, root, hot), product_lookup(spark, root), hot=hot.get("product_id"))
 
 
 def action_stream(spark: SparkSession, root: str) -> DataFrame:
@@ -168,7 +196,8 @@ def stream_top_sessions(spark, root):
 @query("stream_avg_session_duration")
 def stream_avg_session_duration(spark, root):
     """The mean over the sessions that are closed."""
-    closed = appended(reports.customer_sessions(line_stream(spark, root), GAP, "30 days"), "sessions")
+    lines = line_stream(spark, root, hot_sale_keys(spark, root))
+    closed = appended(reports.customer_sessions(lines, GAP, "30 days"), "sessions")
     return reports.average_session_duration(placed(closed, root))
 
 
