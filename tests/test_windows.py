@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from weirflow.functions.measures import highest, lowest, row_count, total, value_count
 from weirflow.functions.time import duration
-from weirflow.operators.windows import sliding_agg, tumbling_agg
+from weirflow.operators.windows import sliding_agg, sliding_from_panes, tumbling_agg
 
 MEASURES = (
     total("v", "v"), row_count("n"), value_count("v", "n_v"), lowest("v", "low"), highest("v", "high"),
@@ -60,6 +60,8 @@ def test_slide_that_does_not_divide_the_size(spark):
     df = spark.createDataFrame(events, SCHEMA)
     expected = brute_force(events, timedelta(seconds=60), timedelta(seconds=25))
     assert rows(sliding_agg(df, ["k"], MEASURES, "60 seconds", "25 seconds")) == expected
+    with pytest.raises(ValueError):
+        sliding_from_panes(df, ["k"], MEASURES, "60 seconds", "25 seconds")
 
 
 def test_windows_are_half_open_and_skip_null_times(spark):

@@ -75,5 +75,14 @@ def sliding_agg(
         span = F.window(time, size, slide)
         return _by_window(with_watermark(df, time, watermark), span, size, keys, measures)
 
-    pane_totals = _by_window(df, F.window(time, slide), slide, keys, measures)
-    return _by_window(pane_totals, F.window("window_start", size, slide), size, keys, measures, merge=True)
+    return sliding_from_panes(tumbling_agg(df, keys, measures, slide, time=time), keys, measures, size, slide)
+
+
+def sliding_from_panes(
+    panes: DataFrame, keys: Sequence[str], measures: Sequence[Measure], size: str, slide: str
+) -> DataFrame:
+    """Sliding windows from a batch table of totals per window of length ``slide``, as :func:`tumbling_agg`
+    gives them. ``slide`` has to divide ``size``."""
+    if duration(size) % duration(slide):
+        raise ValueError(f"{slide} does not divide {size}")
+    return _by_window(panes, F.window("window_start", size, slide), size, keys, measures, merge=True)

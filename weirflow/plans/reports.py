@@ -16,7 +16,7 @@ from weirflow.functions.measures import row_count, total, value_count
 from weirflow.functions.time import epoch_seconds
 from weirflow.operators.rank import by_sales, top_n
 from weirflow.operators.sessions import session_agg
-from weirflow.operators.windows import sliding_agg, tumbling_agg
+from weirflow.operators.windows import sliding_agg, sliding_from_panes, tumbling_agg
 
 SALES = (total("total_amount", "revenue"), total("quantity", "units"))
 PRODUCT_KEYS = ("region", "product_id")
@@ -39,6 +39,14 @@ def product_revenue(
     return sliding_agg(sales, PRODUCT_KEYS, SALES, size, slide, watermark)
 
 
+def product_revenue_from_panes(panes: DataFrame, size: str = "1 minute", slide: str = "10 seconds") -> DataFrame:
+    """Sliding product revenue from a finished :func:`product_revenue` table with windows of one slide.
+
+    A stream that keeps those totals holds each event in one window and not in ``size / slide`` of them.
+    """
+    return sliding_from_panes(panes, PRODUCT_KEYS, SALES, size, slide)
+
+
 def top_products(revenue: DataFrame, n: int = 5) -> DataFrame:
     """The best-selling products of each window and region, from a finished :func:`product_revenue` table."""
     return top_n(revenue, ["window_start", "region"], by_sales(), n)

@@ -6,6 +6,7 @@ below ``spark.checkpoint.dir``; nothing is gathered in the driver.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ from weirflow.plans.catalog import (
     placed,
     query,
 )
-from weirflow.session import stored, work_dir
+from weirflow.session import work_dir
 from weirflow.sources.schemas import ORDER_AMOUNT, USER_ACTION, USER_CLICK
 from weirflow.sources.streams import text_folder
 from weirflow.sources.tables import (
@@ -64,11 +65,11 @@ def hot_sale_keys(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         hot_keys(read_table(spark, root, table), column).select(F.lit(key).alias("name"), F.col(column).alias("hot"))
         for key, (table, column) in columns.items()
     ]
-    kept = stored(reduce(DataFrame.unionAll, found), "hot-keys")
-    return {
-        row.name: kept.filter(F.col("name") == row.name).select(F.col("hot").alias(row.name))
-        for row in kept.select("name").distinct().collect()
-    }
+    # At most 500 keys of each kind, by the default share of hot_keys.
+    keys = defaultdict(list)
+    for row in reduce(DataFrame.unionAll, found).collect():
+        keys[row.name].append((row.hot,))
+    return {name: spark.createDataFrame(rows, f"{name} bigint") for name, rows in keys.items()}
 
 
 def line_stream(spark: SparkSession, root: str, hot: dict[str, DataFrame]) -> DataFrame:
@@ -163,10 +164,12 @@ def stream_sales_dashboard(spark, root):
 
 
 def live_top_products(spark: SparkSession, root: str, size: str, slide: str | None, view: str) -> DataFrame:
-    """Revenue is kept by the stream; each snapshot of it is ranked as a table."""
-    revenue = reports.product_revenue(sales_stream(spark, root), size, slide, "30 days")
+    """Revenue is kept by the stream, per window or per slide; each snapshot of it is ranked as a table."""
+    revenue = reports.product_revenue(sales_stream(spark, root), slide or size, watermark="30 days")
 
     def ranked(batch: DataFrame) -> DataFrame:
+        if slide is not None:
+            batch = reports.product_revenue_from_panes(batch, size, slide)
         best = named(reports.top_products(batch), root, "product_name", "category")
         return reports.ranking_order(best, newest_first=slide is not None)
 
