@@ -1,8 +1,8 @@
 """The reports: operators put together with their usual parameters.
 
-Each takes enriched sales (or actions) as a batch table or a stream. A key that a lookup determines, such as
-the region of a customer or the name of a product, is best added to the finished report. ``sort`` gives the order the report is
-read in; a stream can be sorted in complete mode only.
+Each takes enriched sales (or actions) as a batch table or a stream. A column that a lookup determines, such as
+the region of a customer or the name of a product, is best added to the finished report. ``sort`` gives the
+order the report is read in; a stream can be sorted in complete mode only.
 """
 
 from __future__ import annotations

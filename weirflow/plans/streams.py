@@ -104,26 +104,39 @@ def action_stream(spark: SparkSession, root: str) -> DataFrame:
     return action_events(stream_table(spark, root, "events"))
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """As many as the session shuffles into; on a single machine no more than it has cores."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    context = spark.sparkContext
+    return min(wanted, context.defaultParallelism) if context.master.startswith("local") else wanted
+
+
+def to_the_end(df: DataFrame, mode: str, sink: str, out: str, **options) -> None:
+    """Run over what the source holds, with the checkpoint below ``out``."""
+    partitions = state_partitions(df.sparkSession)
+    run_stream(
+        df, mode, sink, checkpoint=f"{out}/checkpoint", available_now=True, state_partitions=partitions, **options
+    )
+
+
 def appended(df: DataFrame, purpose: str) -> DataFrame:
     """Run to the end in append mode and read the Parquet files back."""
     out = work_dir(df.sparkSession, purpose)
-    run_stream(df, "append", "parquet", checkpoint=f"{out}/checkpoint", path=f"{out}/rows", available_now=True)
+    to_the_end(df, "append", "parquet", out, path=f"{out}/rows")
     return zoneless(df.sparkSession.read.schema(df.schema).parquet(f"{out}/rows"))
 
 
 def snapshot(df: DataFrame, purpose: str, shape: Shape | None = None, view: str | None = None) -> DataFrame:
     """Run to the end in complete mode and read the last snapshot."""
     out = work_dir(df.sparkSession, purpose)
-    write = snapshot_writer(f"{out}/rows", shape, view)
-    run_stream(df, "complete", "batch", checkpoint=f"{out}/checkpoint", on_batch=write, available_now=True)
+    to_the_end(df, "complete", "batch", out, on_batch=snapshot_writer(f"{out}/rows", shape, view))
     return zoneless(read_snapshot(df.sparkSession, f"{out}/rows"))
 
 
 def latest(df: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
     """Run to the end in update mode and keep the last row of each key."""
     out = work_dir(df.sparkSession, purpose)
-    write = changes_writer(f"{out}/rows")
-    run_stream(df, "update", "batch", checkpoint=f"{out}/checkpoint", on_batch=write, available_now=True)
+    to_the_end(df, "update", "batch", out, on_batch=changes_writer(f"{out}/rows"))
     return zoneless(read_latest_changes(df.sparkSession, f"{out}/rows", keys))
 
 
