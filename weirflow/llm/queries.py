@@ -5,17 +5,73 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from weirflow.llm import bpe, lines, urls
 from weirflow.llm.common import table
+from weirflow.llm.fingerprints import compare_with_next
 from weirflow.llm.jaccard import jaccard_groups
+from weirflow.llm.packing import pack_documents
+from weirflow.llm.perplexity import judge_quality
+from weirflow.llm.vectors import near_vectors
+from weirflow.llm.warc import archive_pages
+
+
+def op1_document_fingerprints(spark: SparkSession, root: str) -> DataFrame:
+    return compare_with_next(table(spark, root, "documents"))
+
+
+def op2_byte_level_bpe(spark: SparkSession, root: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return jaccard_groups(table(spark, root, "documents"), words=4, num=85, den=100)
 
 
+def op5_best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
+    return pack_documents(table(spark, root, "documents"))
+
+
+def op6_embedding_near_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return near_vectors(table(spark, root, "embeddings"), cosine=0.98)
+
+
+def op7_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return lines.changed_lengths(table(spark, root, "documents"))
+
+
+def op8_url_filters(spark: SparkSession, root: str) -> DataFrame:
+    """Outcomes are the labels whose doc_id is the page's id: bad if of low quality or toxic."""
+    bad = (F.col("quality") == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
+    outcomes = table(spark, root, "labels").select(F.col("doc_id").alias("page_id"), bad.cast("int").alias("bad"))
+    return urls.filter_urls(table(spark, root, "pages"), outcomes)
+
+
+def op9_warc(spark: SparkSession, root: str) -> DataFrame:
+    return archive_pages(table(spark, root, "pages"))
+
+
+def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    judged = judge_quality(table(spark, root, "documents").select("doc_id", "text", "lang"), table(spark, root, "labels"))
+    return judged.select("doc_id", "lang", "perplexity", "threshold", "accepted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_document_fingerprints,
+        op2_byte_level_bpe,
+        op4_ngram_jaccard_join,
+        op5_best_fit_packing,
+        op6_embedding_near_dedup,
+        op7_line_dedup,
+        op8_url_filters,
+        op9_warc,
+        op10_quality_classifier,
+    )
 }
 
 ORACLE: dict[str, str] = {}
