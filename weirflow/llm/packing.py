@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from weirflow.llm.common import ship
 
 CAPACITIES = (2048, 4096, 8192, 16384)
-#: What a bin costs besides its capacity: padding is paid by the byte, and every sequence so much more.
-PER_BIN = 128
+#: A bin costs its capacity, PER_BIN for being a sequence, and attention, which grows with the square of its length.
+PER_BIN, QUADRATIC = 128, 1 / 32768
 SHARD = 50_000
 
 
@@ -43,12 +43,12 @@ def _fill(sizes: list[int], opened: list[int], capacities: list[int], cost) -> l
     return out
 
 
-def pack(sizes: list[int], capacities=CAPACITIES, per_bin: float = PER_BIN) -> tuple[list[int], list[int]]:
+def pack(sizes: list[int], capacities=CAPACITIES, per_bin: float = PER_BIN, quadratic: float = QUADRATIC) -> tuple[list[int], list[int]]:
     """The bin of each size, and the capacity of each bin. Sizes descend; none is larger than the largest capacity."""
     capacities = sorted(capacities)
 
     def cost(c: int) -> float:
-        return c + per_bin
+        return per_bin + c + quadratic * c * c
 
     best = None
     for most in range(1, len(capacities) + 1):
@@ -62,7 +62,7 @@ def pack(sizes: list[int], capacities=CAPACITIES, per_bin: float = PER_BIN) -> t
     return best[1], best[2]
 
 
-def pack_documents(docs: DataFrame, text: str = "text", capacities=CAPACITIES, per_bin: float = PER_BIN, shard: int = SHARD) -> DataFrame:
+def pack_documents(docs: DataFrame, text: str = "text", capacities=CAPACITIES, per_bin: float = PER_BIN, quadratic: float = QUADRATIC, shard: int = SHARD) -> DataFrame:
     """One row per piece of each document: where it comes from, and where it goes.
 
     Returns doc_id, piece, piece_start and piece_length (bytes of the text's UTF-8), bin_id, bin_capacity, bin_used and position (the
@@ -81,7 +81,7 @@ def pack_documents(docs: DataFrame, text: str = "text", capacities=CAPACITIES, p
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["piece_length", "doc_id", "piece"], ascending=[False, True, True], ignore_index=True)
-        bins, fitted = pack(pdf["piece_length"].tolist(), capacities, per_bin)
+        bins, fitted = pack(pdf["piece_length"].tolist(), capacities, per_bin, quadratic)
         pdf["bin"] = bins
         pdf["bin_id"] = [f"{s}-{b}" for s, b in zip(pdf["shard"], bins)]
         pdf["bin_capacity"] = [fitted[b] for b in bins]

@@ -12,6 +12,7 @@ from weirflow.llm.common import table
 from weirflow.llm.fingerprints import compare_with_next
 from weirflow.llm.jaccard import jaccard_groups
 from weirflow.llm.packing import pack_documents
+from weirflow.llm.page_text import extract_text
 from weirflow.llm.perplexity import judge_quality
 from weirflow.llm.vectors import near_vectors
 from weirflow.llm.warc import archive_pages
@@ -27,6 +28,10 @@ def op2_byte_level_bpe(spark: SparkSession, root: str) -> DataFrame:
     return bpe.round_trip(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_html_extraction(spark: SparkSession, root: str) -> DataFrame:
+    return extract_text(table(spark, root, "pages"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return jaccard_groups(table(spark, root, "documents"), words=4, num=85, den=100)
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_document_fingerprints,
         op2_byte_level_bpe,
+        op3_html_extraction,
         op4_ngram_jaccard_join,
         op5_best_fit_packing,
         op6_embedding_near_dedup,
