@@ -76,7 +76,7 @@ def corpus_fingerprint(docs: DataFrame, by: str, text: str = "text", k: int = K,
     The sketches are merged within each task before the shuffle: k hashes per group and task are moved.
     """
     ship(docs.sparkSession)
-    hashes = docs.select(by, F.unbase64(fingerprint(docs.select(by, text), text, k, words)["fingerprint"]).alias("s"))
+    hashes = fingerprint(docs.select(by, text), text, k, words).select(by, F.unbase64("fingerprint").alias("s"))
 
     def parts(batches):
         held: dict = {}

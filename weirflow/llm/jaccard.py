@@ -21,7 +21,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirflow.llm.common import CHUNK, as_bytes, batch, runs, saved, ship
@@ -269,3 +269,25 @@ def jaccard_groups(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
+
+
+#: So many doc_ids are sent to all tasks; beyond that the join is a shuffle.
+MOST_IDS = 4_000_000
+
+
+def keep_one_of_each(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its group in ``jaccard_groups``, with all columns.
+
+    Rows that share a doc_id are one document, of which the row with the smallest text stays. Rows without a doc_id stay.
+    """
+    groups = saved(jaccard_groups(docs.select("doc_id", "text"), words, num, den), "near-duplicates").where("doc_id is not null")
+    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
+    few = gone.limit(MOST_IDS + 1).count() <= MOST_IDS
+    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    again = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    again = saved(again, "repeated-ids")
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = kept.join(again, "doc_id", "left_semi").select(*docs.columns, rank.alias("_llm_rank")).where("_llm_rank = 1").drop("_llm_rank")
+    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))

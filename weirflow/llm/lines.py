@@ -57,7 +57,7 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
 
 def changed_lengths(docs: DataFrame, **limits) -> DataFrame:
     """(doc_id, text, n_lines, n_kept) after ``drop_boilerplate``: the cleaned text and the numbers of lines before and after."""
-    before = docs.select("doc_id", "text", "source", F.size(_lines("text")).alias("n_lines"))
+    before = docs.select("doc_id", "text", "source", F.size(_lines("text")).cast("long").alias("n_lines"))
     after = drop_boilerplate(before, **limits)
-    kept = F.when(F.col("text") == "", 0).otherwise(F.size(_lines("text")))
+    kept = F.when(F.col("text") == "", 0).otherwise(F.size(_lines("text"))).cast("long")
     return after.select("doc_id", "text", "n_lines", kept.alias("n_kept"))

@@ -12,6 +12,7 @@ from weirflow.llm.common import table
 from weirflow.llm.fingerprints import compare_with_next
 from weirflow.llm.jaccard import jaccard_groups
 from weirflow.llm.packing import pack_documents
+from weirflow.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 from weirflow.llm.page_text import extract_text
 from weirflow.llm.perplexity import judge_quality
 from weirflow.llm.vectors import near_vectors
@@ -80,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+
