@@ -4,7 +4,7 @@ import pytest
 from helpers import at, rows
 from pyspark.sql import functions as F
 
-from weirflow.operators.enrich import add_product, add_region, enrich_sales, hot_keys, join_lookup
+from weirflow.operators.enrich import ROW, price_report, add_product, add_region, enrich_sales, hot_keys, join_lookup
 from weirflow.sources.schemas import CUSTOMER, PRODUCT, RAW_SALE
 
 
@@ -81,6 +81,28 @@ def test_hot_key_is_spread(spark):
     assert sum(sizes) == 1000 and max(sizes) < 600
 
 
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    events = spark.range(20_000).select(F.lit(7).cast("long").alias("k"), F.lit(1).alias("v"), F.xxhash64("id").alias(ROW))
+    lookup = spark.range(100).selectExpr("id as k", "id as w")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        joined = join_lookup(events, lookup, "k", "inner", hot_keys(events, "k"), 64)
+        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(r["count"] for r in tasks) == 20_000 and len(tasks) > 30
+
+
+def test_prices_after_the_sum(spark):
+    products = spark.createDataFrame([(1, "pen", 15_000), (2, "cup", None)], "product_id int, product_name string, base_price bigint")
+    report = spark.createDataFrame([(1, 2.5), (2, 3.0), (3, 1.0)], "product_id int, units double")
+    assert rows(price_report(report, products, "product_name")) == [(1, 2.5, "pen", 37_500), (2, 3.0, "cup", 0), (3, 1.0, None, 0)]
+
+
 def test_decimal_prices_stay_exact(events, customers, products):
     exact = products.withColumn("base_price", products.base_price.cast("decimal(12,2)"))
     enriched = enrich_sales(events, customers, exact)

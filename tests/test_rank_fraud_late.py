@@ -5,10 +5,13 @@ from datetime import timedelta
 import pytest
 from helpers import at, order, rows
 
+from pyspark.sql import functions as F
+
 from weirflow.operators import fraud
 from weirflow.operators.late import backdate_every_nth, late_event_audit, max_before
 from weirflow.operators.rank import by_sales, first_n, top_n
 from weirflow.plans.reports import product_revenue, ranking_order, top_products
+from weirflow.sources.tables import transactions
 
 
 def test_ties_share_a_rank(spark):
@@ -61,11 +64,38 @@ def test_alerts_are_one_table(tx):
     alerts = fraud.fraud_alerts(fraud.high_value(tx), fraud.burst_activity(tx), fraud.attribute_switch(tx))
     assert alerts.columns == list(fraud.ALERT_COLUMNS)
     assert Counter((r.user_id, r.fraud_reason) for r in alerts.collect()) == Counter(
-        [(3, fraud.HIGH_VALUE), (1, fraud.BURST), (2, fraud.SWITCH)]
+        [(3, "High Value > 900"), (1, "Burst Activity > 5 txns/min"), (2, "Multiple Regions in Session")]
     )
     assert fraud.fraud_alerts(fraud.high_value(tx), fraud.high_value(tx)).count() == 2
 
 
+def test_labels_say_what_the_rule_is(tx):
+    assert {r.fraud_reason for r in fraud.high_value(tx, 100).collect()} == {"High Value > 100"}
+    assert {r.fraud_reason for r in fraud.high_value(tx, 899.5).collect()} == {"High Value > 899.5"}
+    assert {r.fraud_reason for r in fraud.burst_activity(tx, 2, "1 hour").collect()} == {"Burst Activity > 2 txns/h"}
+
+
+def test_thresholds_see_the_amount_itself(spark):
+    frame = spark.createDataFrame([(1, at("10:00"), 7, "US", 200.004), (2, at("10:00"), 7, "US", 200.0)], "event_id bigint, ts timestamp_ntz, user_id int, event_type string, value double")
+    alerts = fraud.high_value(transactions(frame), 200).collect()
+    assert [(r.transaction_id, r.amount) for r in alerts] == [(1, 200.004)]
+
+
+def test_switch_in_a_table_against_session_window(spark):
+    rng = random.Random(9)
+    data = [
+        (i, rng.choice([1, 2, None]), 1, rng.choice(["US", "EU", "AP", None]), at("10:00") + timedelta(seconds=60 * rng.randrange(90)))
+        for i in range(250)
+    ]
+    df = spark.createDataFrame(data, TX)
+    native = (
+        df.groupBy(F.session_window("event_time", "2 minutes").alias("s"), "user_id")
+        .agg(F.count_distinct("region").alias("n")).filter("n > 1").select("s.start", "s.end", "user_id", "n")
+    )
+    assert rows(fraud.attribute_switch(df).drop("fraud_reason")) == rows(native)
+    assert native.count() > 5
+
+
 def test_backdating(spark):
     df = spark.createDataFrame([(i, at("10:00")) for i in (0, 1, 49, 50, 100)], "event_id int, event_time timestamp_ntz")
     moved = {r.event_id: r.event_time for r in backdate_every_nth(df).collect()}

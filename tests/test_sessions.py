@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from weirflow.functions.measures import row_count, total
 from weirflow.functions.time import flat_span
 from weirflow.operators.product_mix import (
+    closed_only,
     product_session_fragments,
     product_slots,
     session_product_lists,
@@ -143,6 +144,15 @@ def test_product_totals_follow_the_customer_session(spark):
     assert product_session_fragments(sales(spark), "15 minutes").count() == 6
 
 
+def test_a_session_that_ends_with_the_slots_is_still_open(spark):
+    start = at("10:00")
+    events = [(start, 1, "East", 11, 1, 100), (start + timedelta(seconds=30), 1, "East", 11, 1, 100)]
+    first, both = (spark.createDataFrame(events[:n], SALES) for n in (1, 2))
+    slots = product_slots(first, "30 seconds")
+    assert closed_only(totals_from_slots(slots, "30 seconds"), slots, "30 seconds").count() == 0
+    assert [r[:2] for r in rows(session_product_totals(both, "30 seconds"))] == [(start, start + timedelta(seconds=60))]
+
+
 def test_totals_from_slots_agree(spark):
     slots = product_slots(sales(spark), "15 minutes")
     assert rows(totals_from_slots(slots, "15 minutes")) == rows(session_product_totals(sales(spark), "15 minutes"))

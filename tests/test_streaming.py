@@ -264,12 +264,36 @@ def test_work_folders_come_from_the_session(spark):
     assert first.startswith(root) and first != second
 
 
-def test_snapshot_keeps_the_latest_of_two(spark, tmp_path):
+def test_snapshot_is_the_latest_and_readers_are_not_disturbed(spark, tmp_path):
     write = snapshot_writer(str(tmp_path / "s"))
     for epoch in (0, 1, 2, 2):
         write(spark.range(epoch + 1), epoch)
-    assert read_snapshot(spark, str(tmp_path / "s")).count() == 3
-    assert read_snapshot(spark, str(tmp_path / "s")).columns == ["id"]
+    reading = read_snapshot(spark, str(tmp_path / "s"))
+    for epoch in (3, 4, 5):
+        write(spark.range(epoch + 1), epoch)
+    assert reading.count() == 3 and reading.columns == ["id"]
+    assert read_snapshot(spark, str(tmp_path / "s")).count() == 6
+    for epoch in range(6, 12):
+        write(spark.range(epoch + 1), epoch)
+    assert len(list((tmp_path / "s").glob("snapshot-*"))) == 4
+
+
+def test_an_empty_snapshot_is_the_latest_too(spark, tmp_path):
+    write = snapshot_writer(str(tmp_path / "s"))
+    write(spark.range(5), 0)
+    write(spark.range(0), 1)
+    assert read_snapshot(spark, str(tmp_path / "s")).count() == 0
+
+
+def test_state_ends_with_the_watermark_in_update_mode(spark, tmp_path):
+    held = []
+    for _ in arriving(tmp_path / "in"):
+        query = run_stream(
+            counts_stream(spark, tmp_path / "in"), "update", "batch", checkpoint=str(tmp_path / "cp"),
+            on_batch=changes_writer(str(tmp_path / "out")), available_now=True, rocksdb=True,
+        )
+        held.append(stream_metrics(query).orderBy(F.desc("batch_id")).first().state_rows)
+    assert max(held) == 2 and held[-1] == 1
 
 
 def test_retried_batch_is_written_once(spark, tmp_path):

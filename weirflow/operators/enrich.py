@@ -9,18 +9,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: A column by which equal rows can be told apart.
+ROW = "_row"
+
+
 def hot_keys(df: DataFrame, key: str, share: float = 0.002) -> DataFrame:
     """Keys that hold more than about ``share`` of the rows, null among them; at most ``1 / share`` keys.
 
     One pass over the column with a sketch of fixed size: the keys are not shuffled. What it finds decides how
     rows are spread over tasks and not what a join returns.
     """
+    return hot_keys_of(df, [key], share).select(F.col("hot").alias(key))
+
+
+def hot_keys_of(df: DataFrame, keys: Sequence[str], share: float = 0.002) -> DataFrame:
+    """(name, hot): the hot keys of several columns of one type, found in one scan."""
     most = int(1 / share)
-    found = df.agg(F.expr(f"approx_top_k({key}, {most}, {8 * most})").alias("top"), F.count(F.lit(1)).alias("n"))
+    sketches = [F.expr(f"approx_top_k({key}, {most}, {8 * most})").alias(key) for key in keys]
+    found = df.agg(*sketches, F.count(F.lit(1)).alias("_n"))
+    tops = F.explode(F.array(*[F.struct(F.lit(key).alias("name"), F.col(key).alias("top")) for key in keys]))
     return (
-        found.select(F.explode("top").alias("t"), "n")
-        .filter(F.col("t.count") > F.col("n") * share)
-        .select(F.col("t.item").alias(key))
+        found.select(tops.alias("k"), "_n")
+        .select("k.name", F.explode("k.top").alias("t"), "_n")
+        .filter(F.col("t.count") > F.col("_n") * share)
+        .select("name", F.col("t.item").alias("hot"))
     )
 
 
@@ -40,14 +52,15 @@ def join_lookup(
 
     A stateful stream runs without adaptive execution. For a stream with a lookup too large to broadcast,
     ``hot`` names the hot keys, as :func:`hot_keys` finds them in the stored table: their events, and those
-    without a key, are spread over ``salts`` partitions, and only their lookup rows are repeated.
+    without a key, are spread over ``salts`` partitions, and only their lookup rows are repeated. Equal events
+    are spread too if a column ``ROW`` tells them apart.
     """
     if hot is None:
         return events.join(lookup, key, how)
     # hot_keys bounds the size of this table.
     marks = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
     spread = F.col("_hot").isNotNull() | F.col(key).isNull()
-    salt = F.pmod(F.xxhash64(*events.columns), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*([ROW] if ROW in events.columns else events.columns)), F.lit(salts)).cast("int")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_events = events.join(marks, key, "left").withColumn("_salt", F.when(spread, salt).otherwise(0))
     salted_lookup = lookup.join(marks, key, "left").withColumn("_salt", F.explode(copies))
@@ -63,6 +76,9 @@ def price_sales(
     if isinstance(price_type, T.DecimalType):
         # 18 digits keep the amount in a long.
         amount = amount.cast(T.DecimalType(18, price_type.scale))
+    if isinstance(price_type, T.LongType):
+        # A price in whole steps gives an amount in whole steps, also for a part of a unit.
+        amount = F.round(amount).cast("long")
     return (
         join_lookup(events, products.select("product_id", *columns, "base_price"), "product_id", how, hot)
         .withColumn("unit_price", F.coalesce("base_price", F.lit(0)))
@@ -98,6 +114,19 @@ def add_product(df: DataFrame, products: DataFrame, *columns: str, how: str = "l
     return join_lookup(df, products.select("product_id", *columns), "product_id", how)
 
 
+def price_report(report: DataFrame, products: DataFrame, *columns: str, prefix: str = "", how: str = "left") -> DataFrame:
+    """Add ``revenue`` and further ``columns`` of the products to a report of ``units`` per product.
+
+    The names of the report's units and of its revenue may have a ``prefix``. A price belongs to the product, so it need not
+    be known before the units are summed. Prices are in steps of :mod:`weirflow.functions.money`, as is the revenue.
+    """
+    priced = join_lookup(report, products.select("product_id", *columns, "base_price"), "product_id", how)
+    # Both factors may be large: the product is formed in decimals and must fit a long.
+    units = F.col(f"{prefix}units").cast(T.DecimalType(18, 4))
+    revenue = F.round(F.coalesce("base_price", F.lit(0)).cast(T.DecimalType(18, 0)) * units).cast("long")
+    return priced.withColumn(f"{prefix}revenue", revenue).drop("base_price")
+
+
 def enrich_sales(
     events: DataFrame,
     customers: DataFrame,
@@ -114,5 +143,5 @@ def enrich_sales(
     names = [c for c in ("product_name", "category") if c in products.columns]
     placed = add_region(events, customers, region_steps, how, hot_customers)
     return price_sales(placed, products, *names, how=how, hot=hot_products).select(
-        *events.columns, "region", *names, "unit_price", "total_amount"
+        *[c for c in events.columns if c != ROW], "region", *names, "unit_price", "total_amount"
     )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.functions.measures import total
+from weirflow.functions.measures import Measure, total
 from weirflow.functions.time import interval
 from weirflow.operators.rank import by_sales, first_n
 from weirflow.operators.sessions import join_slots, session_agg, slot_sessions, with_sessions
@@ -38,8 +38,9 @@ def product_slots(
     gap: str = "30 seconds",
     watermark: str = "2 minutes",
     keys: Sequence[str] = SESSION_KEYS,
+    measures: Sequence[Measure] = TOTALS,
 ) -> DataFrame:
-    """Product totals per customer and time slot of length ``gap``, for a stream in append mode.
+    """Product totals per customer and time slot of length ``gap``, of a table or of a stream in append mode.
 
     The slots are stored; :func:`totals_from_slots` turns the stored table into product totals per session.
     The state holds open slots only and no list that could grow with a busy customer.
@@ -50,26 +51,34 @@ def product_slots(
         .agg(
             F.min("event_time").alias("_first"),
             F.max("event_time").alias("_last"),
-            *[m.start for m in TOTALS],
+            *[m.start for m in measures],
         )
-        .select(F.col("w.start").alias("_slot"), *keys, "product_id", "_first", "_last", *[m.name for m in TOTALS])
+        .select(F.col("w.start").alias("_slot"), *keys, "product_id", "_first", "_last", *[m.name for m in measures])
     )
 
 
-def totals_from_slots(slots: DataFrame, gap: str = "30 seconds", keys: Sequence[str] = SESSION_KEYS) -> DataFrame:
+def totals_from_slots(
+    slots: DataFrame,
+    gap: str = "30 seconds",
+    keys: Sequence[str] = SESSION_KEYS,
+    measures: Sequence[Measure] = TOTALS,
+) -> DataFrame:
     """Product totals per session from a stored table of :func:`product_slots`."""
     spans = slots.groupBy(*keys, "_slot").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
     return (
         join_slots(slots, slot_sessions(spans, keys, gap), keys)
         .groupBy("session_start", "session_end", *keys, "product_id")
-        .agg(*[m.merge for m in TOTALS])
+        .agg(*[m.merge for m in measures])
     )
 
 
 def closed_only(sessions: DataFrame, slots: DataFrame, gap: str = "30 seconds") -> DataFrame:
-    """Sessions that ended within the stored slots; a later one may still grow."""
+    """Sessions that ended before the stored slots do.
+
+    One that ends just there may still grow: an event a whole gap after the last one belongs to its session.
+    """
     closed_until = slots.agg(F.max("_slot") + interval(gap)).scalar()
-    return sessions.filter(F.col("session_end") <= closed_until)
+    return sessions.filter(F.col("session_end") < closed_until)
 
 
 def session_product_mix(totals: DataFrame, k: int = 5, keys: Sequence[str] = SESSION_KEYS) -> DataFrame:

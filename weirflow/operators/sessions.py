@@ -96,6 +96,29 @@ def slot_sessions(slots: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
     )
 
 
+def slot_values(
+    df: DataFrame, keys: Sequence[str], value: str, gap: str, time: str = "event_time"
+) -> DataFrame:
+    """The different values of each key and slot, with their last time and the start of the session they lie in.
+
+    The rows are reduced before the shuffle. Of a slot's first and last time all of its values know, so the session's
+    start is a running maximum over the slots that open one, and all windows share one partitioning.
+    """
+    values = (
+        _with_slot(df.select(*keys, time, value), gap, time)
+        .groupBy(*keys, "_slot", value)
+        .agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+        .withColumn("_at", F.unix_micros(F.col("_slot").cast("timestamp")))
+    )
+    in_slot = Window.partitionBy(*keys).orderBy("_at").rangeBetween(Window.currentRow, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy(*keys).orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumns({"_slot_first": F.min("_first").over(in_slot), "_before": F.max("_last").over(before)})
+    opens = F.col("_before").isNull() | (F.col("_slot_first") > F.col("_before") + interval(gap))
+    values = values.withColumn("_opened", F.when(opens, F.col("_slot_first")))
+    return values.withColumn("session_start", F.max("_opened").over(so_far)).select(*keys, value, "_last", "session_start")
+
+
 def with_sessions(df: DataFrame, keys: Sequence[str], gap: str, time: str = "event_time") -> DataFrame:
     """Add to every row of a batch table the start and end of its session.
 

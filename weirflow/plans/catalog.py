@@ -11,20 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.functions.money import cents, in_units
+from weirflow.functions.measures import total
+from weirflow.functions.money import SCALE, in_units, steps
 from weirflow.functions.payload import parse_csv_lines, parse_json_values, to_json_text, to_kafka_payload
 from weirflow.functions.time import zoneless
 from weirflow.operators import fraud
-from weirflow.operators.enrich import add_product, add_region, enrich_sales, price_sales
+from weirflow.operators.enrich import add_product, add_region, price_report, price_sales
 from weirflow.operators.late import backdate_every_nth, late_event_audit, late_event_counts
 from weirflow.operators.product_mix import (
     product_session_fragments,
+    product_slots,
     session_product_lists,
     session_product_mix,
-    session_product_totals,
+    totals_from_slots,
 )
 from weirflow.plans import reports
-from weirflow.session import configure
+from weirflow.session import configure, stored
 from weirflow.sources.schemas import USER_ACTION, schema
 from weirflow.sources.tables import (
     action_events,
@@ -39,6 +41,7 @@ from weirflow.sources.tables import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+UNITS = (total("quantity", "product_units"),)
 WINDOW, SLIDE_SIZE, SLIDE, GAP = "30 days", "28 days", "7 days", "30 days"
 ACTION_GAP = "30 minutes"
 
@@ -52,19 +55,34 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def sales(spark: SparkSession, root: str, how: str = "left") -> DataFrame:
-    return enrich_sales(
-        order_lines(spark, root),
-        customer_lookup(spark, root),
-        product_lookup(spark, root),
-        region_steps(spark, root),
-        how,
-    )
+    """Every line with its lookups. The region is joined to the orders, of which there are fewer than lines."""
+    lines = regional_lines(spark, root, how)
+    priced = price_sales(lines, product_lookup(spark, root), "product_name", "category", how=how)
+    rest = [c for c in lines.columns if c != "region"]
+    return priced.select(*rest, "region", "product_name", "category", "unit_price", "total_amount")
 
 
 def order_lines(spark: SparkSession, root: str) -> DataFrame:
     return sales_events(read_table(spark, root, "lineitem"), read_table(spark, root, "orders"))
 
 
+def regional_lines(spark: SparkSession, root: str, how: str = "left") -> DataFrame:
+    """Order lines with the region of their order's customer."""
+    orders = read_table(spark, root, "orders").withColumn("customer_id", F.col("o_custkey"))
+    orders = add_region(orders, customer_lookup(spark, root), region_steps(spark, root), how)
+    return sales_events(read_table(spark, root, "lineitem"), orders, None, "region")
+
+
+def product_revenue(spark: SparkSession, root: str, size: str, slide: str | None = None) -> DataFrame:
+    """Revenue and units per window, region and product. Units are summed first; the price follows from the product."""
+    units = reports.product_units(regional_lines(spark, root), size, slide)
+    return price_report(units, product_lookup(spark, root), "product_name", "category")
+
+
+def dashboard(spark: SparkSession, root: str) -> DataFrame:
+    return reports.categories_from_products(product_revenue(spark, root, WINDOW))
+
+
 def priced_lines(spark: SparkSession, root: str) -> DataFrame:
     return price_sales(order_lines(spark, root), product_lookup(spark, root))
 
@@ -83,8 +101,14 @@ def kpis(spark: SparkSession, root: str) -> DataFrame:
     return placed(reports.session_kpis(priced_lines(spark, root), GAP), root)
 
 
+def product_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Product totals per session. The lines are read once: their totals per slot are stored, and read twice."""
+    slots = stored(product_slots(order_lines(spark, root), GAP, measures=UNITS), "product-slots")
+    return price_report(totals_from_slots(slots, GAP, measures=UNITS), product_lookup(spark, root), "product_name", prefix="product_")
+
+
 def product_mix(spark: SparkSession, root: str) -> DataFrame:
-    return session_product_mix(session_product_totals(priced_lines(spark, root), GAP))
+    return session_product_mix(product_totals(spark, root))
 
 
 def actions(spark: SparkSession, root: str) -> DataFrame:
@@ -107,13 +131,13 @@ def enrich_sales_inner(spark, root):
 
 @query("tumbling_sales_by_region_category")
 def tumbling_sales_by_region_category(spark, root):
-    return in_units(reports.sales_by_region_category(sales(spark, root), WINDOW, sort=True), "revenue")
+    return in_units(dashboard(spark, root).orderBy("window_start", "region", "category"), "revenue")
 
 
 @query("dashboard_first_rows")
 def dashboard_first_rows(spark, root):
     """The 40 rows a console prints of the dashboard."""
-    return in_units(reports.sales_by_region_category(sales(spark, root), WINDOW, sort=True).limit(40), "revenue")
+    return in_units(dashboard(spark, root).orderBy("window_start", "region", "category").limit(40), "revenue")
 
 
 @query("tumbling_count_by_action")
@@ -128,39 +152,35 @@ def tumbling_count(spark, root):
 
 @query("tumbling_total_by_region")
 def tumbling_total_by_region(spark, root):
-    totals = reports.region_totals(sales(spark, root), WINDOW, amount="total_amount")
-    return in_units(totals, "total_sales")
+    totals = product_revenue(spark, root, WINDOW).groupBy("window_start", "window_end", "region")
+    return in_units(totals.agg(F.sum("revenue").alias("total_sales")), "total_sales")
 
 
 @query("tumbling_product_revenue")
 def tumbling_product_revenue(spark, root):
-    revenue = reports.product_revenue(sales(spark, root), WINDOW)
-    return in_units(named(revenue, root, "product_name", "category"), "revenue")
+    return in_units(product_revenue(spark, root, WINDOW), "revenue")
 
 
 @query("sliding_product_revenue")
 def sliding_product_revenue(spark, root):
-    revenue = reports.product_revenue(sales(spark, root), SLIDE_SIZE, SLIDE)
-    return in_units(named(revenue, root, "product_name", "category"), "revenue")
+    return in_units(product_revenue(spark, root, SLIDE_SIZE, SLIDE), "revenue")
 
 
 @query("topn_products_tumbling")
 def topn_products_tumbling(spark, root):
-    revenue = reports.product_revenue(sales(spark, root), WINDOW)
-    best = named(reports.top_products(revenue), root, "product_name", "category")
+    best = reports.top_products(product_revenue(spark, root, WINDOW))
     return in_units(reports.ranking_order(best), "revenue")
 
 
 @query("topn_products_sliding")
 def topn_products_sliding(spark, root):
-    revenue = reports.product_revenue(sales(spark, root), SLIDE_SIZE, SLIDE)
-    best = named(reports.top_products(revenue), root, "product_name", "category")
+    best = reports.top_products(product_revenue(spark, root, SLIDE_SIZE, SLIDE))
     return in_units(reports.ranking_order(best, newest_first=True), "revenue")
 
 
 @query("session_amount_by_user")
 def session_amount_by_user(spark, root):
-    return in_units(reports.user_session_amounts(actions(spark, root), ACTION_GAP), "session_amount")
+    return in_units(reports.user_session_amounts(actions(spark, root), ACTION_GAP, amount="steps"), "session_amount")
 
 
 @query("session_kpis")
@@ -179,7 +199,7 @@ def session_order_revenue(spark, root):
     orders = read_table(spark, root, "orders").select(
         F.col("o_orderdate").alias("event_time"),
         F.col("o_custkey").alias("customer_id"),
-        cents("o_totalprice").alias("amount"),
+        steps("o_totalprice").alias("amount"),
         F.col("o_orderpriority").alias("region"),
     )
     return in_units(reports.order_sessions(orders, GAP), "session_revenue")
@@ -204,20 +224,18 @@ def avg_session_duration_by_region(spark, root):
 
 @query("session_product_totals")
 def session_product_totals_all(spark, root):
-    totals = session_product_totals(priced_lines(spark, root), GAP)
-    return in_units(placed(named(totals, root, "product_name"), root), "product_revenue")
+    return in_units(placed(product_totals(spark, root), root), "product_revenue")
 
 
 @query("session_product_mix")
 def session_product_mix_top5(spark, root):
-    mix = product_mix(spark, root)
-    return in_units(placed(named(mix, root, "product_name"), root), "product_revenue")
+    return in_units(placed(product_mix(spark, root), root), "product_revenue")
 
 
 @query("session_product_mix_json")
 def session_product_mix_json(spark, root):
-    mix = named(product_mix(spark, root), root, "product_name")
-    units = (F.col("product_revenue") / 100).cast("decimal(18,2)")
+    mix = product_mix(spark, root)
+    units = (F.col("product_revenue") / SCALE).cast("decimal(18,2)")
     lists = placed(session_product_lists(mix.withColumn("product_revenue", units)), root)
     return to_json_text(lists, "top_products", "top_products_json")
 
@@ -230,7 +248,7 @@ def session_product_fragments(spark, root):
 
 @query("fraud_high_value")
 def fraud_high_value(spark, root):
-    return in_units(fraud.high_value(card_transactions(spark, root), 200_00, "High Value > 200"), "amount")
+    return fraud.high_value(card_transactions(spark, root), 200)
 
 
 @query("fraud_burst")
@@ -245,7 +263,7 @@ def fraud_attribute_switch(spark, root):
 
 def alert_rules(tx: DataFrame) -> DataFrame:
     return fraud.fraud_alerts(
-        fraud.high_value(tx, 200_00, "High Value > 200"),
+        fraud.high_value(tx, 200),
         fraud.burst_activity(tx, 2, "6 hours", reason="Burst Activity > 2 txns/6 h"),
         fraud.attribute_switch(tx, gap=ACTION_GAP),
     )
@@ -253,7 +271,7 @@ def alert_rules(tx: DataFrame) -> DataFrame:
 
 @query("fraud_alerts")
 def fraud_alerts(spark, root):
-    return in_units(alert_rules(card_transactions(spark, root)), "amount")
+    return alert_rules(card_transactions(spark, root))
 
 
 def backdated(spark: SparkSession, root: str) -> DataFrame:
@@ -262,7 +280,7 @@ def backdated(spark: SparkSession, root: str) -> DataFrame:
 
 @query("late_events_backdated")
 def late_events_backdated(spark, root):
-    return in_units(backdated(spark, root), "amount")
+    return backdated(spark, root).drop("steps")
 
 
 @query("late_event_audit")
@@ -276,22 +294,20 @@ def late_event_summary(spark, root):
     return late_event_counts(late_event_audit(backdated(spark, root), 100, "30 minutes", "1 hour"))
 
 
-def event_lines(spark: SparkSession, root: str) -> DataFrame:
-    """The events as comma-separated lines. Every 97th has a time and an amount that cannot be read, every
+def event_lines(events: DataFrame) -> DataFrame:
+    """The events, a table or a stream, as comma-separated lines. Every 97th has a time and an amount that cannot be read, every
     101st stops after the user."""
     user = F.col("user_id").cast("string")
     damaged = F.col("event_id") % 97 == 0
     time = F.when(damaged, "xx").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     amount = F.when(damaged, "zz").otherwise(F.floor("value").cast("string"))
     line = F.concat_ws(",", user, time, "event_type", amount)
-    return read_table(spark, root, "events").select(
-        F.when(F.col("event_id") % 101 == 0, user).otherwise(line).alias("value")
-    )
+    return events.select(F.when(F.col("event_id") % 101 == 0, user).otherwise(line).alias("value"))
 
 
 @query("parse_event_lines")
 def parse_event_lines(spark, root):
-    return zoneless(parse_csv_lines(event_lines(spark, root), USER_ACTION))
+    return zoneless(parse_csv_lines(event_lines(read_table(spark, root, "events")), USER_ACTION))
 
 
 @query("parse_event_json")

@@ -6,10 +6,10 @@ SALES = """
 sales AS (
   SELECT o.o_orderdate AS event_time, o.o_custkey AS customer_id, r.r_name AS region,
          l.l_partkey AS product_id, p.p_name AS product_name, p.p_type AS category,
-         CAST(l.l_quantity AS INTEGER) AS quantity,
-         COALESCE(CAST(p.p_retailprice AS DECIMAL(12,2)), 0) AS unit_price,
-         CAST(COALESCE(CAST(p.p_retailprice AS DECIMAL(12,2)), 0) * CAST(l.l_quantity AS INTEGER)
-              AS DECIMAL(18,2)) AS total_amount
+         l.l_quantity AS quantity,
+         COALESCE(CAST(p.p_retailprice AS DECIMAL(12,4)), 0) AS unit_price,
+         CAST(COALESCE(CAST(p.p_retailprice AS DECIMAL(12,4)), 0) * CAST(l.l_quantity AS DECIMAL(12,4))
+              AS DECIMAL(18,4)) AS total_amount
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   {how} JOIN customer c ON o.o_custkey = c.c_custkey
@@ -71,7 +71,7 @@ in_session AS (
 
 
 MONEY = "CAST(sum(total_amount) AS DOUBLE)"
-UNITS = "CAST(sum(quantity) AS BIGINT)"
+UNITS = "sum(quantity)"
 SALES_MEASURES = f"{MONEY} AS revenue, {UNITS} AS units"
 PRODUCT = "region, product_id, product_name, category"
 EXACT = f"sum(total_amount) AS exact_revenue, {UNITS} AS units"
@@ -102,11 +102,11 @@ kpis AS (
 )"""
 
 
-def top_sessions(within: str) -> str:
+def top_sessions(within: str, closed: str = "true") -> str:
     return f"""{KPIS},
 ranked AS (
   SELECT *, dense_rank() OVER (PARTITION BY {within} ORDER BY session_revenue DESC, units DESC) AS "rank"
-  FROM kpis
+  FROM kpis WHERE {closed}
 )
 SELECT session_start, session_end, region, customer_id, CAST("rank" AS INTEGER) AS "rank",
        CAST(session_revenue AS DOUBLE) AS session_revenue, units, events_count
@@ -116,7 +116,7 @@ FROM ranked WHERE "rank" <= 5"""
 PRODUCT_TOTALS = """
 product_totals AS (
   SELECT session_start, session_end, customer_id, region, product_id, product_name,
-         CAST(sum(quantity) AS BIGINT) AS product_units, sum(total_amount) AS exact_revenue
+         sum(quantity) AS product_units, sum(total_amount) AS exact_revenue
   FROM in_session GROUP BY ALL
 )"""
 
@@ -192,7 +192,7 @@ FROM in_session GROUP BY session_start, session_end, user_id""",
 SELECT * REPLACE (CAST(session_revenue AS DOUBLE) AS session_revenue) FROM kpis""",
     "session_spend_metrics": f"""{SALES_SESSIONS}
 SELECT session_start, session_end, customer_id, region,
-       CAST(sum(total_amount) * 100 AS DOUBLE) / count(total_amount) / 100 AS avg_spend, {UNITS} AS total_items
+       CAST(sum(total_amount) * 10000 AS DOUBLE) / count(total_amount) / 10000 AS avg_spend, {UNITS} AS total_items
 FROM in_session GROUP BY session_start, session_end, customer_id, region""",
     "session_order_revenue": f"""WITH placed AS (
   SELECT o_orderdate AS event_time, o_custkey AS customer_id, CAST(o_totalprice AS DECIMAL(12,2)) AS amount,
@@ -213,7 +213,7 @@ SELECT * EXCLUDE (exact_revenue) REPLACE (CAST("position" AS INTEGER) AS "positi
        CAST(exact_revenue AS DOUBLE) AS product_revenue FROM mix""",
     "session_product_mix_json": f"""{SALES_SESSIONS}, {PRODUCT_TOTALS}, {PRODUCT_MIX}
 SELECT session_start, session_end, customer_id, region,
-       '[' || string_agg('{{"r":' || CAST(exact_revenue AS VARCHAR) || ',"u":' || product_units || ',"n":"'
+       '[' || string_agg('{{"r":' || CAST(CAST(exact_revenue AS DECIMAL(18,2)) AS VARCHAR) || ',"u":' || product_units || ',"n":"'
                          || product_name || '"}}', ',' ORDER BY "position") || ']' AS top_products_json
 FROM mix GROUP BY session_start, session_end, customer_id, region""",
     "session_product_fragments": f"""WITH {LEFT_SALES},
@@ -255,12 +255,28 @@ lines AS (
   FROM events WHERE event_id % 97 <> 0 AND event_id % 101 <> 0
 )"""
 
-# The slots a 30-day watermark has closed, and the sessions that ended before the last of them did.
+# The end of the last slot that a 30-day watermark has closed. A session is over once an event that comes still, which lies
+# in a later slot, can no longer be within a gap of its last event; a gap of just that length still joins.
 CLOSED_UNTIL = f"""(
   SELECT max({bucket('30 days')} + INTERVAL '30 days') FROM sales
   WHERE {passed('30 days', bucket('30 days') + " + INTERVAL '30 days'", 'sales', 'event_time')}
 )"""
 
+# Four parts by id. Spark drops a row whose window had ended when its part came, by the watermark of the parts before.
+LATE_COUNTS = f"""WITH {BACKDATED},
+parts AS (
+  SELECT *, {bucket('1 hour')} AS window_start, event_id // ((SELECT max(event_id) FROM events) // 4 + 1) AS part FROM backdated
+),
+marks AS (
+  SELECT part, date_trunc('milliseconds', max(max(event_time)) OVER (ORDER BY part)) - INTERVAL 30 MINUTE AS passed FROM parts GROUP BY part
+),
+kept AS (
+  SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end FROM parts LEFT JOIN marks ON marks.part = parts.part - 1
+  WHERE marks.passed IS NULL OR window_start + INTERVAL 1 HOUR > marks.passed
+)
+SELECT window_start, window_end, count(*) AS count FROM kept
+WHERE window_end <= (SELECT max(passed) FROM marks) GROUP BY ALL"""
+
 ORACLE.update(
     {
         "stream_tumbling_complete": f"WITH {ACTIONS} {ACTION_COUNTS}",
@@ -273,14 +289,21 @@ FROM in_session WHERE {passed('30 minutes', 'session_end')} GROUP BY session_sta
         "stream_sales_dashboard": f"WITH {LEFT_SALES} {DASHBOARD}",
         "stream_topn_tumbling": ORACLE["topn_products_tumbling"],
         "stream_topn_snapshot": ORACLE["topn_products_sliding"],
-        "stream_top_sessions": ORACLE["top_sessions_by_region"],
+        "stream_top_sessions": top_sessions("region", passed("30 days", "session_end", "sales", "event_time")),
+        "stream_batch_rows": f"""WITH {ACTIONS}, counts AS ({ACTION_COUNTS})
+SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n_rows FROM counts""",
+        "stream_late_counts": LATE_COUNTS,
+        "stream_json_folder": f"""WITH sent AS (
+  SELECT date_trunc('milliseconds', ts) AS event_time, event_type AS action FROM events
+), counts AS ({tumbling('sent', 'action', 'count(*) AS count', '1 hour')})
+SELECT * FROM counts WHERE {passed('30 minutes', 'window_end', 'sent', 'event_time')}""",
         "stream_avg_session_duration": f"""{KPIS}
 SELECT region, avg(epoch(session_end) - epoch(session_start)) AS avg_session_s FROM kpis
 WHERE {passed('30 days', 'session_end', 'sales', 'event_time')} GROUP BY region""",
         "stream_session_product_mix": f"""{SALES_SESSIONS}, {PRODUCT_TOTALS}, {PRODUCT_MIX}
 SELECT * EXCLUDE (exact_revenue) REPLACE (CAST("position" AS INTEGER) AS "position"),
        CAST(exact_revenue AS DOUBLE) AS product_revenue
-FROM mix WHERE session_end <= {CLOSED_UNTIL}""",
+FROM mix WHERE session_end < {CLOSED_UNTIL}""",
         "stream_fraud_alerts": f"""WITH {USER_SESSIONS}, high AS ({HIGH_VALUE}),
 burst AS (SELECT * FROM ({BURST}) WHERE {passed('5 minutes', 'window_end')}),
 switch AS (SELECT * FROM ({SWITCH}) WHERE {passed('5 minutes', 'session_end')}) {ALERTS}""",

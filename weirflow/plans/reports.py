@@ -39,6 +39,18 @@ def product_revenue(
     return sliding_agg(sales, PRODUCT_KEYS, SALES, size, slide, watermark)
 
 
+def product_units(sales: DataFrame, size: str = "1 minute", slide: str | None = None, watermark: str = "30 seconds") -> DataFrame:
+    """Units per window, region and product id, of sales that need no price yet."""
+    if slide is None:
+        return tumbling_agg(sales, PRODUCT_KEYS, SALES[1:], size, watermark)
+    return sliding_agg(sales, PRODUCT_KEYS, SALES[1:], size, slide, watermark)
+
+
+def categories_from_products(revenue: DataFrame) -> DataFrame:
+    """The sales dashboard from a finished report per product that names the category."""
+    return revenue.groupBy("window_start", "window_end", "region", "category").agg(*[m.merge for m in SALES])
+
+
 def product_revenue_from_panes(panes: DataFrame, size: str = "1 minute", slide: str = "10 seconds") -> DataFrame:
     """Sliding product revenue from a finished :func:`product_revenue` table with windows of one slide.
 
@@ -124,8 +136,10 @@ def region_totals(
     return tumbling_agg(sales, ["region"], [total(amount, "total_sales")], size, watermark)
 
 
-def user_session_amounts(actions: DataFrame, gap: str = "15 minutes", watermark: str = "30 minutes") -> DataFrame:
-    return session_agg(actions, ["user_id"], [total("amount", "session_amount")], gap, watermark)
+def user_session_amounts(
+    actions: DataFrame, gap: str = "15 minutes", watermark: str = "30 minutes", amount: str = "amount"
+) -> DataFrame:
+    return session_agg(actions, ["user_id"], [total(amount, "session_amount")], gap, watermark)
 
 
 def order_sessions(orders: DataFrame, gap: str = "30 seconds", watermark: str = "1 minute") -> DataFrame:

@@ -12,10 +12,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.functions.money import in_units
+from weirflow.functions.money import in_units, steps
 from weirflow.functions.payload import parse_csv_lines, parse_json_values
-from weirflow.functions.time import zoneless
-from weirflow.operators.enrich import enrich_sales, hot_keys, price_sales
+from weirflow.functions.time import event_clock, zoneless
+from weirflow.operators.enrich import ROW, enrich_sales, hot_keys_of, price_sales
 from weirflow.operators.late import backdate_every_nth
 from weirflow.operators.product_mix import closed_only, product_slots, session_product_mix, totals_from_slots
 from weirflow.plans import reports
@@ -33,7 +33,7 @@ from weirflow.plans.catalog import (
 )
 from weirflow.session import work_dir
 from weirflow.sources.schemas import ORDER_AMOUNT, USER_ACTION, USER_CLICK
-from weirflow.sources.streams import text_folder
+from weirflow.sources.streams import json_folder
 from weirflow.sources.tables import (
     action_events,
     customer_lookup,
@@ -56,26 +56,24 @@ from weirflow.streaming.stores import (
 
 def hot_sale_keys(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The hot keys of each join of the sales stream, as far as there are any in the tables."""
-    columns = {
-        "l_orderkey": ("lineitem", "l_orderkey"),
-        "product_id": ("lineitem", "l_partkey"),
-        "customer_id": ("orders", "o_custkey"),
-    }
-    found = [
-        hot_keys(read_table(spark, root, table), column).select(F.lit(key).alias("name"), F.col(column).alias("hot"))
-        for key, (table, column) in columns.items()
-    ]
+    names = {"l_orderkey": "l_orderkey", "l_partkey": "product_id", "o_custkey": "customer_id"}
+    tables = {"lineitem": ["l_orderkey", "l_partkey"], "orders": ["o_custkey"]}
+    # Each table is read once.
+    found = [hot_keys_of(read_table(spark, root, table), columns) for table, columns in tables.items()]
     # At most 500 keys of each kind, by the default share of hot_keys.
     keys = defaultdict(list)
     for row in reduce(DataFrame.unionAll, found).collect():
-        keys[row.name].append((row.hot,))
+        keys[names[row.name]].append((row.hot,))
     return {name: spark.createDataFrame(rows, f"{name} bigint") for name, rows in keys.items()}
 
 
 def line_stream(spark: SparkSession, root: str, hot: dict[str, DataFrame]) -> DataFrame:
     """Order lines as a stream, joined with the orders as a static table."""
     lineitem, orders = stream_table(spark, root, "lineitem"), read_table(spark, root, "orders")
-    return sales_events(lineitem, orders, hot.get("l_orderkey"))
+    hot_orders = hot.get("l_orderkey")
+    if hot and hot_orders is None:
+        hot_orders = spark.createDataFrame([], "l_orderkey bigint")
+    return sales_events(lineitem, orders, hot_orders)
 
 
 def sales_stream(spark: SparkSession, root: str, how: str = "left", backdate: str | None = None) -> DataFrame:
@@ -97,26 +95,16 @@ def sales_stream(spark: SparkSession, root: str, how: str = "left", backdate: st
 
 def priced_stream(spark: SparkSession, root: str) -> DataFrame:
     hot = hot_sale_keys(spark, root)
-    return price_sales(line_stream(spark, root, hot), product_lookup(spark, root), hot=hot.get("product_id"))
+    return price_sales(line_stream(spark, root, hot), product_lookup(spark, root), hot=hot.get("product_id")).drop(ROW)
 
 
 def action_stream(spark: SparkSession, root: str) -> DataFrame:
     return action_events(stream_table(spark, root, "events"))
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """As many as the session shuffles into; on a single machine no more than it has cores."""
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    context = spark.sparkContext
-    return min(wanted, context.defaultParallelism) if context.master.startswith("local") else wanted
-
-
 def to_the_end(df: DataFrame, mode: str, sink: str, out: str, **options) -> None:
-    """Run over what the source holds, with the checkpoint below ``out``."""
-    partitions = state_partitions(df.sparkSession)
-    run_stream(
-        df, mode, sink, checkpoint=f"{out}/checkpoint", available_now=True, state_partitions=partitions, **options
-    )
+    """Run over what the source holds, with the checkpoint below ``out`` and the state on disk."""
+    run_stream(df, mode, sink, checkpoint=f"{out}/checkpoint", available_now=True, rocksdb=True, **options)
 
 
 def appended(df: DataFrame, purpose: str) -> DataFrame:
@@ -140,13 +128,6 @@ def latest(df: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
     return zoneless(read_latest_changes(df.sparkSession, f"{out}/rows", keys))
 
 
-def text_stream(lines: DataFrame, purpose: str) -> DataFrame:
-    """Lines as a stream of text files."""
-    folder = work_dir(lines.sparkSession, purpose)
-    lines.write.text(folder)
-    return text_folder(lines.sparkSession, folder)
-
-
 @query("stream_tumbling_complete")
 def stream_tumbling_complete(spark, root):
     return snapshot(reports.action_counts(action_stream(spark, root), "1 hour", "30 minutes"), "counts")
@@ -165,48 +146,82 @@ def stream_tumbling_update(spark, root):
 
 @query("stream_session_append")
 def stream_session_append(spark, root):
-    sessions = reports.user_session_amounts(action_stream(spark, root), ACTION_GAP, "30 minutes")
+    sessions = reports.user_session_amounts(action_stream(spark, root), ACTION_GAP, "30 minutes", "steps")
     return in_units(appended(sessions, "sessions"), "session_amount")
 
 
 @query("stream_sales_dashboard")
 def stream_sales_dashboard(spark, root):
-    """The dashboard, sorted, kept as a snapshot and published as a view."""
-    table = reports.sales_by_region_category(sales_stream(spark, root), WINDOW, "30 days", sort=True)
-    return in_units(snapshot(table, "dashboard", view="dashboard_live"), "revenue")
-
-
-def live_top_products(spark: SparkSession, root: str, size: str, slide: str | None, view: str) -> DataFrame:
-    """Revenue is kept by the stream, per window or per slide; each snapshot of it is ranked as a table."""
-    revenue = reports.product_revenue(sales_stream(spark, root), slide or size, watermark="30 days")
-
-    def ranked(batch: DataFrame) -> DataFrame:
-        if slide is not None:
-            batch = reports.product_revenue_from_panes(batch, size, slide)
-        best = named(reports.top_products(batch), root, "product_name", "category")
-        return reports.ranking_order(best, newest_first=slide is not None)
-
-    return in_units(snapshot(revenue, "topn", ranked, view), "revenue")
+    """The dashboard in update mode: the watermark ends a window's state, the store keeps its last row."""
+    table = reports.sales_by_region_category(sales_stream(spark, root), WINDOW, "30 days")
+    last = latest(table, "dashboard", ["window_start", "window_end", "region", "category"])
+    return in_units(last, "revenue").orderBy("window_start", "region", "category")
 
 
 @query("stream_topn_tumbling")
 def stream_topn_tumbling(spark, root):
-    return live_top_products(spark, root, WINDOW, None, "topn_live")
+    """Revenue is kept per window in update mode; the store of it is ranked when it is read."""
+    revenue = reports.product_revenue(sales_stream(spark, root), WINDOW, watermark="30 days")
+    last = latest(revenue, "topn", ["window_start", "window_end", "region", "product_id"])
+    best = named(reports.top_products(last), root, "product_name", "category")
+    return in_units(reports.ranking_order(best), "revenue")
 
 
 @query("stream_topn_snapshot")
 def stream_topn_snapshot(spark, root):
-    return live_top_products(spark, root, SLIDE_SIZE, SLIDE, "topn_sliding_live")
+    """Revenue is kept per slide in complete mode; each snapshot is ranked, and read through its view."""
+    revenue = reports.product_revenue(sales_stream(spark, root), SLIDE, watermark="30 days")
+
+    def ranked(batch: DataFrame) -> DataFrame:
+        best = reports.top_products(reports.product_revenue_from_panes(batch, SLIDE_SIZE, SLIDE))
+        return named(best, root, "product_name", "category")
+
+    snapshot(revenue, "topn", ranked, "topn_sliding_live")
+    best = zoneless(spark.table("global_temp.topn_sliding_live"))
+    return in_units(reports.ranking_order(best, newest_first=True), "revenue")
+
+
+@query("stream_batch_rows")
+def stream_batch_rows(spark, root):
+    """The number of rows of each snapshot, as its writer reports them."""
+    out, seen = work_dir(spark, "rows"), []
+    write = snapshot_writer(f"{out}/rows", report=lambda *batch: seen.append(batch))
+    to_the_end(reports.action_counts(action_stream(spark, root), "1 hour"), "complete", "batch", out, on_batch=write)
+    return spark.createDataFrame(seen, "batch_id bigint, n_rows bigint")
+
+
+@query("stream_late_counts")
+def stream_late_counts(spark, root):
+    """Hourly counts of events that arrive in four parts, some of them too late.
+
+    The events come by their ids, every 50th moved back in time. After each part the query stops, and it resumes from
+    its checkpoint when the next has come. What the watermark has passed is dropped.
+    """
+    out = work_dir(spark, "parts")
+    events = backdate_every_nth(action_events(read_table(spark, root, "events")), 50, "90 minutes").drop("steps")
+    parts = events.withColumn("part", F.floor(F.col("event_id") / late_part(spark, root)).cast("int"))
+    stored_schema = events.schema
+    for part in range(4):
+        parts.filter(F.col("part") == part).drop("part").write.parquet(f"{out}/in/part{part}")
+        arrived = event_clock(spark.readStream.schema(stored_schema).parquet(f"{out}/in/*"))
+        to_the_end(
+            reports.event_counts(arrived, "1 hour", "30 minutes"), "append", "parquet", out, path=f"{out}/rows"
+        )
+    fields = "window_start timestamp, window_end timestamp, count bigint"
+    return zoneless(spark.read.schema(fields).parquet(f"{out}/rows"))
+
+
+def late_part(spark: SparkSession, root: str) -> int:
+    """Ids in each of four parts."""
+    last = read_table(spark, root, "events").agg(F.max("event_id")).first()[0]
+    return (last or 0) // 4 + 1
 
 
 @query("stream_top_sessions")
 def stream_top_sessions(spark, root):
-    kpis = reports.session_kpis(priced_stream(spark, root), GAP, "30 days")
-
-    def ranked(batch: DataFrame) -> DataFrame:
-        return reports.top_sessions(placed(batch, root), sort=True)
-
-    return in_units(snapshot(kpis, "sessions", ranked, "sessions_topn_live"), "session_revenue")
+    """Sessions are appended once the watermark has closed them, and ranked from the table of them."""
+    closed = appended(reports.session_kpis(priced_stream(spark, root), GAP, "30 days"), "sessions")
+    return in_units(reports.top_sessions(placed(closed, root), sort=True), "session_revenue")
 
 
 @query("stream_avg_session_duration")
@@ -228,7 +243,7 @@ def stream_session_product_mix(spark, root):
 @query("stream_fraud_alerts")
 def stream_fraud_alerts(spark, root):
     alerts = alert_rules(transactions(stream_table(spark, root, "events")))
-    return in_units(appended(alerts, "alerts"), "amount")
+    return appended(alerts, "alerts")
 
 
 @query("stream_late_enrichment")
@@ -240,13 +255,13 @@ def stream_late_enrichment(spark, root):
 @query("stream_line_sessions")
 def stream_line_sessions(spark, root):
     """Text lines to session amounts; lines that cannot be read have no time and join no session."""
-    lines = parse_csv_lines(text_stream(event_lines(spark, root), "lines"), USER_ACTION)
+    lines = parse_csv_lines(event_lines(stream_table(spark, root, "events")), USER_ACTION)
     return appended(reports.user_session_amounts(lines, ACTION_GAP, "30 minutes"), "sessions")
 
 
 @query("stream_line_counts")
 def stream_line_counts(spark, root):
-    lines = parse_csv_lines(text_stream(event_lines(spark, root), "lines"), USER_CLICK)
+    lines = parse_csv_lines(event_lines(stream_table(spark, root, "events")), USER_CLICK)
     return appended(reports.action_counts(lines, "1 hour", "30 minutes"), "counts")
 
 
@@ -259,7 +274,16 @@ def stream_json_sessions(spark, root):
         F.col("value").alias("amount"),
         F.col("event_type").alias("region"),
     )
-    messages = read_table(spark, root, "events").select(F.to_json(order).alias("value"))
-    orders = parse_json_values(text_stream(messages, "messages"), ORDER_AMOUNT)
-    sessions = appended(reports.order_sessions(orders, ACTION_GAP, "1 hour"), "sessions")
-    return sessions.withColumn("session_revenue", F.round("session_revenue", 2))
+    messages = stream_table(spark, root, "events").select(F.to_json(order).alias("value"))
+    orders = parse_json_values(messages, ORDER_AMOUNT).withColumn("amount", steps("amount"))
+    return in_units(appended(reports.order_sessions(orders, ACTION_GAP, "1 hour"), "sessions"), "session_revenue")
+
+
+@query("stream_json_folder")
+def stream_json_folder(spark, root):
+    """A folder of JSON lines as a stream of clicks, counted by hour."""
+    folder = work_dir(spark, "json")
+    clicks = read_table(spark, root, "events").select("user_id", F.col("ts").alias("event_time"), F.col("event_type").alias("action"))
+    clicks.write.json(folder)
+    arrived = json_folder(spark, folder, USER_CLICK)
+    return appended(reports.action_counts(arrived, "1 hour", "30 minutes"), "counts")

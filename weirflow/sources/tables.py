@@ -1,4 +1,7 @@
-"""The stored tables, and the sales and action events read from them. Money is in cents."""
+"""The stored tables, and the sales and action events read from them.
+
+Prices and ``steps`` are in steps of :mod:`weirflow.functions.money`, for sums; ``amount`` is the amount itself.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirflow.functions.money import cents
+from weirflow.functions.money import steps
 from weirflow.functions.time import event_clock
-from weirflow.operators.enrich import join_lookup
+from weirflow.operators.enrich import ROW, join_lookup
 
 _schemas: dict[tuple[str, str], T.StructType] = {}
 
@@ -57,23 +60,26 @@ def product_lookup(spark: SparkSession, root: str) -> DataFrame:
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        cents("p_retailprice").alias("base_price"),
+        steps("p_retailprice").alias("base_price"),
     )
 
 
-def sales_events(lineitem: DataFrame, orders: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def sales_events(lineitem: DataFrame, orders: DataFrame, hot: DataFrame | None = None, *columns: str) -> DataFrame:
     """Order lines as sales events. ``lineitem`` may be a stream.
 
     Both sides grow with the data, so the join is left to a shuffle. In a batch adaptive execution splits an
-    order key with too many lines; for a stream ``hot`` can name such keys.
+    order key with too many lines; for a stream ``hot`` can name such keys. ``columns`` of the orders are kept.
+    With ``hot``, ``ROW`` tells the lines apart, so that joins to come can spread equal ones.
     """
-    placed = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey")
+    placed = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey", *columns)
     lines = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     events = join_lookup(lines, placed, "l_orderkey", "inner", hot).select(
         F.col("o_orderdate").alias("event_time"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_quantity").alias("quantity"),
+        *columns,
+        *([F.xxhash64("l_orderkey", "l_linenumber").alias(ROW)] if hot is not None else []),
     )
     return event_clock(events)
 
@@ -85,7 +91,8 @@ def action_events(events: DataFrame) -> DataFrame:
         F.col("ts").alias("event_time"),
         "user_id",
         F.col("event_type").alias("action"),
-        cents("value").alias("amount"),
+        F.col("value").alias("amount"),
+        steps("value").alias("steps"),
     )
     return event_clock(actions)
 
@@ -96,7 +103,7 @@ def transactions(events: DataFrame) -> DataFrame:
         events.select(
             F.col("event_id").alias("transaction_id"),
             "user_id",
-            cents("value").alias("amount"),
+            F.col("value").alias("amount"),
             F.col("event_type").alias("region"),
             F.col("ts").alias("event_time"),
         )

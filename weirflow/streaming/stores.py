@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from weirflow.streaming.runner import BatchWriter
 
+#: Snapshots that stay beside the current one.
+KEPT = 3
+
 Shape = Callable[[DataFrame], DataFrame]
 
 
@@ -24,23 +27,28 @@ def snapshot_writer(
 ) -> BatchWriter:
     """Keep the result of a complete-mode query as a table that always holds the latest state.
 
-    ``shape`` is applied to each batch, which is an ordinary table: it may rank or sort. Two folders are
-    written in turn, so readers of the last snapshot are not disturbed by the next. ``view`` publishes it as
+    ``shape`` is applied to each batch, which is an ordinary table: it may rank or sort. Each snapshot has a folder of
+    its own, and a small file written after it names it as the current one. Of the older ones the last ``KEPT`` stay, so
+    whoever has begun to read one is not disturbed by that many batches. ``view`` publishes the current one as
     ``global_temp.<view>``; ``report`` is given the batch number and its number of rows.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         result = shape(batch) if shape else batch
-        target = f"{path}/turn={epoch % 2}"
+        target = f"{path}/snapshot-{epoch:012d}"
         counted = Observation()
         (
-            result.withColumn("epoch_id", F.lit(epoch).cast("long"))
-            .observe(counted, F.count(F.lit(1)).alias("rows"))
+            result.observe(counted, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite")
             .parquet(target)
         )
+        spark = batch.sparkSession
+        spark.createDataFrame([(epoch,)], "epoch_id long").coalesce(1).write.mode("overwrite").parquet(f"{path}/current-{epoch:012d}")
+        for old in range(max(0, epoch - KEPT - 8), epoch - KEPT):
+            for name in ("current", "snapshot"):
+                _remove(spark, f"{path}/{name}-{old:012d}")
         if view is not None:
-            batch.sparkSession.read.parquet(target).drop("epoch_id").createOrReplaceGlobalTempView(view)
+            spark.read.schema(result.schema).parquet(target).createOrReplaceGlobalTempView(view)
         if report is not None:
             report(epoch, counted.get["rows"])
 
@@ -48,10 +56,15 @@ def snapshot_writer(
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The latest snapshot below ``path``."""
-    both = spark.read.parquet(path)
-    latest = spark.read.parquet(path).agg(F.max("epoch_id")).scalar()
-    return both.filter(F.col("epoch_id") == latest).drop("epoch_id", "turn")
+    """The latest snapshot below ``path``, also if it is empty."""
+    latest = spark.read.parquet(f"{path}/current-*").agg(F.max("epoch_id")).first()[0]
+    return spark.read.parquet(f"{path}/snapshot-{latest:012d}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this module wrote, where the session's file systems are."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def changes_writer(path: str, shape: Shape | None = None) -> BatchWriter:
