@@ -165,9 +165,9 @@ def _live(frequent: DataFrame, num: int, den: int) -> DataFrame:
     return frequent.groupBy("part").applyInPandas(finish, fields)
 
 
-def search(sets: list[np.ndarray], n: np.ndarray, side: np.ndarray, num: int, den: int):
-    """All linked pairs of sets, as positions. ``n`` is ascending; with two sides only pairs across them."""
-    m, across = len(sets), len(np.unique(side)) > 1
+def search(sets: list[np.ndarray], n: np.ndarray, side: np.ndarray | None, num: int, den: int):
+    """All linked pairs of sets, as positions. ``n`` is ascending; with sides given only pairs across them."""
+    m = len(sets)
     lengths = np.array([len(s) for s in sets])
     names, key = np.unique(np.concatenate(sets), return_inverse=True)
     lists = np.sort(key.astype(np.int64) * m + np.repeat(np.arange(m), lengths))
@@ -198,7 +198,7 @@ def search(sets: list[np.ndarray], n: np.ndarray, side: np.ndarray, num: int, de
             keep = found >= need - rest
             who, found = who[keep], found[keep]
         linked = den * found >= num * (n[q] + n[who] - found)
-        if across:
+        if side is not None:
             linked &= side[who] != side[q]
         yield q, who[linked]
 
@@ -216,7 +216,8 @@ def _search(bucketed: DataFrame, num: int, den: int) -> DataFrame:
                 parent[x] = x = parent[parent[x]]
             return x
 
-        for q, who in search(pdf["keys"].tolist(), pdf["n"].to_numpy().astype(np.int64), pdf["block"].to_numpy(), num, den):
+        side = None if pdf["i"].iloc[0] == pdf["j"].iloc[0] else pdf["block"].to_numpy()
+        for q, who in search(pdf["keys"].tolist(), pdf["n"].to_numpy().astype(np.int64), side, num, den):
             total[q] += weight[who].sum()
             total[who] += weight[q]
             for w in who.tolist():
