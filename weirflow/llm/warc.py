@@ -127,7 +127,7 @@ def read_archive(source) -> Iterator[tuple[dict[str, str], bytes]]:
             yield parse_record(b"".join(parts))
             data = frame.unused_data
             frame, parts = unpack.decompressobj(), []
-    _check(not any(parts), "a frame is cut off")
+    _check(not parts, "a frame is cut off")
 
 
 def with_first(pages: DataFrame, least: int = 0) -> DataFrame:
