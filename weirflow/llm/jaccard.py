@@ -28,8 +28,8 @@ from weirflow.llm.common import CHUNK, as_bytes, batch, runs, saved, ship
 from weirflow.llm.components import components
 from weirflow.llm.shingles import shingle_sets
 
-#: Shingles in one range of hashes, and shared shingles of one block in the search.
-RANGE_SIZE, BLOCK_SIZE = 2_500_000, 2_000_000
+#: Shingles in one range of hashes; shared shingles and sets of one block in the search.
+RANGE_SIZE, BLOCK_SIZE, BLOCK_SETS = 2_500_000, 2_000_000, 1024
 #: What a binary search costs against one step of a merge: DivideSkip probes T / (PROBE * log2(longest) + 1) lists.
 PROBE = 1.0
 
@@ -250,7 +250,8 @@ def jaccard_groups(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
 
     placed = live.drop("prefix").join(bucket.withColumnsRenamed({"vertex": "set_id", "root": "bucket"}), "set_id")
     placed = saved(placed.join(classes.select("set_id", "weight"), "set_id"), "shingle-buckets")
-    blocks = placed.groupBy("bucket").agg(F.ceil(F.sum(F.size("keys")) / BLOCK_SIZE).cast("int").alias("blocks"))
+    full = F.greatest(F.sum(F.size("keys")) / BLOCK_SIZE, F.count("*") / BLOCK_SETS)
+    blocks = placed.groupBy("bucket").agg(F.ceil(full).cast("int").alias("blocks"))
     placed = placed.join(blocks, "bucket").withColumn("block", F.pmod(F.hash("set_id"), "blocks"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
