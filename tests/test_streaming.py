@@ -1,6 +1,7 @@
 """Streams over small files, one micro-batch per file."""
 
 import itertools
+import time
 
 import pytest
 from helpers import at, rows, write_lines
@@ -25,7 +26,7 @@ from weirflow.sources.streams import (
     text_folder,
 )
 from weirflow.sources.tables import action_events, read_table
-from weirflow.streaming.runner import check_sink, run_stream, stop_all, stream_metrics
+from weirflow.streaming.runner import check_sink, progress_writer, run_stream, stop_all, recent_metrics
 from weirflow.streaming.stores import changes_writer, jdbc_writer, read_latest_changes, read_snapshot, snapshot_writer
 
 LATE_FILES = [
@@ -64,7 +65,7 @@ def test_append_drops_what_comes_too_late(spark, tmp_path):
             counts_stream(spark, tmp_path / "in"), "append", "parquet", checkpoint=str(tmp_path / "cp"),
             path=str(tmp_path / "out"), available_now=True,
         )
-        metrics = stream_metrics(query)
+        metrics = recent_metrics(query)
         totals = metrics.agg(F.sum("rows_dropped"), F.sum("input_rows")).first()
         dropped, read = dropped + totals[0], read + totals[1]
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == [
@@ -175,6 +176,27 @@ def test_rocksdb_state_gives_the_same(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
 
 
+def test_every_batch_is_in_the_progress_table(spark, tmp_path):
+    late_lines(tmp_path / "in")
+    listener = progress_writer(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(listener)
+    try:
+        run_stream(
+            counts_stream(spark, tmp_path / "in"), "append", "parquet", checkpoint=str(tmp_path / "cp"),
+            path=str(tmp_path / "out"), available_now=True,
+        )
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        deadline = time.monotonic() + 20
+        total = None
+        while total != 8 and time.monotonic() < deadline:
+            time.sleep(0.5)
+            if (tmp_path / "progress").exists():
+                total = spark.read.parquet(str(tmp_path / "progress")).agg(F.sum("input_rows")).first()[0]
+    finally:
+        spark.streams.removeListener(listener)
+    assert total == 8
+
+
 def test_memory_sink_answers_sql(spark, small):
     counts = reports.action_counts(action_events(stream_table(spark, small, "events")), "1 day")
     run_stream(counts, "complete", "memory", name="agg_live", available_now=True)
@@ -292,7 +314,7 @@ def test_state_ends_with_the_watermark_in_update_mode(spark, tmp_path):
             counts_stream(spark, tmp_path / "in"), "update", "batch", checkpoint=str(tmp_path / "cp"),
             on_batch=changes_writer(str(tmp_path / "out")), available_now=True, rocksdb=True,
         )
-        held.append(stream_metrics(query).orderBy(F.desc("batch_id")).first().state_rows)
+        held.append(recent_metrics(query).orderBy(F.desc("batch_id")).first().state_rows)
     assert max(held) == 2 and held[-1] == 1
 
 

@@ -40,7 +40,9 @@ def session_slots(
 
 
 def number_sessions(slots: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
-    """Give the slots of each key a running session number."""
+    """Give the slots of each key a running session number. Without keys all slots would be ordered in one task."""
+    if not keys:
+        raise ValueError("sessions need a key")
     in_order = Window.partitionBy(*keys).orderBy("_slot")
     last_before = F.lag("_last").over(in_order)
     opens = last_before.isNull() | (F.col("_first") > last_before + interval(gap))

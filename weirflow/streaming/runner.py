@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 MODES = ("append", "update", "complete")
 SINKS = ("console", "memory", "parquet", "kafka", "batch")
@@ -116,25 +117,52 @@ _METRICS = (
 )
 
 
-def stream_metrics(query: StreamingQuery) -> DataFrame:
+def metric_rows(report: str) -> list[tuple]:
+    """A progress report as rows of metrics, one per stateful operator, or one without."""
+    progress = json.loads(report)
+    watermark = progress.get("eventTime", {}).get("watermark")
+    return [
+        (
+            progress["batchId"],
+            progress["numInputRows"],
+            watermark,
+            operator.get("operatorName"),
+            operator.get("numRowsTotal"),
+            operator.get("memoryUsedBytes"),
+            operator.get("numRowsDroppedByWatermark"),
+        )
+        for operator in progress.get("stateOperators") or [{}]
+    ]
+
+
+def progress_writer(spark: SparkSession, path: str) -> StreamingQueryListener:
+    """A listener that adds the metrics of every batch of the session's queries to a table, so that none is lost.
+
+    Register it with ``spark.streams.addListener`` and take it out again with ``removeListener``.
+    """
+
+    class Writer(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            pass
+
+        def onQueryProgress(self, event):
+            rows = [(str(event.progress.id), *row) for row in metric_rows(event.progress.json)]
+            spark.createDataFrame(rows, f"query_id string, {_METRICS}").coalesce(1).write.mode("append").parquet(path)
+
+        def onQueryIdle(self, event):
+            pass
+
+        def onQueryTerminated(self, event):
+            pass
+
+    return Writer()
+
+
+def recent_metrics(query: StreamingQuery) -> DataFrame:
     """One row per recent batch and stateful operator: rows read, state held, late rows dropped.
 
-    Spark keeps a bounded number of progress reports (``spark.sql.streaming.numRecentProgressUpdates``).
+    Spark keeps a bounded number of progress reports (``spark.sql.streaming.numRecentProgressUpdates``), so on a long run this is
+    the recent past only; ``progress_writer`` keeps all of them.
     """
-    rows = []
-    for report in query.recentProgress:
-        progress = json.loads(report.json)
-        watermark = progress.get("eventTime", {}).get("watermark")
-        for operator in progress.get("stateOperators") or [{}]:
-            rows.append(
-                (
-                    progress["batchId"],
-                    progress["numInputRows"],
-                    watermark,
-                    operator.get("operatorName"),
-                    operator.get("numRowsTotal"),
-                    operator.get("memoryUsedBytes"),
-                    operator.get("numRowsDroppedByWatermark"),
-                )
-            )
+    rows = [row for report in query.recentProgress for row in metric_rows(report.json)]
     return SparkSession.active().createDataFrame(rows, _METRICS)
