@@ -6,12 +6,15 @@ import os
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from weirflow.session import work_dir
 
 #: Text handled at once in a task, in bytes.
 CHUNK = 1 << 20
+#: A batch of rows between the JVM and Python, in bytes.
+BATCH = 8 << 20
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -30,7 +33,14 @@ def partitions(spark: SparkSession) -> int:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Let Python workers started by this session import this package from where the driver has it."""
+    """Let Python workers started by this session import this package from where the driver has it.
+
+    Batches handed to them hold ``BATCH`` bytes at most, unless the session has a limit of its own: a task holds a batch in the
+    JVM and in Python at once, besides what it computes.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, str(BATCH))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
@@ -43,6 +53,13 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[list[bytes]]:
+    """The texts of a batch in order, about ``limit`` bytes at a time; only those are held besides the batch."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for run in runs(sizes, limit):
+        yield as_bytes(column.slice(run.start, run.stop - run.start))
+
+
 def runs(sizes: Iterable[int], limit: int = CHUNK) -> Iterator[slice]:
     """Consecutive rows whose sizes add up to about ``limit``; a larger row stands alone."""
     start = total = at = 0

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import CHUNK, as_bytes, batch, runs, saved, ship
+from weirflow.llm.common import CHUNK, batch, chunks, runs, saved, ship
 from weirflow.llm.components import components
 from weirflow.llm.shingles import shingle_sets
 
@@ -44,9 +44,9 @@ def shingle_table(docs: DataFrame, words: int) -> DataFrame:
 
     def sets(batches):
         for part in batches:
-            texts, n, ids = as_bytes(part.column(1)), [], []
-            for run in runs(map(len, texts)):
-                for keys in shingle_sets(texts[run], words):
+            n, ids = [], []
+            for texts in chunks(part.column(1)):
+                for keys in shingle_sets(texts, words):
                     n.append(len(keys))
                     ids.append(_set_id(keys) if len(keys) else None)
             yield batch(schema, part.column(0), n, ids)
@@ -91,11 +91,10 @@ def _postings(docs: DataFrame, words: int, ranges: int) -> DataFrame:
 
     def deal(batches):
         for part in batches:
-            texts = as_bytes(part.column(1))
-            for group in runs(map(len, texts), 8 * CHUNK):
+            for group in chunks(part.column(1), 8 * CHUNK):
                 held = {}
-                for run in runs(map(len, texts[group])):
-                    for keys in shingle_sets(texts[group][run], words):
+                for run in runs(map(len, group)):
+                    for keys in shingle_sets(group[run], words):
                         if len(keys):
                             held.setdefault(_set_id(keys), keys)
                 if held:

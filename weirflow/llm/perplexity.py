@@ -9,7 +9,8 @@ documents of its language.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import CHUNK, as_bytes, batch, runs, saved, ship
+from weirflow.llm.common import batch, chunks, saved, ship
 
 ORDER = 4
 SYMBOLS = 64
@@ -86,9 +87,8 @@ def count_ngrams(docs: DataFrame, text: str = "text") -> DataFrame:
     def count(batches):
         kept, total = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for part in batches:
-            texts = as_bytes(part.column(0))
-            for run in runs(map(len, texts)):
-                keys, n = np.unique(ngram_keys(texts[run])[0], return_counts=True)
+            for texts in chunks(part.column(0)):
+                keys, n = np.unique(ngram_keys(texts)[0], return_counts=True)
                 kept, where = np.unique(np.concatenate([kept, keys]), return_inverse=True)
                 total = np.bincount(where, np.concatenate([total, n])).astype(np.int64)
         yield batch(schema, kept, total)
@@ -128,35 +128,30 @@ def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
 
 def dense(levels: list[tuple[pd.DataFrame, pd.DataFrame]]) -> np.ndarray:
     """Log probabilities of all 64 ** ORDER n-grams: those seen, and by the contexts' back-off all others."""
-    p = np.full(1, 1.0 / SYMBOLS, np.float32)
+    p = np.full(SYMBOLS, 1.0 / SYMBOLS, np.float32)
     for order, (seen, contexts) in enumerate(levels, 1):
         backoff = np.ones(SYMBOLS ** (order - 1), np.float32)
         backoff[contexts["context"]] = contexts["backoff"]
         # A key is its context and one symbol more; the order below knows it without its first symbol.
-        below = np.broadcast_to(p, (SYMBOLS, len(p))).reshape(-1, SYMBOLS if order > 1 else 1)
-        p = (below * backoff[:, None] if order > 1 else np.repeat(below * backoff[:, None], SYMBOLS)[:SYMBOLS]).ravel()
+        below = p if order == 1 else np.tile(p, SYMBOLS)
+        p = below.reshape(-1, SYMBOLS)
+        p *= backoff[:, None]
+        p = p.ravel()
         p[seen["key"]] = seen["p"]
     return np.log(p, out=p)
 
 
+@dataclass
 class Model:
     """The trained tables, and the average log probability of the text they come from."""
 
-    def __init__(self, levels, average: float):
-        self.levels, self.average = levels, average
-        self._table: np.ndarray | None = None
+    levels: list[tuple[pd.DataFrame, pd.DataFrame]]
+    average: float
 
-    def __getstate__(self):
-        return self.levels, self.average, None
-
-    def __setstate__(self, state):
-        self.levels, self.average, self._table = state
-
-    def perplexities(self, texts: list[bytes]) -> list[float]:
-        if self._table is None:
-            self._table = dense(self.levels)
+    def perplexities(self, table: np.ndarray, texts: list[bytes]) -> list[float]:
+        """Of each text, by the ``dense`` table of the levels. A task makes that once and drops it when it ends."""
         keys, ends = ngram_keys(texts)
-        total = np.concatenate([[0.0], np.cumsum(self._table[keys], dtype=np.float64)])
+        total = np.concatenate([[0.0], np.cumsum(table[keys], dtype=np.float64)])
         begins = np.concatenate([[0], ends[:-1]])
         n = ends - begins
         short = np.maximum(LEAST_CHARS - n, 0)
@@ -179,11 +174,12 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "perple
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def judge(series):
-        texts = [(x or "").encode() for x in series]
-        return pd.Series([p for run in runs(map(len, texts)) for p in sent.value.perplexities(texts[run])], dtype="float64")
+    def judge(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known, probabilities = sent.value, dense(sent.value.levels)
+        for part in parts:
+            yield pa.array([p for texts in chunks(part) for p in known.perplexities(probabilities, texts)], pa.float64())
 
-    return docs.withColumn(name, F.pandas_udf(judge, "double")(F.col(text)))
+    return docs.withColumn(name, F.arrow_udf(judge, "double")(F.col(text)))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
