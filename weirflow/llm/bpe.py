@@ -12,6 +12,7 @@ The pieces are those of the pattern
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import CHUNK, as_bytes, batch, runs, ship
+from weirflow.llm.common import batch, chunks, ship
 
 _LETTER, _NUMBER, _OTHER, _SPACE = range(4)
 #: The white space of Unicode.
@@ -242,13 +243,10 @@ def load(path: str) -> Bpe:
 ENCODED = pa.schema([("ids", pa.list_(pa.int32())), ("offsets", pa.list_(pa.int64()))])
 
 
-def _encoded(column: pa.Array, bpe: Bpe):
-    """Ids and offsets of a batch of texts, about CHUNK bytes at a time."""
-    texts = [t.decode("utf-8", "replace") for t in as_bytes(column)]
-    for run in runs(map(len, texts)):
-        for ids in bpe.encode(texts[run]):
-            ids = np.array(ids, np.int64)
-            yield ids, bpe.offsets(ids)
+def _encoded(column: pa.Array, bpe: Bpe) -> Iterator[list[np.ndarray]]:
+    """The ids of a batch of texts, about a megabyte of text at a time."""
+    for texts in chunks(column):
+        yield [np.array(ids, np.int64) for ids in bpe.encode([t.decode("utf-8", "replace") for t in texts])]
 
 
 def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -262,12 +260,11 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -
     def tokens(batches):
         bpe = load(path)
         for part in batches:
-            rows = part.column(0)
-            for start, run in enumerate(_encoded(part.column(1), bpe)):
-                yield pa.RecordBatch.from_arrays(
-                    [rows.slice(start, 1), pa.array([run[0]], ENCODED.field(0).type), pa.array([run[1]], ENCODED.field(1).type)],
-                    names=[id, *ENCODED.names],
-                )
+            at = 0
+            for ids in _encoded(part.column(1), bpe):
+                lists = [pa.array(x, f.type) for x, f in zip((ids, [bpe.offsets(i) for i in ids]), ENCODED)]
+                yield pa.RecordBatch.from_arrays([part.column(0).slice(at, len(ids)), *lists], names=[id, *ENCODED.names])
+                at += len(ids)
 
     kind = docs.schema[id].dataType.simpleString()
     return docs.select(id, text).mapInArrow(tokens, f"`{id}` {kind}, ids array<int>, offsets array<bigint>")
@@ -299,7 +296,8 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         for part in batches:
             rows = [
                 (len(ids), sha256(ids.astype("<u4").tobytes()).hexdigest(), sha256(bpe.decode(ids.tolist())).hexdigest())
-                for ids, _ in _encoded(part.column(1), bpe)
+                for some in _encoded(part.column(1), bpe)
+                for ids in some
             ]
             yield batch(schema, part.column(0), *(zip(*rows) if rows else ([], [], [])))
 
