@@ -16,7 +16,7 @@ import corpus_pipeline
 from weirflow.llm import bpe, jaccard, page_text, perplexity, vectors, warc
 from weirflow.llm.common import table
 from weirflow.llm.components import components
-from weirflow.llm.fingerprints import compare_with_next, containment, distinct, merge, resemblance, sketches
+from weirflow.llm.fingerprints import compare_with_next, containment, corpus_fingerprint, distinct, from_text, merge, resemblance, sketches, to_text
 from weirflow.llm.packing import CAPACITIES, pack, pack_documents
 from weirflow.llm.queries import ORACLE, QUERIES
 from weirflow.llm.shingles import shingle_sets, word_hashes
@@ -58,6 +58,17 @@ def test_sketches_estimate_and_merge():
     assert abs(distinct(x, 1024) / 2996 - 1) < 0.12
     parts = sketches([" ".join(a[:1500]).encode(), " ".join(a[1496:]).encode()], 1024)
     assert (merge(*parts, 1024) == x).all()
+    assert (from_text(to_text(x)) == x).all() and len(from_text("")) == 0
+
+
+def test_corpus_sketch_is_that_of_all_texts(spark, documents):
+    got = {r["source"]: r["fingerprint"] for r in corpus_fingerprint(table(spark, "/root/testdata/sf0.001", "documents"), "source").collect()}
+    for source in {r["source"] for r in documents}:
+        parts = sketches([r["text"].encode() for r in documents if r["source"] == source])
+        whole = np.zeros(0, np.uint64)
+        for p in parts:
+            whole = merge(whole, p)
+        assert got[source] == to_text(whole)
 
 
 def test_fingerprints_of_edited_texts(spark, documents):
