@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weirflow.session import work_dir
 
-#: Text handled at once in a task, in bytes.
-CHUNK = 1 << 20
+#: Text handled at once in a task, in bytes. Numpy's arrays over it take up to a hundred times as much.
+CHUNK = 1 << 18
 #: A batch of rows between the JVM and Python, in bytes.
 BATCH = 8 << 20
 

@@ -1,8 +1,8 @@
 """N-gram Jaccard join: T-occurrence search over inverted lists, with DivideSkip.
 
 1. ``shingle_table``: each text's set of shingle hashes, known by a hash of the whole set, so equal sets are one.
-2. ``_postings`` and ``_frequent``: the sets are dealt by ranges of the hash, packed by numpy, and each range finds
-   in how many sets a shingle lies. A shingle of one set only can be in no overlap and ends here.
+2. ``_postings`` and ``_frequent``: groups of sets deal their shingles by ranges of the hash, packed by numpy, and each
+   range finds in how many sets a shingle lies. A shingle of one set only can be in no overlap and ends here.
 3. ``_live``: per set, its shared shingles, rarest first. A set of n shingles needs ``T = ceil(t * n)`` in common with
    a partner, so two linked sets share one of their ``n - T + 1`` rarest. Most sets have that many of their own
    and are done. Sets that share such a shingle get the same bucket, by connected components.
@@ -21,15 +21,16 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import CHUNK, batch, chunks, runs, saved, ship
+from weirflow.llm.common import batch, chunks, runs, saved, ship
 from weirflow.llm.components import components
 from weirflow.llm.shingles import shingle_sets
 
 #: Shingles in one range of hashes; shared shingles and sets of one block in the search.
-RANGE_SIZE, BLOCK_SIZE, BLOCK_SETS = 2_500_000, 2_000_000, 1024
+RANGE_SIZE, BLOCK_SIZE, BLOCK_SETS = 1_500_000, 2_000_000, 1024
 #: What a binary search costs against one step of a merge: DivideSkip probes T / (PROBE * log2(longest) + 1) lists.
 PROBE = 1.0
 
@@ -59,83 +60,85 @@ def _spread(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
-def _pack(ids, sizes, counts, keys, extra=None) -> bytes:
-    """Sets and their shingles as bytes: the number of sets, then per set id, size, count, then shingles."""
-    parts = [np.array([len(ids), len(keys)], np.int64), ids, sizes.astype(np.int32), counts.astype(np.int32), keys]
-    return b"".join(x.tobytes() for x in (*parts, *([] if extra is None else [extra.astype(np.int32)])))
+# What blobs hold, column after column: shingles and the place of their set in its group, for shared ones also the number
+# of sets; of a group its sets' ids and sizes. A group's places fit 16 bits, so a shingle is 10 bytes however many ranges there are.
+_POSTINGS, _SHARED, _GROUP = ("u8", "u2"), ("u8", "u4", "u2"), ("i8", "i4")
+GROUP_SETS = 60_000
 
 
-def _unpack(blob: bytes):
-    n, m = np.frombuffer(blob, np.int64, 2).tolist()
-    out, at = [], 16
-    for kind, count in ((np.int64, n), (np.int32, n), (np.int32, n), (np.uint64, m), (np.int32, m)):
-        if at < len(blob):
-            out.append(np.frombuffer(blob, kind, count, at))
-            at += out[-1].nbytes
-    return out
+def _pack(kinds: tuple[str, ...], *columns: np.ndarray) -> bytes:
+    return b"".join(c.astype(f"<{k}").tobytes() for c, k in zip(columns, kinds))
 
 
-def _deal(ids, sizes, owner, keys, goes_to, n, extra=None):
-    """Blobs by destination of shingles that stand set by set; ``owner`` is the position of a shingle's set."""
-    order = np.argsort(goes_to, kind="stable")
-    cuts = np.searchsorted(goes_to[order], np.arange(n + 1))
-    for to, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-        if a < b:
-            at = order[a:b]
-            mine, counts = np.unique(owner[at], return_counts=True)
-            yield to, _pack(ids[mine], sizes[mine], counts, keys[at], None if extra is None else extra[at])
+def _unpack(kinds: tuple[str, ...], blobs) -> list[np.ndarray]:
+    """The columns of all blobs, one after the other."""
+    parts = []
+    for blob in blobs:
+        n, at, row = len(blob) // sum(int(k[1]) for k in kinds), 0, []
+        for k in kinds:
+            row.append(np.frombuffer(blob, f"<{k}", n, at))
+            at += row[-1].nbytes
+        parts.append(row)
+    return [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, f"<{k}") for k in kinds]
 
 
 def _postings(docs: DataFrame, words: int, ranges: int) -> DataFrame:
-    schema = pa.schema([("part", pa.int32()), ("blob", pa.binary())])
+    """(part, grp, known, blob): the shingles of groups of sets, dealt by ranges; and, ``known``, the sets of each group."""
+    schema = pa.schema([("part", pa.int32()), ("grp", pa.int64()), ("known", pa.bool_()), ("blob", pa.binary())])
+
+    def dealt(grp: int, held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        sizes = np.array([len(k) for k in held.values()])
+        keys, owner = np.concatenate(list(held.values())), np.repeat(np.arange(len(held)), sizes)
+        goes_to = _spread(keys, ranges)
+        order = np.argsort(goes_to, kind="stable")
+        cuts = np.searchsorted(goes_to[order], np.arange(ranges + 1)).tolist()
+        rows = [(grp % ranges, grp, True, _pack(_GROUP, np.array(list(held)), sizes))]
+        for to, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if a < b:
+                rows.append((to, grp, False, _pack(_POSTINGS, keys[order[a:b]], owner[order[a:b]])))
+        return batch(schema, *zip(*rows))
 
     def deal(batches):
+        first, n = TaskContext.get().partitionId() << 32, 0
         for part in batches:
-            for group in chunks(part.column(1), 8 * CHUNK):
-                held = {}
+            for group in chunks(part.column(1), 4 << 20):
+                held: dict[int, np.ndarray] = {}
                 for run in runs(map(len, group)):
                     for keys in shingle_sets(group[run], words):
                         if len(keys):
                             held.setdefault(_set_id(keys), keys)
+                        if len(held) == GROUP_SETS:
+                            yield dealt(first + n, held)
+                            held, n = {}, n + 1
                 if held:
-                    sizes = np.array([len(k) for k in held.values()])
-                    keys = np.concatenate(list(held.values()))
-                    owner = np.repeat(np.arange(len(held)), sizes)
-                    dealt = list(_deal(np.array(list(held)), sizes, owner, keys, _spread(keys, ranges), ranges))
-                    yield batch(schema, [d[0] for d in dealt], [d[1] for d in dealt])
+                    yield dealt(first + n, held)
+                    n += 1
 
-    return docs.select(F.lit(0), "text").mapInArrow(deal, "part int, blob binary")
+    return docs.select(F.lit(0), "text").mapInArrow(deal, "part int, grp long, known boolean, blob binary")
 
 
-def _gather(blobs):
-    """All sets of the blobs, each once, and their shingles with the position of their set."""
-    parts = [_unpack(b) for b in blobs]
-    ids, sizes, counts, keys = (np.concatenate([p[i] for p in parts]) for i in range(4))
-    return ids, sizes, counts, keys, [p[4] for p in parts if len(p) > 4]
+def _frequent(postings: DataFrame) -> DataFrame:
+    """(grp, known, blob): the shingles that lie in two sets or more, with that number, back in their groups.
 
-
-def _frequent(postings: DataFrame, ranges: int) -> DataFrame:
-    """The shingles that lie in two sets or more, with that number, dealt by set."""
+    A set that stands in several groups counts once for each; that makes its shingles seem more frequent, in all places alike.
+    """
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, sizes, counts, keys, _ = _gather(pdf["blob"])
-        ids, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
-        keep = np.zeros(len(inverse), bool)
-        keep[first] = True  # a set that several tasks saw counts once
-        owner, keys, sizes = np.repeat(inverse, counts), keys[np.repeat(keep, counts)], sizes[first]
-        owner = owner[np.repeat(keep, counts)]
+        posted = pdf[~pdf["known"]]
+        keys, owner = _unpack(_POSTINGS, posted["blob"])
         order = np.argsort(keys, kind="stable")
-        starts = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
-        n = np.diff(np.append(starts, len(keys)))
-        df = np.empty(len(keys), np.int64)
+        n = np.diff(np.append(np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]])), len(keys)))
+        df = np.empty(len(keys), np.int32)
         df[order] = np.repeat(n, n)
-        shared = np.flatnonzero(df > 1)
-        shared = shared[np.argsort(owner[shared], kind="stable")]
-        owner, to = owner[shared], _spread(ids.view(np.uint64), ranges)
-        dealt = list(_deal(ids, sizes, owner, keys[shared], to[owner], ranges, df[shared]))
-        return pd.DataFrame({"part": [d[0] for d in dealt], "blob": [d[1] for d in dealt]})
+        cuts = np.cumsum([0, *(len(b) // 10 for b in posted["blob"])]).tolist()
+        out = []
+        for grp, a, b in zip(posted["grp"], cuts[:-1], cuts[1:]):
+            at = a + np.flatnonzero(df[a:b] > 1)
+            if len(at):
+                out.append((grp, False, _pack(_SHARED, keys[at], df[at], owner[at])))
+        return pd.concat([pdf.loc[pdf["known"], ["grp", "known", "blob"]], pd.DataFrame(out, columns=["grp", "known", "blob"])])
 
-    return postings.groupBy("part").applyInPandas(count, "part int, blob binary")
+    return postings.groupBy("part").applyInPandas(count, "grp long, known boolean, blob binary")
 
 
 def _needed(n, num: int, den: int):
@@ -148,20 +151,20 @@ def _live(frequent: DataFrame, num: int, den: int) -> DataFrame:
     fields = "set_id long, n int, keys array<long>, prefix int"
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, sizes, counts, keys, df = _gather(pdf["blob"])
-        df, ids, sizes = np.concatenate(df), np.repeat(ids, counts), np.repeat(sizes, counts)
-        order = np.lexsort((keys, df, ids))
-        ids, sizes, keys = ids[order], sizes[order], keys[order].view(np.int64)
-        cuts = np.append(np.flatnonzero(np.diff(ids, prepend=~ids[:1])), len(ids)).tolist()
+        ids, sizes = _unpack(_GROUP, pdf.loc[pdf["known"], "blob"])
+        keys, df, owner = _unpack(_SHARED, pdf.loc[~pdf["known"], "blob"])
+        order = np.lexsort((keys, df, owner))
+        keys, owner = keys[order].view(np.int64), owner[order]
+        cuts = np.append(np.flatnonzero(np.diff(owner.astype(np.int32), prepend=-1)), len(owner)).tolist()
         out = []
         for a, b in zip(cuts[:-1], cuts[1:]):
-            n = int(sizes[a])
+            n = int(sizes[owner[a]])
             prefix = n - _needed(n, num, den) + 1 - (n - (b - a))
             if prefix > 0:
-                out.append((ids[a], n, keys[a:b], prefix))
+                out.append((ids[owner[a]], n, keys[a:b], prefix))
         return pd.DataFrame(out, columns=["set_id", "n", "keys", "prefix"])
 
-    return frequent.groupBy("part").applyInPandas(finish, fields)
+    return frequent.groupBy("grp").applyInPandas(finish, fields).dropDuplicates(["set_id"])
 
 
 def search(sets: list[np.ndarray], n: np.ndarray, side: np.ndarray | None, num: int, den: int):
@@ -225,7 +228,9 @@ def _search(bucketed: DataFrame, num: int, den: int) -> DataFrame:
         has = np.flatnonzero(total)
         return pd.DataFrame({"set_id": ids[has], "root": [ids[root(x)] for x in has.tolist()], "links": total[has]})
 
-    return bucketed.groupBy("bucket", "i", "j").applyInPandas(links, "set_id long, root long, links long")
+    # Dealt by all three: blocks of one bucket go to different tasks.
+    dealt = bucketed.repartition("bucket", "i", "j")
+    return dealt.groupBy("bucket", "i", "j").applyInPandas(links, "set_id long, root long, links long")
 
 
 def jaccard_groups(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -242,7 +247,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     classes = sets.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("weight"))
     classes = saved(classes, "shingle-classes")
 
-    live = saved(_live(_frequent(_postings(docs, words, ranges), ranges), num, den), "shingle-live")
+    live = saved(_live(_frequent(_postings(docs, words, ranges)), num, den), "shingle-live")
     looked_up = live.select("set_id", F.explode(F.slice("keys", 1, F.col("prefix"))).alias("key"))
     lists = looked_up.groupBy("key").agg(F.min("set_id").alias("b"), F.count("*").alias("n")).where("n > 1")
     bucket = components(looked_up.join(lists, "key").select(F.col("set_id").alias("a"), "b"))
@@ -251,7 +256,11 @@ def jaccard_groups(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     placed = saved(placed.join(classes.select("set_id", "weight"), "set_id"), "shingle-buckets")
     full = F.greatest(F.sum(F.size("keys")) / BLOCK_SIZE, F.count("*") / BLOCK_SETS)
     blocks = placed.groupBy("bucket").agg(F.ceil(full).cast("int").alias("blocks"))
-    placed = placed.join(blocks, "bucket").withColumn("block", F.pmod(F.hash("set_id"), "blocks"))
+    placed = placed.join(blocks, "bucket")
+    # Buckets of one block are searched together: sets of different buckets have no link, so that finds no other pairs.
+    together = max(1, math.ceil(placed.where("blocks = 1").count() / BLOCK_SETS))
+    few = F.pmod(F.xxhash64("bucket"), F.lit(together))
+    placed = placed.withColumns({"bucket": F.when(F.col("blocks") == 1, few).otherwise(F.col("bucket")), "block": F.pmod(F.hash("set_id"), "blocks")})
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     found = saved(_search(placed, num, den), "shingle-links")
