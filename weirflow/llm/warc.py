@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import batch, ship
+from weirflow.llm.common import batch, saved, ship
 from weirflow.session import work_dir
 
 #: Fixed values of the formats: magic numbers, version line, names of header fields, identical-payload profile.
@@ -222,6 +222,7 @@ def archive_pages(pages: DataFrame, least: int = 0) -> DataFrame:
     records = read_pages(*write_pages(pages, least)).select(
         "page_id", F.length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"
     )
+    records = saved(records, "warc-records")  # the archives are read once
     whole = records.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias("known"))
     revisits = records.where("record_type = 'revisit'").join(whole, "payload_digest")
     return records.where("record_type = 'response'").unionByName(revisits.withColumn("payload_bytes", F.col("known")).drop("known"))
