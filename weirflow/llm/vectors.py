@@ -170,7 +170,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
         has = np.flatnonzero(total)
         return pd.DataFrame({"first": first[has], "root": [first[root(k)] for k in has.tolist()], "links": total[has]})
 
-    found = saved(spread.groupBy(*cell, "i", "j").applyInPandas(join, "first long, root long, links long"), "vector-links")
+    found = saved(spread.repartition(*cell, "i", "j").groupBy(*cell, "i", "j").applyInPandas(join, "first long, root long, links long"), "vector-links")
     links = found.groupBy("first").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("first").alias("a"), F.col("root").alias("b")))
     roots = roots.select(F.col("vertex").alias("first"), F.col("root").alias("component_id"))
