@@ -366,13 +366,13 @@ def test_kneser_ney(spark):
     texts = ["Banana bandana, 12 cans.", "a ban on cabs\nand BANS", "bab éa"] * 2 + ["ab" * 30]
     model = perplexity.train(spark.createDataFrame([(t,) for t in texts], "text string"))
     table_ = np.exp(perplexity.dense(model.levels).astype(np.float64)).reshape(-1, perplexity.SYMBOLS)
-    assert np.abs(table_.sum(axis=1) - 1).max() < 1e-4
+    assert np.abs(table_.sum(axis=1) - 1).max() < 2e-3
     p, streams = kneser_ney_by_hand(texts)
     for stream in streams[:3]:
         for i in range(3, len(stream)):
             gram = tuple(stream[i - 3 : i + 1])
             key = sum(s << (6 * j) for j, s in enumerate(reversed(gram)))
-            assert table_.ravel()[key] == pytest.approx(p(gram), rel=1e-4)
+            assert table_.ravel()[key] == pytest.approx(p(gram), rel=4e-3)
 
 
 def test_quality_separates_labels(spark):
