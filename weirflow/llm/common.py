@@ -13,6 +13,8 @@ from weirflow.session import work_dir
 
 #: Text handled at once in a task, in bytes. Numpy's arrays over it take up to a hundred times as much.
 CHUNK = 1 << 18
+#: Workers stay alive between tasks; with this they give back arrays of a megabyte and more as soon as these are freed.
+RETURN_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576"}
 #: A batch of rows between the JVM and Python, in bytes.
 BATCH = 8 << 20
 
@@ -42,9 +44,12 @@ def ship(spark: SparkSession) -> SparkSession:
     if spark.conf.get(key) == "67108864b":
         spark.conf.set(key, str(BATCH))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    workers = spark.sparkContext.environment
+    known = workers.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
+        workers["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
+    for name, value in RETURN_MEMORY.items():
+        workers.setdefault(name, value)
     return spark
 
 
