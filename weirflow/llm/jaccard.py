@@ -265,7 +265,9 @@ def jaccard_groups(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     placed = placed.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     found = saved(_search(placed, num, den), "shingle-links")
 
-    root = components(found.select(F.col("set_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("vertex", "set_id")
+    root = found.select("set_id", "root")
+    if not placed.where("blocks > 1").isEmpty():  # otherwise each bucket was searched whole, and its roots are those of its groups
+        root = components(root.select(F.col("set_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("vertex", "set_id")
     links = found.groupBy("set_id").agg(F.sum("links").alias("links"))
     classes = classes.join(root, "set_id", "left").join(links, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     classes = saved(classes, "shingle-roots")
