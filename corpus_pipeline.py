@@ -23,8 +23,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source; ``n_chars`` follows the text."""
-    clean = drop_boilerplate(docs)
+    """All documents, without the boilerplate lines of their source; ``n_chars`` follows the text.
+
+    Copies of a text count as one page: they are the next stage's business, and must not lose their lines here.
+    """
+    clean = drop_boilerplate(docs, copies_once=True)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return clean.select(*docs.columns)

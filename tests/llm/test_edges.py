@@ -133,6 +133,16 @@ def test_lines(docs, spark):
     assert lines.changed_lengths(docs.limit(0)).count() == 0
 
 
+def test_copies_are_no_boilerplate_in_the_pipeline(spark):
+    rows = [(i, "a story\nthat is copied", "s") for i in range(10)] + [(10 + i, f"menu\nstory {i}", "s") for i in range(20)]
+    rows += [(40 + i, None, "s") for i in range(500)]
+    page = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = by_id(corpus_pipeline.line_dedup(spark, page, ""))
+    assert len(got) == len(rows)
+    assert all(got[i]["text"] == "a story\nthat is copied" for i in range(10))
+    assert all(got[10 + i]["text"] == f"story {i}" for i in range(20))
+
+
 def test_urls(pages, spark):
     outcomes = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1)], "page_id long, bad int")
     got = urls.filter_urls(pages, outcomes)
