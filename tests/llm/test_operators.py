@@ -375,6 +375,48 @@ def test_kneser_ney(spark):
             assert table_.ravel()[key] == pytest.approx(p(gram), rel=4e-3)
 
 
+def test_unfolded_model_scores_as_by_hand(spark, monkeypatch):
+    from weirflow.llm import charmodel
+
+    monkeypatch.setattr(charmodel, "BLOCK", 20)
+    rows = [(i, t, "xx") for i, t in enumerate(["\u043c\u0430\u043c\u0430 \u043c\u044b\u043b\u0430 \u0440\u0430\u043c\u0443", "a ban on cabs", "\u4e2d\u6587 bab"] * 2)]
+    new = [(9, "\u0440\u0430\u043c\u0430 \u00e9", "xx"), (10, "", "xx"), (11, None, "xx")]
+    fields = "doc_id long, text string, lang string"
+    model = charmodel.train(spark.createDataFrame(rows, fields))
+    blocks = charmodel.in_blocks(spark.createDataFrame(rows + new, fields))
+    scored = charmodel.score(blocks, charmodel.look_up(blocks, model), model, 1)
+    got = {r["doc_id"]: r["perplexity"] for r in scored.collect()}
+    assert len(got) == 9 and got[10] == pytest.approx(np.exp(-model.average)) == got[11]
+    # Characters numbered one by one are the symbols of the definition.
+    number = {c: i + 1 for i, c in enumerate(sorted({c for _, t, _ in rows for c in t}))}
+    fold = np.full(0x110000, len(number) + 1)
+    for c, i in number.items():
+        fold[ord(c)] = i
+    monkeypatch.setattr(perplexity, "_symbols", lambda: np.append(fold[:0x3000], 0))
+    monkeypatch.setattr(perplexity, "SYMBOLS", len(number) + 1)
+    cjk = {"\u4e2d": "\x01", "\u6587": "\x02"}
+    for c, low in cjk.items():
+        fold[ord(low)] = number[c]
+    monkeypatch.setattr(perplexity, "_symbols", lambda: np.append(fold[:0x3000], 0))
+    plain = lambda t: "".join(cjk.get(c, c) for c in t)
+    p, _ = kneser_ney_by_hand([plain(t) for _, t, _ in rows])
+    for i, t, _ in rows + new[:1]:
+        s = [0, 0, 0] + [int(fold[ord(c)]) for c in plain(t)]
+        mean = np.mean([np.log(p(tuple(s[k - 3 : k + 1]))) for k in range(3, len(s))])
+        assert got[i] == pytest.approx(np.exp(-mean), rel=1e-9)
+
+
+def test_gibberish_of_other_letters_is_rejected(spark):
+    rnd = random.Random(6)
+    words = ["\u043c\u0430\u043c\u0430", "\u043c\u044b\u043b\u0430", "\u0440\u0430\u043c\u0443", "\u0434\u043e\u043c", "\u043e\u043a\u043d\u043e"]
+    good = [(i, " ".join(rnd.choice(words) for _ in range(60)), "ru") for i in range(40)]
+    letters = [chr(c) for c in range(0x430, 0x450)]
+    bad = [(100 + i, " ".join("".join(rnd.choice(letters) for _ in w) for w in t.split()), "ru") for i, t, _ in good]
+    labels = spark.createDataFrame([(i, 1, 0) for i, *_ in good], "doc_id long, quality int, toxic int")
+    judged = perplexity.judge_quality(spark.createDataFrame(good + bad, "doc_id long, text string, lang string"), labels).collect()
+    assert len(judged) == 80 and all(r["accepted"] == (r["doc_id"] < 100) for r in judged)
+
+
 def test_quality_separates_labels(spark):
     root = "/root/testdata/sf0.1"
     judged = QUERIES["op10_quality_classifier"](spark, root).join(table(spark, root, "labels"), "doc_id").toPandas()

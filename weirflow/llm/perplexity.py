@@ -1,15 +1,13 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of characters, trained on trusted text.
 
-Characters are folded to 64 symbols, so no table has more than 64 ** ORDER rows whatever the corpus: that is the proven
-bound under which the finished model is sent to every task. All of its counts come from all trusted text: tasks
-count their own n-grams, Spark adds them up by key, and discounts, contexts and lower orders are joins and sums over
-those count tables, sharded by key. A document is rejected if its perplexity lies above a quantile of that of trusted
-documents of its language.
+``judge_quality`` trains and asks the model of ``charmodel``: characters as they are, tables sharded by n-gram, joins. A document is rejected
+if its perplexity lies above a quantile of that of trusted documents of its language.
+
+``train``, ``dense`` and ``Model`` are a small model of folded characters whose table fits one process; no query uses it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -19,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weirflow.llm import charmodel
 from weirflow.llm.common import batch, chunks, saved, ship
 
 ORDER = 4
@@ -180,19 +179,6 @@ def train(trusted: DataFrame, text: str = "text") -> Model | None:
     return Model([(seen.select("key", small.alias("p")).toPandas(), contexts.toPandas()) for seen, contexts in levels], average)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", name: str = "perplexity") -> DataFrame:
-    """``docs`` with the perplexity of each text. Null counts as empty; an empty text has that of the average text."""
-    ship(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def judge(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known, probabilities = sent.value, dense(sent.value.levels)
-        for part in parts:
-            yield pa.array([p for texts in chunks(part) for p in known.perplexities(probabilities, texts)], pa.float64())
-
-    return docs.withColumn(name, F.arrow_udf(judge, "double")(F.col(text)))
-
-
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """doc_id of the documents whose every label is good quality and not toxic."""
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
@@ -216,16 +202,21 @@ def judge_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
     each; columns of the three names are replaced.
     """
     docs = docs.drop("perplexity", "threshold", "accepted")
+    columns = docs.columns
     trusted = _marked(docs.select("doc_id", "text", "lang"), trusted_ids(labels))
-    model = train(trusted)
+    model = charmodel.train(trusted)
     if model is None:
         nothing = F.lit(None).cast("double")
         return docs.withColumns({"perplexity": nothing, "threshold": nothing, "accepted": F.lit(True)})
-    limits = score(trusted, model).groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * factor).alias("threshold"))
+    docs = charmodel.in_blocks(docs)
+    answers = charmodel.look_up(docs, model)
+    trusted = _marked(docs.select("doc_id", "text", "lang", "_llm_block"), trusted_ids(labels))
+    limits = charmodel.score(trusted, answers, model, LEAST_CHARS).groupBy("lang")
+    limits = limits.agg((F.percentile_approx("perplexity", quantile, 10_000) * factor).alias("threshold"))
     limits = saved(limits, "perplexity-limits")
     widest = limits.agg(F.max("threshold")).first()[0]
     few = limits.limit(MOST_LANGS + 1).count() <= MOST_LANGS
     limits = limits.where("lang is not null")
-    judged = score(docs, model).join(F.broadcast(limits) if few else limits, "lang", "left")
+    judged = charmodel.score(docs, answers, model, LEAST_CHARS).join(F.broadcast(limits) if few else limits, "lang", "left")
     judged = judged.withColumn("threshold", F.coalesce("threshold", F.lit(widest)))
-    return judged.select(*docs.columns, "perplexity", "threshold", (F.col("perplexity") <= F.col("threshold")).alias("accepted"))
+    return judged.select(*columns, "perplexity", "threshold", (F.col("perplexity") <= F.col("threshold")).alias("accepted"))
