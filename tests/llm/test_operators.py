@@ -146,6 +146,25 @@ def test_page_differencing(spark):
     assert got[200] == got[201] == "Top\na long story that stands twice"
 
 
+def test_article_does_not_hide_the_rest(spark):
+    def page(i):
+        body = f"<article>teaser {i}</article><div>Shop</div><div>the story {i}</div><div>Imprint</div>"
+        return (i, f"http://t.net/{i:03d}", f"<body><nav>Menu</nav><div>Top</div>{body}</body>")
+
+    got = {r["page_id"]: r["text"] for r in page_text.extract_text(spark.createDataFrame([page(i) for i in range(5)], "page_id long, url string, html string")).collect()}
+    assert got == {i: f"teaser {i}\nthe story {i}" for i in range(5)}
+
+
+def test_short_stories_and_runs_of_copies():
+    template = ["a long menu of this site", "and its footer"]
+    texts = ["one"] + ["two"] * 4 + ["three"]
+    rows = [(0, "h", f"/{i}", i, f"u{i}", [template[0], t, template[1]], [page_text.LOOSE] * 3, False) for i, t in enumerate(texts)]
+    assert [t for _, _, t in page_text._judged(iter(rows))] == texts
+    near = [*template, "a story", "seen 5 times"], [*template, "a story", "seen 6 times"], [*template, "other"]
+    rows = [(0, "h", f"/{i}", i, f"u{i}", t, [page_text.LOOSE] * len(t), False) for i, t in enumerate([["zero", *template], *near])]
+    assert [t for _, _, t in page_text._judged(iter(rows))] == ["zero", "a story\nseen 5 times", "a story\nseen 6 times", "other"]
+
+
 def test_pages_of_the_tables(spark):
     import html
 

@@ -1,10 +1,8 @@
 """Main text of web pages, by markup and by differencing with the page of the nearest URL.
 
 A page is read into lines, one per block of text. Markup decides where it speaks: menus, headers, footers, sidebars, notices,
-adverts, forms and comments go, the lines of an article stay. Where a page marks no article, its lines are aligned by longest
-common subsequence with those of the page beside it in the order of URL paths of its host, and what both share, its template, is
-deleted. A neighbour that shares more than half of the text is a copy and tells nothing of the template; then the neighbour
-on the other side is asked.
+adverts, forms and comments go, the lines of an article stay. All other lines are aligned by longest common subsequence with those of
+the nearest page with a different text in the order of URL paths of its host, before and behind; what both share with the page, its template, is deleted.
 """
 
 from __future__ import annotations
@@ -12,8 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
-from itertools import chain
-from os.path import commonprefix
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -200,37 +197,36 @@ def shared_lines(a: list[str], b: list[str], most: int = 1 << 28) -> list[int]:
 
 
 def main_text(lines: list[tuple[str, int]], neighbours: list[list[str]]) -> str:
-    """The text of a page from its lines, and the lines of the pages beside it, nearest first."""
-    kinds = {k for _, k in lines}
-    wanted = next((k for k in (ARTICLE, MAIN, LOOSE) if k in kinds), None)
-    if wanted is None:
-        return ""
+    """The text of a page from its lines, and the lines of the pages beside it.
+
+    A line that markup leaves open goes if it is shared with all neighbours, so a near copy on one side takes nothing.
+    """
     gone: set[int] = set()
-    if wanted != ARTICLE:
+    if neighbours and any(kind in (LOOSE, MAIN) for _, kind in lines):
         own = [text for text, _ in lines]
-        total = sum(len(text) for text, kind in lines if kind == wanted)
-        for other in neighbours:
-            shared = shared_lines(own, other)
-            if 2 * sum(len(own[i]) for i in shared if lines[i][1] == wanted) <= total:
-                gone = set(shared)
-                break
-    return "\n".join(text for i, (text, kind) in enumerate(lines) if kind == wanted and i not in gone)
+        gone = set.intersection(*(set(shared_lines(own, other)) for other in neighbours))
+    return "\n".join(text for i, (text, kind) in enumerate(lines) if kind == ARTICLE or (kind != TEMPLATE and i not in gone))
 
 
 def _judged(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """(page_id, url, text) of each page that is no guest, from rows in the order of host and path."""
-
-    def nearest(row, sides):
-        run, host, path = row[0], row[1], row[2]
-        near = [s for s in sides if s and s[0] == run and s[1] == host and host]
-        near.sort(key=lambda s: -len(commonprefix([s[2], path])))  # stable: the page before wins a tie
-        return [s[5] for s in near]
-
-    before = row = None
-    for after in chain(rows, [None]):
-        if row and not row[7]:
-            yield row[3], row[4], main_text(list(zip(row[5], row[6])), nearest(row, (before, after)))
-        before, row = row, after
+    """(page_id, url, text) of each page that is no guest, from rows in the order of host and path.
+
+    Pages in a row with the same lines are copies; their neighbours are the pages before and behind all of them.
+    """
+    before = copies = None
+    for _, group in chain(groupby(rows, key=lambda r: (r[0], r[1], r[5])), [(None, ())]):
+        lines, after = None, []
+        for row in group:
+            lines = row[5]
+            after.append((*row[:5], row[6], row[7]))
+        after = (lines, after)
+        if copies:
+            run, host = copies[1][0][:2]
+            near = [s[0] for s in (before, after) if s and s[1] and s[1][0][:2] == (run, host) and host]
+            for row in copies[1]:
+                if not row[6]:
+                    yield row[3], row[4], main_text(list(zip(copies[0], row[5])), near)
+        before, copies = copies, after
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
