@@ -20,7 +20,7 @@ from weirflow.llm.fingerprints import compare_with_next, containment, corpus_fin
 from weirflow.llm.packing import CAPACITIES, pack, pack_documents
 from weirflow.llm.queries import ORACLE, QUERIES
 from weirflow.llm.shingles import shingle_sets, word_hashes
-from weirflow.llm.urls import host_reputation, split_url
+from weirflow.llm.urls import filter_urls, host_reputation, split_url
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -320,6 +320,20 @@ def test_reputation_borrows_from_above(spark):
     assert not got["new.good.org"]["blocked"]
 
 
+def test_hosts_without_labels_borrow_from_above(spark):
+    hosts = [f"h{i % 20}.spam.net" for i in range(100)] + [f"h{i % 20}.good.net" for i in range(100)] + [f"{x}{i}.co.uk" for x in "ab" for i in range(30)]
+    labelled = list(enumerate(hosts))
+    new = [(1000, "new.spam.net"), (1001, "new.good.net"), (1002, "new.fresh.net"), (1003, "new.fresh.museum"), (1004, "x.a1.co.uk"), (1005, "x.b1.co.uk")]
+    pages = spark.createDataFrame([(i, f"http://{h}/p") for i, h in labelled + new], "page_id long, url string")
+    outcomes = spark.createDataFrame([(i, int("spam" in h or h.startswith("a"))) for i, h in labelled for _ in "x"], "page_id long, bad int")
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(pages, outcomes).collect()}
+    assert len(got) == len(labelled) + len(new)
+    assert [got[i] for i in (1000, 1001)] == ["block", "allow"]
+    assert {r["verdict"] for r in filter_urls(pages, outcomes.limit(0)).collect()} == {"allow"}
+    means = {r["host"]: r["mean"] for r in host_reputation(spark.createDataFrame([(h, int(h[0] == "a")) for _, h in labelled * 5], "host string, bad int"), others=spark.createDataFrame([(h,) for _, h in new], "host string")).collect()}
+    assert means["x.a1.co.uk"] > 0.55 > 0.45 > means["x.b1.co.uk"]
+
+
 def test_warc_round_trip_and_validation(spark):
     pages = {r["page_id"]: r["html"] for r in table(spark, "/root/testdata/sf0.01", "pages").collect()}
     first = {}

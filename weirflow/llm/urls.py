@@ -16,6 +16,9 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 #: The posterior bad rate less Z standard deviations must exceed LIMIT. MOST and LEAST bound a prior's weight, in pages.
 LIMIT, Z, LEAST, MOST = 0.3, 1.645, 2.0, 200.0
 
+#: Parts below a country's under which names are registered.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "go", "gob", "gov", "gouv", "gv", "ltd", "mil", "ne", "net", "nhs", "nom", "or", "org", "plc", "sch")
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -51,36 +54,47 @@ def _shrunk(stats: DataFrame, parents: DataFrame, parent: str, least: float, mos
     """``stats`` with the mean of their posterior, the prior's mean and weight coming from the parent.
 
     The weight is that of a beta distribution with the members' variance: p(1-p) / v - 1, where v is the variance of their
-    rates less what sampling alone gives, all weighted by pages. Without spare variance it is ``most``.
+    rates less what sampling alone gives, all weighted by pages. Without spare variance it is ``most``. A parent without pages knows no
+    more than what is above it, and hands on the weight it has itself.
     """
-    joined = stats.join(parents.select(parent, F.col("mean").alias("p")), parent)
+    above = F.col("m") if "m" in parents.columns else F.lit(most)
+    joined = stats.join(parents.select(parent, F.col("mean").alias("p"), above.alias("above")), parent)
+    seen = F.col("n") > 0
+    rate = F.when(seen, F.col("bad") / F.when(seen, F.col("n")))
     spread = joined.groupBy(parent).agg(
-        F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("p"), 2)).alias("ss"),
+        F.sum(F.when(seen, F.col("n") * F.pow(rate - F.col("p"), 2))).alias("ss"),
         F.sum("n").alias("total"),
-        F.count("*").alias("members"),
+        F.count(F.when(seen, 1)).alias("members"),
         F.first("p").alias("q"),
+        F.first("above").alias("above"),
     )
     noise = F.col("q") * (1 - F.col("q"))
-    extra = (F.col("ss") - F.col("members") * noise) / F.col("total")
-    weight = F.when(extra > 0, F.least(F.greatest(noise / extra - 1, F.lit(least)), F.lit(most))).otherwise(most)
+    extra = (F.col("ss") - F.col("members") * noise) / F.when(F.col("total") > 0, F.col("total"))
+    weight = F.when(F.col("total") == 0, F.col("above")).when(extra > 0, F.least(F.greatest(noise / extra - 1, F.lit(least)), F.lit(most))).otherwise(most)
     joined = joined.join(spread.select(parent, weight.alias("m")), parent)
     return joined.withColumn("mean", (F.col("bad") + F.col("m") * F.col("p")) / (F.col("n") + F.col("m")))
 
 
-def host_reputation(outcomes: DataFrame, limit: float = LIMIT, z: float = Z, least: float = LEAST, most: float = MOST) -> DataFrame:
+def host_reputation(outcomes: DataFrame, limit: float = LIMIT, z: float = Z, least: float = LEAST, most: float = MOST, others: DataFrame | None = None) -> DataFrame:
     """(host, n, bad, mean, bound, blocked) of each host in ``outcomes`` (host, bad 0/1), one row per labelled page.
 
-    The registered domain is a host's last two parts, the suffix its last. No outcomes, no rows.
+    Hosts of ``others`` (host) without outcomes have n 0 and the posterior of their domain, else of their suffix, else of the table. The
+    suffix is a host's last part, or its last two where these are as ``co.uk``; the registered domain has one part more. No outcomes, no rows.
     """
     parts = F.split("host", r"\.")
     hosts = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
-    hosts = hosts.withColumns(
-        {"domain": F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2), "."), "suffix": F.element_at(parts, -1)}
-    )
+    if others is not None:
+        hosts = hosts.unionByName(others.select("host", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bad")).distinct())
+        hosts = hosts.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    size = F.size(parts)
+    second = F.when(size > 1, F.try_element_at(parts, F.lit(-2))).isin(*SECOND_LEVEL) & (F.length(F.element_at(parts, -1)) == 2)
+    last = F.when((size > 2) & second, 2).otherwise(1)
+    end = lambda n: F.array_join(F.slice(parts, F.greatest(size - n + 1, F.lit(1)), n), ".")
+    hosts = hosts.withColumns({"domain": end(last + 1), "suffix": end(last)})
     domains = _level(hosts, "domain", "suffix", [])
     suffixes = _level(domains, "suffix", None, []).withColumn("top", F.lit(0))
     top = suffixes.groupBy("top").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    top = top.withColumn("mean", (F.col("bad") + 1) / (F.col("n") + 2))
+    top = top.where("n > 0").withColumn("mean", (F.col("bad") + 1) / (F.col("n") + 2))
     suffixes = _shrunk(suffixes, top, "top", least, most)
     domains = _shrunk(domains, suffixes, "suffix", least, most)
     hosts = _shrunk(hosts, domains, "domain", least, most)
@@ -93,12 +107,13 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, **limits) ->
     """Host, path, rule and verdict of each page (page_id, url).
 
     The longest rule that fits decides; without one, the host's reputation from ``outcomes`` (page_id, bad 0/1): block if it is blocked,
-    else allow, as for a host without outcomes, an empty one, and a null url. Several outcomes of one page count as one, bad if any is;
+    else allow, as for an empty host and a null url, and for all without any outcome. A host without outcomes has the reputation above it. Several outcomes of one page count as one, bad if any is;
     those of no page or with a null in them are left out. Repeated pages are judged each; other columns are not read.
     """
     judged = split_url(pages.select("page_id", "url"))
     known = outcomes.where("page_id is not null and bad is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
-    bad = host_reputation(judged.where("host != ''").join(known, "page_id").select("host", "bad"), **limits).where("blocked")
+    named = judged.where("host != ''")
+    bad = host_reputation(named.join(known, "page_id").select("host", "bad"), **limits, others=named.select("host")).where("blocked")
     judged = judged.withColumns({"rule": _longest(rules, lambda r: r[0] + r[1]), "by_rule": _longest(rules, lambda r: r[2])})
     return judged.join(bad.select("host", "blocked"), "host", "left").select(
         "page_id",
