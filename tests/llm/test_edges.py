@@ -100,6 +100,12 @@ def test_jaccard(docs):
     assert jaccard_groups(docs.limit(0)).count() == 0 == keep_one_of_each(docs.limit(0)).count()
 
 
+def test_texts_of_one_id_are_judged_each(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (2, "quite another text of its own"), (3, None), (3, "a real text"), (3, "a second real text"), (3, "a real text")]
+    kept = keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == [(1, rows[0][1]), (2, rows[2][1]), (3, ""), (3, "a real text"), (3, "a second real text")]
+
+
 def test_packing(docs):
     rows = pack_documents(docs).collect()
     total = sum(r["piece_length"] for r in rows)

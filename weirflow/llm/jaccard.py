@@ -16,6 +16,7 @@ Exact up to a collision of 64-bit hashes. Copies of one set travel as one row wi
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -241,6 +242,11 @@ def jaccard_groups(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     wordless text has an empty set and no link. A text with fewer words is one shingle. Rows with one doc_id are judged
     each by its own text; a null doc_id takes part in links but is never a component_id. An empty table gives no rows.
     """
+    return _groups(docs, words, num, den).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def _groups(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``jaccard_groups`` with each row's set_id and its group's root, both null where there is no word."""
     spark = ship(docs.sparkSession)
     sets = saved(shingle_table(docs, words), "shingle-sets")
     ranges = max(1, math.ceil((sets.agg(F.sum("n_shingles")).first()[0] or 0) / RANGE_SIZE))
@@ -273,10 +279,12 @@ def jaccard_groups(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     classes = saved(classes, "shingle-roots")
     groups = classes.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = classes.join(groups, "root").select(
-        "set_id", "component_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        "set_id", "root", "component_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
     return sets.join(classes, "set_id", "left").select(
         "doc_id",
+        "set_id",
+        "root",
         "n_shingles",
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
@@ -290,16 +298,28 @@ MOST_IDS = 4_000_000
 def keep_one_of_each(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its group in ``jaccard_groups``, with all columns.
 
-    Rows that share a doc_id are one document, of which the row with the smallest text stays. Rows without a doc_id stay.
+    Each text is judged for itself: a row goes only if a row with a smaller doc_id is in its own text's group. Of rows that share
+    doc_id and text one stays, and of rows of one doc_id in one group that with the smallest text. Rows without a doc_id stay.
     """
-    groups = saved(jaccard_groups(docs.select("doc_id", "text"), words, num, den), "near-duplicates").where("doc_id is not null")
+    groups = saved(_groups(docs.select("doc_id", "text"), words, num, den), "near-duplicates").where("doc_id is not null")
     gone = groups.where("doc_id != component_id").select("doc_id").distinct()
+    again = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    again = saved(again, "repeated-ids")
+    # Ids that stand once go by id alone.
+    gone = gone.join(again, "doc_id", "left_anti")
     few = gone.limit(MOST_IDS + 1).count() <= MOST_IDS
     kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    again = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
         return kept
-    again = saved(again, "repeated-ids")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = kept.join(again, "doc_id", "left_semi").select(*docs.columns, rank.alias("_llm_rank")).where("_llm_rank = 1").drop("_llm_rank")
+    def set_ids(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            sets = (keys for texts in chunks(part) for keys in shingle_sets(texts, words))
+            yield pa.array([_set_id(keys) if len(keys) else None for keys in sets], pa.int64())
+
+    several = docs.join(again, "doc_id", "left_semi").withColumn("_llm_set", F.arrow_udf(set_ids, "long")(F.col("text")))
+    own = groups.join(again, "doc_id", "left_semi").where("doc_id = component_id")
+    own = own.select(F.col("doc_id").alias("_llm_id"), F.col("set_id").alias("_llm_of"), F.col("root").alias("_llm_root")).distinct()
+    several = several.join(own, (F.col("doc_id") == F.col("_llm_id")) & F.col("_llm_set").eqNullSafe(F.col("_llm_of")))
+    rank = F.row_number().over(Window.partitionBy("doc_id", "_llm_root").orderBy(F.col("text").asc_nulls_last()))
+    one = several.withColumn("_llm_rank", rank).where("_llm_rank = 1")
     return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
