@@ -142,3 +142,12 @@ def test_high_value_filter_reaches_the_scan(spark, small):
     df = read_table(spark, small, "events").withColumnRenamed("value", "amount")
     plan = fraud.high_value(df.select("user_id", "amount"))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(value,900.0)" in plan and "ReadSchema: struct<user_id:bigint,value:double>" in plan
+
+
+def test_a_stream_does_not_claim_a_number_of_values(spark, tmp_path):
+    from weirflow.operators.fraud import attribute_switch
+
+    fields = "transaction_id long, user_id int, amount int, region string, event_time timestamp"
+    stream = spark.readStream.schema(fields).json(str(tmp_path))
+    assert "distinct_values" not in attribute_switch(stream).columns and "switched" in attribute_switch(stream).columns
+    assert "distinct_values" in attribute_switch(stream, more_than=2).columns

@@ -56,20 +56,22 @@ def attribute_switch(
 
     A batch table is reduced to the values of each user and time slot before sessions are found, so its rows are
     shuffled once and a busy user by slots. A stream that looks for more than one value keeps the least and the
-    largest of each open session, and its ``distinct_values`` says 2 for two or more; for a higher limit it has to
+    largest of each open session: it does not count, and has ``switched`` instead of ``distinct_values``. For a higher limit it has to
     hold the values of an open session.
     """
     reason = reason or SWITCH.format(attribute=attribute.capitalize())
     if transactions.isStreaming:
-        values = F.size(F.collect_set(attribute))
+        found = F.size(F.collect_set(attribute)).cast("long").alias("distinct_values")
         if more_than == 1:
-            values = F.when(F.min(attribute) < F.max(attribute), 2).otherwise(1)
+            found = F.coalesce(F.min(attribute) < F.max(attribute), F.lit(False)).alias("switched")
         grouped = (
             with_watermark(transactions, "event_time", watermark)
             .groupBy(F.session_window("event_time", gap).alias("s"), "user_id")
-            .agg(values.cast("long").alias("distinct_values"))
+            .agg(found)
         )
         counts = flat_span(grouped, "s", "session")
+        if more_than == 1:
+            return counts.filter("switched").select("*", _reason(reason))
     else:
         counts = (
             slot_values(transactions, ["user_id"], attribute, gap)
