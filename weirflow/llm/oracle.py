@@ -73,4 +73,65 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'al
 FROM ruled LEFT JOIN blocked USING (host)
 """
 
-ORACLE = {"op7_line_dedup": LINE_DEDUP, "op8_url_filters": URL_FILTERS}
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII characters."""
+    bits = "list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, {})"
+    chars = f"list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    step = bits.format("xor(crc, ch)")
+    return f"xor(4294967295, list_reduce({chars}, lambda crc, ch: {step}, CAST(4294967295 AS BIGINT)))"
+
+
+def _sized(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_sized, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE now AS (
+    SELECT *, CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed FROM documents
+), hashed AS (
+    SELECT doc_id, coalesce('=' || source, '-') AS tree, {_leaf("text")} AS leaf, {_leaf("changed")} AS folded FROM now
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM hashed
+), nodes AS (
+    SELECT tree, 0 AS level, place, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3
+    FROM nodes WHERE n > 1 GROUP BY tree, level, place // 3
+), subroots AS (
+    SELECT tree, digest AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS place FROM nodes WHERE n = 1
+), top AS (
+    SELECT 0 AS level, place, subroot AS digest, count(*) OVER () AS n FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3 FROM top WHERE n > 1 GROUP BY level, place // 3
+), spots AS (
+    SELECT l.tree, l.place AS leaf_place, n.level, n.place // 3 AS parent, n.place FROM leaves l JOIN nodes n ON n.tree = l.tree AND n.n > 1
+        AND n.place = l.place // CAST(pow(3, n.level) AS BIGINT)
+    UNION ALL
+    SELECT l.tree, l.place, 1000 + t.level, t.place // 3, t.place FROM leaves l JOIN subroots s ON s.tree = l.tree
+        JOIN top t ON t.n > 1 AND t.place = s.place // CAST(pow(3, t.level) AS BIGINT)
+), others AS (
+    SELECT tree, level, place, digest FROM nodes UNION ALL SELECT s.tree, 1000 + t.level, t.place, t.digest FROM top t CROSS JOIN subroots s
+), ways AS (
+    SELECT s.tree, s.leaf_place, s.level, coalesce(string_agg(o.digest, '' ORDER BY o.place) FILTER (o.place < s.place), '') AS l,
+        coalesce(string_agg(o.digest, '' ORDER BY o.place) FILTER (o.place > s.place), '') AS r
+    FROM spots s JOIN others o ON o.tree = s.tree AND o.level = s.level AND o.place // 3 = s.parent GROUP BY ALL
+), steps AS (
+    SELECT *, row_number() OVER (PARTITION BY tree, leaf_place ORDER BY level) AS k FROM ways
+), folds AS (
+    SELECT tree, place, 1 AS k, folded FROM leaves
+    UNION ALL
+    SELECT f.tree, f.place, f.k + 1, sha256(s.l || f.folded || s.r) FROM folds f JOIN steps s ON s.tree = f.tree AND s.leaf_place = f.place AND s.k = f.k
+), ends AS (SELECT tree, place, arg_max(folded, k) AS folded_root FROM folds GROUP BY tree, place
+), proofs AS (SELECT tree, leaf_place AS place, sha256(string_agg(l || r, '' ORDER BY k)) AS proof FROM steps GROUP BY tree, leaf_place)
+SELECT doc_id, leaf, subroot, digest AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = digest AS verified
+FROM leaves JOIN subroots USING (tree) JOIN ends ON ends.tree = leaves.tree AND ends.place = leaves.place
+    LEFT JOIN proofs ON proofs.tree = leaves.tree AND proofs.place = leaves.place CROSS JOIN (SELECT digest FROM top WHERE n = 1) root
+"""
+
+ORACLE = {"op7_line_dedup": LINE_DEDUP, "op8_url_filters": URL_FILTERS, "op13_merkle_dataset_manifest": MERKLE_MANIFEST}

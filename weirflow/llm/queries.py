@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bpe, lines, urls
+from weirflow.llm import bpe, lines, merkle, urls
 from weirflow.llm.common import table
 from weirflow.llm.fingerprints import compare_with_next
 from weirflow.llm.jaccard import jaccard_groups
@@ -65,6 +65,10 @@ def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
     return judged.select("doc_id", "lang", "perplexity", "threshold", "accepted")
 
 
+def op13_merkle_dataset_manifest(spark: SparkSession, root: str) -> DataFrame:
+    return merkle.verify(table(spark, root, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filters,
         op9_warc,
         op10_quality_classifier,
+        op13_merkle_dataset_manifest,
     )
 }
 
