@@ -134,4 +134,42 @@ FROM leaves JOIN subroots USING (tree) JOIN ends ON ends.tree = leaves.tree AND
     LEFT JOIN proofs ON proofs.tree = leaves.tree AND proofs.place = leaves.place CROSS JOIN (SELECT digest FROM top WHERE n = 1) root
 """
 
-ORACLE = {"op7_line_dedup": LINE_DEDUP, "op8_url_filters": URL_FILTERS, "op13_merkle_dataset_manifest": MERKLE_MANIFEST}
+PREFIX_TRIE = f"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), m AS (
+    SELECT conv_id, turn, role, length(text) AS chars, sha256(octet_length(encode(role)) || ':' || role || text) AS mark FROM t
+), o AS (
+    SELECT conv_id, mark, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, mark) - 1 AS place FROM m
+), own AS (
+    SELECT conv_id, count(*) AS n, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h, conv_id - conv_id % 100 AS base FROM o GROUP BY conv_id
+), c AS (
+    SELECT own.*, least(own.h, coalesce(b.n, 0)) AS nb FROM own LEFT JOIN own b ON b.conv_id = own.base
+), r AS (
+    SELECT c.conv_id, o.place, o.mark, o.chars FROM c JOIN o ON o.conv_id = c.base AND o.place < c.h
+    UNION ALL SELECT c.conv_id, o.place - c.h + c.nb, o.mark, o.chars FROM c JOIN o ON o.conv_id = c.conv_id AND o.place >= c.h
+), p AS (
+    SELECT conv_id, place + 1 AS depth, chars, string_agg(mark, '') OVER (PARTITION BY conv_id ORDER BY place) AS prefix FROM r
+    UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), ends AS (
+    SELECT depth, prefix, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+    FROM (SELECT *, max(depth) OVER (PARTITION BY conv_id) AS last FROM p) WHERE depth = last GROUP BY depth, prefix
+), n AS (
+    SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM p GROUP BY depth, prefix
+), spot AS (
+    SELECT p.conv_id AS member, p.depth, n.conv_id FROM p JOIN n ON n.depth = p.depth AND n.prefix = p.prefix
+), linked AS (
+    SELECT n.*, s.conv_id AS parent_conv_id FROM n LEFT JOIN spot s ON s.member = n.conv_id AND s.depth = n.depth - 1
+), kids AS (
+    SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE parent_conv_id IS NOT NULL GROUP BY ALL
+), full_nodes AS (
+    SELECT linked.*, coalesce(n_children, 0) AS n_children FROM linked LEFT JOIN kids ON kids.conv_id = linked.conv_id AND kids.depth = linked.depth
+), totals AS (
+    SELECT s.conv_id, s.depth, count(*) FILTER (x.n_children = 0) AS n_leaves, CAST(sum((x.n_convs - 1) * x.chars) AS BIGINT) AS saved_tokens
+    FROM full_nodes x JOIN spot s ON s.member = x.conv_id AND s.depth <= x.depth GROUP BY s.conv_id, s.depth
+)
+SELECT f.conv_id, f.depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM full_nodes f JOIN totals USING (conv_id, depth) LEFT JOIN ends ON ends.depth = f.depth AND ends.prefix = f.prefix
+"""
+
+ORACLE = {"op7_line_dedup": LINE_DEDUP, "op8_url_filters": URL_FILTERS, "op12_conversation_prefix_trie": PREFIX_TRIE, "op13_merkle_dataset_manifest": MERKLE_MANIFEST}

@@ -15,6 +15,7 @@ from weirflow.llm.packing import pack_documents
 from weirflow.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 from weirflow.llm.page_text import extract_text
 from weirflow.llm.perplexity import judge_quality
+from weirflow.llm.prefix_trie import prefix_trie
 from weirflow.llm.vectors import near_vectors
 from weirflow.llm.warc import archive_pages
 
@@ -65,6 +66,10 @@ def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
     return judged.select("doc_id", "lang", "perplexity", "threshold", "accepted")
 
 
+def op12_conversation_prefix_trie(spark: SparkSession, root: str) -> DataFrame:
+    return prefix_trie(table(spark, root, "conversations"))
+
+
 def op13_merkle_dataset_manifest(spark: SparkSession, root: str) -> DataFrame:
     return merkle.verify(table(spark, root, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filters,
         op9_warc,
         op10_quality_classifier,
+        op12_conversation_prefix_trie,
         op13_merkle_dataset_manifest,
     )
 }
