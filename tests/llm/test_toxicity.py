@@ -1,0 +1,133 @@
+"""Deobfuscation against an exhaustive search and known spellings; toxicity on held-out labels, hidden words and edge cases."""
+
+import itertools
+import math
+from zlib import crc32
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from weirflow.llm import deobfuscation as channel
+from weirflow.llm.deobfuscation import asked, decode, is_doubtful, is_plain, lattice, restore, train, units, vocabulary
+from weirflow.llm.queries import op11_toxicity
+from weirflow.llm.toxicity import curve, judge_toxicity
+
+ROOT = "/root/testdata/sf0.01"
+HIDDEN = {
+    "1d10t": "idiot", "i d i o t": "idiot", "m0r0n": "moron", "tr@sh": "trash", "w0rthle$$": "worthless", "p4th3t1c": "pathetic",
+    "l.o.s.e.r": "loser", "l-o-s-e-r": "loser", "idiooooot": "idiot", "sssstupid": "stupid", "st*pid": "stupid", "d1sgu5ting": "disgusting",
+    "y o u i d i o t": "you idiot", "сlоwn": "clown", "$cum": "scum",
+}
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id", "text")
+
+
+@pytest.fixture(scope="module")
+def model(spark, docs):
+    more = spark.createDataFrame([("you",)] * 300, "text string")
+    counted = vocabulary(docs.select("text").unionByName(more))
+    return train(counted.where(is_plain(F.col("unit"))))
+
+
+def test_units():
+    row, found = units(pa.array(["The  Id​iot! (1d10t)\n a B c, x", None, "", "...", "i d i o t\tyou", "a b"]))
+    want = [(0, "the"), (0, "idiot"), (0, "1d10t"), (0, "a"), (0, "b"), (0, "c"), (0, "x"), (4, "i d i o t"), (4, "you"), (5, "a"), (5, "b")]
+    assert sorted(zip(row.tolist(), found.to_pylist())) == sorted(want)
+
+
+def test_vocabulary_counts_all_texts(docs):
+    from collections import Counter
+
+    want = Counter()
+    texts = pa.array([r.text for r in docs.collect()])
+    want.update(units(texts)[1].to_pylist())
+    assert {r.unit: r.n for r in vocabulary(docs).collect()} == want
+
+
+def test_which_units_are_doubtful(spark):
+    kinds = {"word": (True, False), "été": (True, False), "1d10t": (False, True), "looop": (False, True), "loop": (True, False), "2024": (False, False), "сlоwn": (False, True), "слово": (True, False)}
+    rows = spark.createDataFrame([(k,) for k in kinds], "unit string").select("unit", is_plain(F.col("unit")), is_doubtful(F.col("unit"))).collect()
+    assert {r[0]: (r[1], r[2]) for r in rows} == kinds
+
+
+def test_hidden_words(spark, model):
+    got = restore(spark.createDataFrame([(k,) for k in HIDDEN], "unit string"), model)
+    assert {r.unit: r.meant for r in got.collect()} == HIDDEN
+
+
+def test_best_path_is_that_of_an_exhaustive_search():
+    def weight(context, symbol):
+        return -1 - (hash((context, symbol)) % 1000) / 100
+
+    class Any(dict):
+        def __missing__(self, key):
+            return weight(*key)
+
+    for unit in ("1d10t", "aaa b", "l.0$", "!!!x"):
+        best = (-math.inf, "")
+        for path in itertools.product(*lattice(unit)):
+            at, total = channel._START, 0.0
+            for way, cost in path:
+                total += cost
+                for symbol in way:
+                    if symbol != " " or at != channel._START:
+                        total += weight(at, channel._code(symbol))
+                    at = channel._after(at, symbol)
+            best = max(best, (total, "".join(w for w, _ in path)))
+        assert decode(unit, Any()) == " ".join(best[1].split())
+        assert set(asked(unit)) >= {(channel._START, channel._code(unit[0]))} or unit[0] in "1!"
+
+
+def test_a_very_long_unit():
+    class Flat(dict):
+        def __missing__(self, key):
+            return -1.0
+
+    assert decode("ab1" * 20_000, Flat()).count("b") == 20_000
+    assert len(decode("x" * 2_000_000, Flat())) == 1
+
+
+def test_curve():
+    begin, slope = curve([(0.0, 1, 99), (5.0, 50, 1)])
+    assert begin < -3 and slope > 1
+    assert curve([(0.0, 0, 10)])[0] < 0 and curve([(0.0, 10, 0)])[0] > 0
+
+
+def test_held_out_documents(spark):
+    root = "/root/testdata/sf0.1"
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{root}/labels.parquet").collect()}
+    rows = [r for r in op11_toxicity(spark, root).collect()]
+    assert len(rows) == 10_000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    assert all(r.held_out == (crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if r.held_out and r.doc_id in toxic]
+    caught = [r.predicted for r in held if toxic[r.doc_id]]
+    wrong = [r.predicted for r in held if not toxic[r.doc_id]]
+    # Some labelled toxic texts were overwritten with junk and hold nothing that tells.
+    assert sum(caught) / len(caught) > 0.75 and sum(wrong) / len(wrong) < 0.02
+
+
+def test_labels_of_held_out_rows_do_not_matter(spark, docs):
+    labels = spark.read.parquet(f"{ROOT}/labels.parquet").select("doc_id", "toxic")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    learn = labels.where(fold != 2)
+    words = ["1d10t", "w0rthle$$", "s t u p i d"]
+    extra = spark.createDataFrame([(10**6 + i, f"plain text that is {w} and more") for i, w in enumerate([*words, "harmless"])], "doc_id long, text string")
+    got = {r.doc_id: r.predicted for r in judge_toxicity(docs.unionByName(extra), learn).collect()}
+    assert [got[10**6 + i] for i in range(4)] == [1, 1, 1, 0]
+
+
+def test_edges(spark):
+    schema, labels = "doc_id long, text string, word string, score string, unit string, key string", "doc_id long, toxic int"
+    rows = [(1, "good words", "c", "c", "c", "c"), (1, "good words", "c", "c", "c", "c"), (2, None, "c", "c", "c", "c"), (3, "", "c", "c", "c", "c"), (None, "no id", "c", "c", "c", "c")]
+    rows.append((4, "x" * 1_000_000 + " 1" * 50_000 + " " + "a1" * 5_000, "c", "c", "c", "c"))
+    table = spark.createDataFrame(rows, schema)
+    outcomes = spark.createDataFrame([(1, 0), (1, None), (2, 1), (None, 1), (9, 1)], labels)
+    got = judge_toxicity(table, outcomes)
+    assert got.count() == len(rows) and got.columns == ["doc_id", "text", "word", "unit", "key", "score", "predicted"]
+    assert len({r.score for r in got.where("doc_id in (2, 3)").collect()}) == 1
+    assert judge_toxicity(table.limit(0), outcomes).count() == 0
+    assert {r.score for r in judge_toxicity(table, outcomes.limit(0)).collect()} == {0.0}

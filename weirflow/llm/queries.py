@@ -16,6 +16,7 @@ from weirflow.llm.oracle import ORACLE  # noqa: F401  (registered with the queri
 from weirflow.llm.page_text import extract_text
 from weirflow.llm.perplexity import judge_quality
 from weirflow.llm.prefix_trie import prefix_trie
+from weirflow.llm.toxicity import judge_toxicity
 from weirflow.llm.vectors import near_vectors
 from weirflow.llm.warc import archive_pages
 
@@ -66,6 +67,14 @@ def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
     return judged.select("doc_id", "lang", "perplexity", "threshold", "accepted")
 
 
+def op11_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    """Held out are the rows whose doc_id has a CRC-32 of 2 modulo 4: their labels are not read."""
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    outcomes = table(spark, root, "labels").where(fold != 2).select("doc_id", "toxic")
+    judged = judge_toxicity(table(spark, root, "documents").select("doc_id", "text"), outcomes)
+    return judged.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op12_conversation_prefix_trie(spark: SparkSession, root: str) -> DataFrame:
     return prefix_trie(table(spark, root, "conversations"))
 
@@ -87,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filters,
         op9_warc,
         op10_quality_classifier,
+        op11_toxicity,
         op12_conversation_prefix_trie,
         op13_merkle_dataset_manifest,
     )
