@@ -36,3 +36,39 @@ def test_the_product_mix_reads_its_facts_once(spark, small):
 def test_the_region_switch_shuffles_rows_once(spark, small):
     plan = plan_of(QUERIES["fraud_attribute_switch"](spark, small))
     assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("name", ["tumbling_sales_by_region_category", "tumbling_total_by_region"])
+def test_reports_without_a_product_shuffle_few_rows(spark, small, name):
+    """The price is joined before the first sums, so these leave a row per window and group, not one per product."""
+    df = QUERIES[name](spark, small)
+    assert df.count() > 0
+    plan = plan_of(df)
+    below = plan[plan.index("partial_sum") :]
+    assert "part.parquet" in below and "orders.parquet" in below
+    assert "product_id" not in plan[: plan.index("partial_sum")]
+
+
+def test_a_micro_batch_does_not_shuffle_the_orders(spark, small, no_broadcast, tmp_path):
+    """The static side of the stream is stored in buckets of its key: each batch joins it without an exchange."""
+    from weirflow.plans.streams import line_stream
+    from weirflow.streaming.runner import run_stream
+
+    plans = []
+    configure(spark)
+    hot = {"l_orderkey": spark.createDataFrame([(7,)], "l_orderkey bigint")}
+    query = run_stream(
+        line_stream(spark, small, hot, "left"), "append", "batch", checkpoint=str(tmp_path / "cp"),
+        on_batch=lambda batch, epoch: (batch.count(), plans.append(epoch)), available_now=True,
+    )
+    assert len(plans) >= 2
+    plan = query._jsq.streamingQuery().explainInternal(False) if hasattr(query._jsq, "streamingQuery") else ""
+    plan = plan or query._jsq.explainInternal(False)
+    join = plan[plan.index("SortMergeJoin") :]
+    streamed, static = join.split("FileScan parquet spark_catalog", 1)[0], join
+    assert "Bucketed: true" in static
+    # The lines are shuffled to the buckets; between the join and the scan of the orders is no exchange.
+    between = join[: join.index("Bucketed: true")]
+    last = between.rindex("FileScan parquet")
+    side = between[between.rindex("+- ", 0, last) :]
+    assert "Exchange" not in side

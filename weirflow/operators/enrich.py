@@ -42,7 +42,7 @@ def join_lookup(
     key: str,
     how: str = "left",
     hot: DataFrame | None = None,
-    salts: int = 64,
+    salts: int = 1 << 30,
 ) -> DataFrame:
     """Join events with a table that holds each ``key`` at most once.
 
@@ -51,20 +51,44 @@ def join_lookup(
     splits a hot key.
 
     A stateful stream runs without adaptive execution. For a stream with a lookup too large to broadcast,
-    ``hot`` names the hot keys, as :func:`hot_keys` finds them in the stored table: their events, and those
-    without a key, are spread over ``salts`` partitions, and only their lookup rows are repeated. Equal events
-    are spread too if a column ``ROW`` tells them apart.
+    ``hot`` names the hot keys, as :func:`hot_keys` finds them: see :func:`join_hot`.
     """
     if hot is None:
         return events.join(lookup, key, how)
-    # hot_keys bounds the size of this table.
-    marks = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
-    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
-    salt = F.pmod(F.xxhash64(*([ROW] if ROW in events.columns else events.columns)), F.lit(salts)).cast("int")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_events = events.join(marks, key, "left").withColumn("_salt", F.when(spread, salt).otherwise(0))
-    salted_lookup = lookup.join(marks, key, "left").withColumn("_salt", F.explode(copies))
-    return salted_events.drop("_hot").join(salted_lookup.drop("_hot"), [key, "_salt"], how).drop("_salt")
+    return join_hot(events, lookup, key, how, rows_of(lookup, key, hot), salts)
+
+
+def rows_of(lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """The lookup's rows of the hot keys, of which :func:`hot_keys` bounds the number, as a local table: read once, not per micro-batch."""
+    found = lookup.join(F.broadcast(hot.select(key).distinct()), key, "left_semi")
+    return lookup.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
+def join_hot(events: DataFrame, lookup: DataFrame, key: str, how: str, rows: DataFrame, salts: int = 1 << 30) -> DataFrame:
+    """:func:`join_lookup` where ``rows`` are the lookup's rows of the hot keys, few enough to be sent to all tasks.
+
+    Events of these keys find their row there. They, and events without a key, still pass the shuffle of the other join, but under made-up
+    keys, ``salts`` of them at most, that spread them evenly, so neither a hot key fills a task nor is a row of the lookup repeated, and a lookup
+    stored in buckets of the key (:mod:`weirflow.sources.bucketed`) is not shuffled. Equal events are spread too if
+    a column ``ROW`` tells them apart.
+    """
+    kind = events.schema[key].dataType
+    values = [c for c in lookup.columns if c != key]
+    known = rows.select(F.col(key).alias("_hot_key"), *[F.col(c).alias(f"_hot_{c}") for c in values])
+    marked = events.join(F.broadcast(known), F.col(key) == F.col("_hot_key"), "left")
+    own = [ROW] if ROW in events.columns else events.columns
+    spread = (-1 - F.pmod(F.xxhash64(*own), F.lit(salts))).cast(kind)
+    away = F.col("_hot_key").isNotNull() | F.col(key).isNull()
+    marked = marked.withColumn("_key", F.when(away, spread).otherwise(F.col(key)))
+    others = lookup.select(F.col(key).cast(kind).alias("_key"), F.lit(True).alias("_there"), *[F.col(c).alias(f"_cold_{c}") for c in values])
+    joined = marked.join(others, "_key", "left")
+    # A made-up key may be that of some row: it counts for nothing.
+    pick = [F.when(F.col("_hot_key").isNotNull(), F.col(f"_hot_{c}")).when(F.col(key).isNotNull(), F.col(f"_cold_{c}")).alias(c) for c in values]
+    if how == "inner":
+        joined = joined.where(F.col("_hot_key").isNotNull() | (F.col(key).isNotNull() & F.col("_there")))
+    elif how != "left":
+        raise ValueError(f"no {how!r} join with hot keys")
+    return joined.select(key, *[c for c in events.columns if c != key], *pick)
 
 
 def price_sales(
@@ -118,7 +142,8 @@ def price_report(report: DataFrame, products: DataFrame, *columns: str, prefix:
     """Add ``revenue`` and further ``columns`` of the products to a report of ``units`` per product.
 
     The names of the report's units and of its revenue may have a ``prefix``. A price belongs to the product, so it need not
-    be known before the units are summed. Prices are in steps of :mod:`weirflow.functions.money`, as is the revenue.
+    be known before the units are summed. Prices are in steps of :mod:`weirflow.functions.money`, as is the revenue, which is rounded to a step
+    once per row of the report; :func:`price_sales` rounds each line. Both agree while quantities are whole.
     """
     priced = join_lookup(report, products.select("product_id", *columns, "base_price"), "product_id", how)
     # Both factors may be large: the product is formed in decimals and must fit a long.

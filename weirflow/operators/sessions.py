@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirflow.functions.measures import Measure
-from weirflow.functions.time import flat_span, interval
+from weirflow.functions.time import epoch_seconds, flat_span, interval
 from weirflow.operators.windows import with_watermark
 
 
@@ -72,6 +72,31 @@ def session_agg(
     return merge_slots(session_slots(df, keys, measures, gap, time), keys, measures, gap)
 
 
+def durations_by_window(
+    df: DataFrame,
+    keys: Sequence[str],
+    by: Sequence[str],
+    gap: str,
+    size: str,
+    watermark: str,
+    time: str = "event_time",
+) -> DataFrame:
+    """Number and mean length in seconds of the sessions that end in each window of ``size``, by some of their ``keys``.
+
+    A table or a stream. A stream has two stateful steps in one append-mode query: sessions first, and what the watermark has closed of them is
+    grouped by windows of its own event time. A session belongs to the window of its last microsecond.
+    """
+    if df.isStreaming:
+        opened = with_watermark(df, time, watermark).groupBy(F.session_window(time, gap).alias("s"), *keys).agg(F.count("*").alias("n"))
+        ended = opened.select(F.window_time("s").alias("_ended"), F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), *by)
+    else:
+        ended = session_agg(df, keys, (), gap, time=time)
+        ended = ended.select((F.col("session_end") - F.expr("INTERVAL 1 MICROSECOND")).alias("_ended"), "session_start", "session_end", *by)
+    seconds = epoch_seconds(F.col("session_end")) - epoch_seconds(F.col("session_start"))
+    grouped = ended.groupBy(F.window("_ended", size).alias("w"), *by)
+    return flat_span(grouped.agg(F.count("*").alias("n_sessions"), F.avg(seconds).alias("avg_session_s")), "w", "window")
+
+
 def merge_slots(slots: DataFrame, keys: Sequence[str], measures: Sequence[Measure], gap: str) -> DataFrame:
     """Sessions from the output of :func:`session_slots`."""
     return (

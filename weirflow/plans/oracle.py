@@ -329,3 +329,40 @@ FROM in_session WHERE {passed('1 hour', 'session_end')}
 GROUP BY session_start, session_end, customer_id, region""",
     }
 )
+
+DURATIONS = f"""{SALES_SESSIONS},
+closed AS (
+  SELECT DISTINCT session_start, session_end, customer_id, region FROM in_session
+  WHERE {passed('30 days', 'session_end', 'sales', 'event_time')}
+), placed AS (
+  SELECT *, {bucket('90 days', "session_end - INTERVAL 1 MICROSECOND")} AS window_start FROM closed
+)"""
+
+ORACLE.update(
+    {
+        "stream_session_merge": f"""WITH {ACTIONS}, sent AS (
+  SELECT *, CAST(2 * floor(date_diff('day', (SELECT min(event_time) FROM actions), event_time) / 15) + event_id % 2 AS BIGINT) AS part FROM actions
+), {sessions('sent', 'user_id', '12 hours')}
+SELECT session_start, session_end, user_id, CAST(sum(amount) AS DOUBLE) AS session_amount, count(*) AS events,
+       min(part) AS first_part, max(part) AS last_part
+FROM in_session WHERE {passed('15 days', 'session_end')} GROUP BY session_start, session_end, user_id""",
+        "stream_session_duration_windows": f"""{DURATIONS}
+SELECT window_start, window_start + INTERVAL '90 days' AS window_end, region, count(*) AS n_sessions,
+       avg(epoch(session_end) - epoch(session_start)) AS avg_session_s
+FROM placed WHERE {passed('30 days', "window_start + INTERVAL '90 days'", 'sales', 'event_time')} GROUP BY window_start, region""",
+        "stream_state_sizes": f"""{DURATIONS},
+open_sessions AS (
+  SELECT count(DISTINCT (session_start, customer_id, region)) AS n FROM in_session
+  WHERE NOT ({passed('30 days', 'session_end', 'sales', 'event_time')})
+), open_windows AS (
+  SELECT count(DISTINCT (window_start, region)) AS n FROM placed
+  WHERE NOT ({passed('30 days', "window_start + INTERVAL '90 days'", 'sales', 'event_time')})
+)
+SELECT CAST(0 AS BIGINT) AS operator_id, n AS state_rows FROM open_windows UNION ALL SELECT 1, n FROM open_sessions""",
+        "stream_two_outputs": f"""WITH {ACTIONS}, counts AS ({ACTION_COUNTS})
+SELECT *, count = max(count) OVER (PARTITION BY window_start) AS busiest FROM counts""",
+        "stream_topn_leaderboard": ORACLE["topn_products_sliding"],
+        "stream_hot_enrichment": """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, o_orderdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    }
+)

@@ -46,11 +46,6 @@ def product_units(sales: DataFrame, size: str = "1 minute", slide: str | None =
     return sliding_agg(sales, PRODUCT_KEYS, SALES[1:], size, slide, watermark)
 
 
-def categories_from_products(revenue: DataFrame) -> DataFrame:
-    """The sales dashboard from a finished report per product that names the category."""
-    return revenue.groupBy("window_start", "window_end", "region", "category").agg(*[m.merge for m in SALES])
-
-
 def product_revenue_from_panes(panes: DataFrame, size: str = "1 minute", slide: str = "10 seconds") -> DataFrame:
     """Sliding product revenue from a finished :func:`product_revenue` table with windows of one slide.
 

@@ -12,12 +12,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirflow.functions.measures import highest, lowest, row_count, total
 from weirflow.functions.money import in_units, steps
 from weirflow.functions.payload import parse_csv_lines, parse_json_values
 from weirflow.functions.time import event_clock, zoneless
-from weirflow.operators.enrich import ROW, enrich_sales, hot_keys_of, price_sales
+from weirflow.operators.enrich import ROW, add_region, hot_keys_of, price_sales
 from weirflow.operators.late import backdate_every_nth
 from weirflow.operators.product_mix import closed_only, product_slots, session_product_mix, totals_from_slots
+from weirflow.operators.rank import by_sales, top_n
+from weirflow.operators.sessions import durations_by_window, session_agg
 from weirflow.plans import reports
 from weirflow.plans.catalog import (
     ACTION_GAP,
@@ -31,7 +34,8 @@ from weirflow.plans.catalog import (
     placed,
     query,
 )
-from weirflow.session import work_dir
+from weirflow.session import stored, work_dir
+from weirflow.sources.bucketed import bucketed
 from weirflow.sources.schemas import ORDER_AMOUNT, USER_ACTION, USER_CLICK
 from weirflow.sources.streams import json_folder
 from weirflow.sources.tables import (
@@ -44,22 +48,26 @@ from weirflow.sources.tables import (
     stream_table,
     transactions,
 )
-from weirflow.streaming.runner import run_stream
+from weirflow.streaming.hot import HotKeys, enriched_writer
+from weirflow.streaming.runner import run_stream, state_sizes
 from weirflow.streaming.stores import (
     Shape,
     changes_writer,
+    fan_out,
+    leaderboard_writer,
     read_latest_changes,
+    read_leaderboard,
     read_snapshot,
     snapshot_writer,
 )
 
 
-def hot_sale_keys(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def hot_sale_keys(spark: SparkSession, root: str, *tables: str) -> dict[str, DataFrame]:
     """The hot keys of each join of the sales stream, as far as there are any in the tables."""
     names = {"l_orderkey": "l_orderkey", "l_partkey": "product_id", "o_custkey": "customer_id"}
-    tables = {"lineitem": ["l_orderkey", "l_partkey"], "orders": ["o_custkey"]}
+    columns = {"lineitem": ["l_orderkey", "l_partkey"], "orders": ["o_custkey"]}
     # Each table is read once.
-    found = [hot_keys_of(read_table(spark, root, table), columns) for table, columns in tables.items()]
+    found = [hot_keys_of(read_table(spark, root, table), columns[table]) for table in tables or columns]
     # At most 500 keys of each kind, by the default share of hot_keys.
     keys = defaultdict(list)
     for row in reduce(DataFrame.unionAll, found).collect():
@@ -67,34 +75,64 @@ def hot_sale_keys(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: spark.createDataFrame(rows, f"{name} bigint") for name, rows in keys.items()}
 
 
-def line_stream(spark: SparkSession, root: str, hot: dict[str, DataFrame]) -> DataFrame:
-    """Order lines as a stream, joined with the orders as a static table."""
-    lineitem, orders = stream_table(spark, root, "lineitem"), read_table(spark, root, "orders")
+def arriving_lines(spark: SparkSession, root: str, parts: int = 2) -> DataFrame:
+    """The order lines as a stream of ``parts`` micro-batches, in the order of their orders' dates.
+
+    The stored lines are in no order of time. Each part holds the lines of an equal stretch of time, in as many files as a
+    micro-batch takes in, and its files are younger than those of the part before.
+    """
+    orders = read_table(spark, root, "orders")
+    ends = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    dates = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    if ends[0] is None:
+        part = F.lit(0)
+    else:
+        length = max((ends[1] - ends[0]).total_seconds(), 1)
+        since = (F.unix_micros(F.col("o_orderdate").cast("timestamp")) - F.unix_micros(F.lit(ends[0]).cast("timestamp"))) / 1e6
+        part = F.least(F.floor(since * parts / length), F.lit(parts - 1))
+    lines = read_table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    dated = stored(lines.join(dates, "l_orderkey", "left").withColumn("part", F.coalesce(part, F.lit(0))).drop("o_orderdate"), "lines-by-date")
+    files, folder = int(spark.conf.get("spark.sql.shuffle.partitions")), work_dir(spark, "lines")
+    for i in range(parts):
+        dated.where(F.col("part") == i).drop("part").repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+def placed_orders(spark: SparkSession, root: str, how: str | None = None) -> DataFrame:
+    """The orders as the static side of a stream of lines, in buckets of the order key.
+
+    With ``how`` they know the region of their customer, so a micro-batch joins neither customers nor nations.
+    """
+    orders = read_table(spark, root, "orders")
+    columns = ["o_orderkey", "o_orderdate", "o_custkey"]
+    if how is not None:
+        orders = add_region(orders.withColumn("customer_id", F.col("o_custkey")), customer_lookup(spark, root), region_steps(spark, root), how)
+        columns.append("region")
+    return bucketed(orders.select(*columns), "o_orderkey", "orders")
+
+
+def line_stream(spark: SparkSession, root: str, hot: dict[str, DataFrame], how: str | None = None) -> DataFrame:
+    """Order lines as a stream, joined with the orders as a static table; with ``how`` also with the region of their customer."""
     hot_orders = hot.get("l_orderkey")
     if hot and hot_orders is None:
         hot_orders = spark.createDataFrame([], "l_orderkey bigint")
-    return sales_events(lineitem, orders, hot_orders)
+    region = [] if how is None else ["region"]
+    return sales_events(arriving_lines(spark, root), placed_orders(spark, root, how), hot_orders, *region)
 
 
 def sales_stream(spark: SparkSession, root: str, how: str = "left", backdate: str | None = None) -> DataFrame:
     """The stream of order lines with the lookups; every 50th product's lines can be moved back in time."""
-    hot = hot_sale_keys(spark, root)
-    events = line_stream(spark, root, hot)
+    hot = hot_sale_keys(spark, root, "lineitem")
+    events = line_stream(spark, root, hot, how)
     if backdate is not None:
         events = backdate_every_nth(events, delay=backdate, sequence="product_id")
-    return enrich_sales(
-        events,
-        customer_lookup(spark, root),
-        product_lookup(spark, root),
-        region_steps(spark, root),
-        how,
-        hot.get("customer_id"),
-        hot.get("product_id"),
-    )
+    names = ("product_name", "category")
+    priced = price_sales(events, product_lookup(spark, root), *names, how=how, hot=hot.get("product_id"))
+    return priced.select("event_time", "customer_id", "product_id", "quantity", "region", *names, "unit_price", "total_amount")
 
 
 def priced_stream(spark: SparkSession, root: str) -> DataFrame:
-    hot = hot_sale_keys(spark, root)
+    hot = hot_sale_keys(spark, root, "lineitem")
     return price_sales(line_stream(spark, root, hot), product_lookup(spark, root), hot=hot.get("product_id")).drop(ROW)
 
 
@@ -124,7 +162,7 @@ def snapshot(df: DataFrame, purpose: str, shape: Shape | None = None, view: str
 def latest(df: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
     """Run to the end in update mode and keep the last row of each key."""
     out = work_dir(df.sparkSession, purpose)
-    to_the_end(df, "update", "batch", out, on_batch=changes_writer(f"{out}/rows"))
+    to_the_end(df, "update", "batch", out, on_batch=changes_writer(f"{out}/rows", keys=keys))
     return zoneless(read_latest_changes(df.sparkSession, f"{out}/rows", keys))
 
 
@@ -227,7 +265,7 @@ def stream_top_sessions(spark, root):
 @query("stream_avg_session_duration")
 def stream_avg_session_duration(spark, root):
     """The mean over the sessions that are closed."""
-    lines = line_stream(spark, root, hot_sale_keys(spark, root))
+    lines = line_stream(spark, root, hot_sale_keys(spark, root, "lineitem"))
     closed = appended(reports.customer_sessions(lines, GAP, "30 days"), "sessions")
     return reports.average_session_duration(placed(closed, root))
 
@@ -287,3 +325,99 @@ def stream_json_folder(spark, root):
     clicks.write.json(folder)
     arrived = json_folder(spark, folder, USER_CLICK)
     return appended(reports.action_counts(arrived, "1 hour", "30 minutes"), "counts")
+
+
+def keep_parts(events: DataFrame, parts: DataFrame, build, out: str) -> None:
+    """Run ``build(stream)`` in append mode over the parts of a table: a run per part, each resuming from the checkpoint of those before.
+
+    ``parts`` is ``events`` with a column ``part``. The parts come one after the other, whatever the times of their events.
+    """
+    spark = events.sparkSession
+    for part in sorted(row.part for row in parts.select("part").distinct().collect()):
+        parts.filter(F.col("part") == part).drop("part").write.parquet(f"{out}/in/part{part:04d}")
+        arrived = event_clock(spark.readStream.schema(events.schema).parquet(f"{out}/in/*"))
+        to_the_end(build(arrived), "append", "parquet", out, path=f"{out}/rows")
+
+
+MERGE_GAP, MERGE_BLOCK, MERGE_DELAY = "12 hours", 15, "15 days"
+
+
+@query("stream_session_merge")
+def stream_session_merge(spark, root):
+    """Sessions of events that come out of order: of each fifteen days those with even ids first, then the odd ones between them.
+
+    The odd ones lengthen sessions, open new ones, or bridge two that were apart, in a later run than the one whose state holds them.
+    ``first_part`` and ``last_part`` tell in which runs a session's events came.
+    """
+    out = work_dir(spark, "merge")
+    events = action_events(read_table(spark, root, "events"))
+    first = events.agg(F.min("event_time")).first()[0]
+    if first is None:
+        first = F.lit(None).cast("timestamp_ntz")
+    days = F.datediff(F.col("event_time"), F.lit(first))
+    part = (2 * F.floor(days / MERGE_BLOCK) + F.col("event_id") % 2).cast("long")
+    events = events.withColumn("arrived", part)
+    measures = (total("steps", "session_amount"), row_count("events"), lowest("arrived", "first_part"), highest("arrived", "last_part"))
+    keep_parts(
+        events, events.withColumn("part", F.col("arrived")),
+        lambda arrived: session_agg(arrived, ["user_id"], measures, MERGE_GAP, MERGE_DELAY), out,
+    )
+    fields = "session_start timestamp, session_end timestamp, user_id long, session_amount long, events long, first_part long, last_part long"
+    return in_units(zoneless(spark.read.schema(fields).parquet(f"{out}/rows")), "session_amount")
+
+
+DURATION_WINDOW = "90 days"
+
+
+def session_durations(spark: SparkSession, root: str) -> DataFrame:
+    """The stream of mean session lengths per window and region: two stateful steps."""
+    lines = line_stream(spark, root, hot_sale_keys(spark, root, "lineitem"), "left")
+    return durations_by_window(lines, ["customer_id", "region"], ["region"], GAP, DURATION_WINDOW, "30 days")
+
+
+@query("stream_session_duration_windows")
+def stream_session_duration_windows(spark, root):
+    """Closed sessions, grouped by the window they end in, both in one append-mode query with one checkpoint."""
+    return appended(session_durations(spark, root), "durations")
+
+
+@query("stream_state_sizes")
+def stream_state_sizes(spark, root):
+    """What the two stateful steps still hold when the stream has been read: sessions that may go on, and windows that may get more."""
+    out = work_dir(spark, "durations")
+    to_the_end(session_durations(spark, root), "append", "parquet", out, path=f"{out}/rows")
+    return state_sizes(spark, f"{out}/checkpoint").select("operator_id", "state_rows")
+
+
+@query("stream_two_outputs")
+def stream_two_outputs(spark, root):
+    """One read of the events feeds two stores: the hourly counts, and the busiest actions of each hour."""
+    out = work_dir(spark, "outputs")
+    busiest = lambda batch: top_n(batch, ["window_start"], [F.col("count").desc()], 1)
+    write = fan_out(snapshot_writer(f"{out}/counts"), snapshot_writer(f"{out}/busiest", busiest))
+    to_the_end(reports.action_counts(action_stream(spark, root), "1 hour"), "complete", "batch", out, on_batch=write)
+    first = read_snapshot(spark, f"{out}/busiest").select("window_start", "action", F.lit(True).alias("busiest"))
+    counts = read_snapshot(spark, f"{out}/counts").join(first, ["window_start", "action"], "left")
+    columns = ("window_start", "window_end", "action", "count")
+    return zoneless(counts.select(*columns, F.coalesce("busiest", F.lit(False)).alias("busiest")))
+
+
+@query("stream_topn_leaderboard")
+def stream_topn_leaderboard(spark, root):
+    """Sliding Top-N in update mode: each batch ranks the windows it touched anew, and closes those the watermark has passed."""
+    out = work_dir(spark, "leaderboard")
+    revenue = reports.product_revenue(sales_stream(spark, root), SLIDE_SIZE, SLIDE, watermark="30 days")
+    write = leaderboard_writer(f"{out}/store", ["product_id"], by_sales(), 5, "30 days", within=["region"])
+    to_the_end(revenue, "update", "batch", out, on_batch=write)
+    best = named(zoneless(read_leaderboard(spark, f"{out}/store")), root, "product_name", "category")
+    return in_units(reports.ranking_order(best, newest_first=True), "revenue")
+
+
+@query("stream_hot_enrichment")
+def stream_hot_enrichment(spark, root):
+    """Order lines joined with the orders batch by batch, hot orders found as they come; the result is what further streams read."""
+    out = work_dir(spark, "enrichment")
+    orders = placed_orders(spark, root).withColumnRenamed("o_orderkey", "l_orderkey")
+    write = enriched_writer(f"{out}/rows", HotKeys(f"{out}/hot", "l_orderkey"), lambda batch: orders, "inner")
+    to_the_end(arriving_lines(spark, root), "append", "batch", out, on_batch=write)
+    return spark.read.parquet(f"{out}/rows").drop("epoch_id")

@@ -13,13 +13,15 @@ from weirflow.functions.money import steps
 from weirflow.functions.time import event_clock
 from weirflow.operators.enrich import ROW, join_lookup
 
-_schemas: dict[tuple[str, str], T.StructType] = {}
+_schemas: dict[tuple, T.StructType] = {}
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored table. Its schema is read from a file footer once per application, not once per query."""
+    """A stored table. Its schema is read from a file footer once per application, and again if the table has been rewritten since."""
     path = f"{root}/{name}.parquet"
-    known = (spark.sparkContext.applicationId, path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where)
+    known = (spark.sparkContext.applicationId, path, status.getModificationTime(), status.getLen())
     if known not in _schemas:
         _schemas[known] = spark.read.parquet(path).schema
     return spark.read.schema(_schemas[known]).parquet(path)

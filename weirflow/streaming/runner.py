@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
@@ -135,29 +138,77 @@ def metric_rows(report: str) -> list[tuple]:
     ]
 
 
-def progress_writer(spark: SparkSession, path: str) -> StreamingQueryListener:
+def progress_writer(spark: SparkSession, path: str, every: int = 100) -> StreamingQueryListener:
     """A listener that adds the metrics of every batch of the session's queries to a table, so that none is lost.
 
-    Register it with ``spark.streams.addListener`` and take it out again with ``removeListener``.
+    Reports are held until there are ``every`` of them, or a query ends, and then written by one small job, so a batch costs no job of
+    its own; ``flush`` writes what is held. Register it with ``spark.streams.addListener`` and take it out again with ``removeListener``.
     """
 
     class Writer(StreamingQueryListener):
+        def __init__(self):
+            self.held: list[tuple] = []
+            self.lock = threading.Lock()
+
         def onQueryStarted(self, event):
             pass
 
         def onQueryProgress(self, event):
             rows = [(str(event.progress.id), *row) for row in metric_rows(event.progress.json)]
-            spark.createDataFrame(rows, f"query_id string, {_METRICS}").coalesce(1).write.mode("append").parquet(path)
+            with self.lock:
+                self.held += rows
+                full = len(self.held) >= every
+            if full:
+                self.flush()
 
         def onQueryIdle(self, event):
             pass
 
         def onQueryTerminated(self, event):
-            pass
+            self.flush()
+
+        def flush(self):
+            with self.lock:
+                rows, self.held = self.held, []
+            if rows:
+                spark.createDataFrame(rows, f"query_id string, {_METRICS}").coalesce(1).write.mode("append").parquet(path)
 
     return Writer()
 
 
+def state_stores(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The stateful operators of a query, from its checkpoint: operator_id, operator, store, partitions and the batches that can be read."""
+    found = spark.read.format("state-metadata").load(checkpoint)
+    return found.select(
+        F.col("operatorId").alias("operator_id"),
+        F.col("operatorName").alias("operator"),
+        F.col("stateStoreName").alias("store"),
+        F.col("numPartitions").alias("partitions"),
+        F.col("minBatchId").alias("first_batch"),
+        F.col("maxBatchId").alias("last_batch"),
+    )
+
+
+def read_state(spark: SparkSession, checkpoint: str, operator_id: int = 0, store: str = "default", batch: int | None = None) -> DataFrame:
+    """What a stateful operator holds, one row per key: ``key``, ``value`` and ``partition_id``, after the last batch or an earlier one."""
+    reader = spark.read.format("statestore").option("operatorId", operator_id).option("storeName", store)
+    return (reader if batch is None else reader.option("batchId", batch)).load(checkpoint)
+
+
+def state_sizes(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Rows that each store of a query holds, in all and in its fullest partition: whether state grows, and whether a key fills one task."""
+    parts = []
+    for store in state_stores(spark, checkpoint).collect():
+        held = read_state(spark, checkpoint, store.operator_id, store.store).groupBy("partition_id").agg(F.count("*").alias("n"))
+        held = held.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("state_rows"), F.coalesce(F.max("n"), F.lit(0)).alias("fullest"))
+        named = [F.lit(store[c]).alias(c) for c in ("operator_id", "operator", "store", "partitions")]
+        parts.append(held.select(*named, "state_rows", "fullest"))
+    if not parts:
+        fields = "operator_id long, operator string, store string, partitions int, state_rows long, fullest long"
+        return spark.createDataFrame([], fields)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def recent_metrics(query: StreamingQuery) -> DataFrame:
     """One row per recent batch and stateful operator: rows read, state held, late rows dropped.
 

@@ -2,15 +2,20 @@
 
 Each writer takes in the whole batch with one write, which a stateful query requires, and writing the same
 batch again replaces it, so a batch that is retried after a failure leaves no duplicates.
+
+A store that puts its folders in order names the current ones in a small pointer, which is written after them; what a pointer named
+stays for some batches more, so whoever has begun to read is not disturbed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from weirflow.functions.time import duration
+from weirflow.operators.rank import top_n
 from weirflow.streaming.runner import BatchWriter
 
 #: Snapshots that stay beside the current one.
@@ -19,6 +24,23 @@ KEPT = 3
 Shape = Callable[[DataFrame], DataFrame]
 
 
+def fan_out(*writers: BatchWriter) -> BatchWriter:
+    """One writer that hands each batch to several stores. The batch is computed once and its source read once.
+
+    If a store fails, the batch fails, and all stores are given it again: each replaces what it wrote the first time.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        held = batch.persist()
+        try:
+            for each in writers:
+                each(held, epoch)
+        finally:
+            held.unpersist()
+
+    return write
+
+
 def snapshot_writer(
     path: str,
     shape: Shape | None = None,
@@ -43,7 +65,7 @@ def snapshot_writer(
             .parquet(target)
         )
         spark = batch.sparkSession
-        spark.createDataFrame([(epoch,)], "epoch_id long").coalesce(1).write.mode("overwrite").parquet(f"{path}/current-{epoch:012d}")
+        _point(spark, f"{path}/current", epoch)
         for old in range(max(0, epoch - KEPT - 8), epoch - KEPT):
             for name in ("current", "snapshot"):
                 _remove(spark, f"{path}/{name}-{old:012d}")
@@ -61,31 +83,157 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/snapshot-{latest:012d}")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this module wrote, where the session's file systems are."""
+def _point(spark: SparkSession, pointer: str, epoch: int) -> None:
+    spark.createDataFrame([(epoch,)], "epoch_id long").coalesce(1).write.mode("overwrite").parquet(f"{pointer}-{epoch:012d}")
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, as the session knows it, and the path."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def changes_writer(path: str, shape: Shape | None = None) -> BatchWriter:
-    """Keep every batch of an update- or append-mode query, one folder per batch."""
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this module wrote."""
+    files, where = _files(spark, path)
+    files.delete(where, True)
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """The folders and files right below a path; none if there is no such path."""
+    files, where = _files(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
+
+
+def _complete(spark: SparkSession, path: str, pointer: str) -> list[int]:
+    """Batches that finished pointers name, ascending."""
+    names = [n for n in _names(spark, path) if n.startswith(f"{pointer}-")]
+    return [int(n.rpartition("-")[2]) for n in names if "_SUCCESS" in _names(spark, f"{path}/{n}")]
+
+
+def changes_writer(path: str, shape: Shape | None = None, keys: Sequence[str] | None = None, every: int = 20) -> BatchWriter:
+    """Keep every batch of an update- or append-mode query, one folder per batch.
+
+    With ``keys`` the store is put in order after each ``every`` batches: the last row of each key goes into a base, and folders
+    that an older base had taken in already are removed. So there are never more than about twice as many folders as that,
+    however long the stream runs. Both kinds are read by :func:`read_latest_changes`.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
         result = shape(batch) if shape else batch
         result.write.mode("overwrite").parquet(f"{path}/epoch_id={epoch}")
+        if keys is not None and epoch % every == every - 1:
+            _put_in_order(batch.sparkSession, path, keys, epoch)
 
     return write
 
 
-def read_latest_changes(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The last written row of each key."""
+def _put_in_order(spark: SparkSession, path: str, keys: Sequence[str], epoch: int) -> None:
+    bases = _complete(spark, path, "_current")
+    if bases and bases[-1] >= epoch:
+        return  # a batch that is written again after its base was made
+    _latest(_changes(spark, path, bases[-1] if bases else None, epoch), keys).write.mode("overwrite").parquet(f"{path}/_base-{epoch:012d}")
+    _point(spark, f"{path}/_current", epoch)
+    # Readers of the base before this one may still ask for what came after it.
+    for old in bases[:-1]:
+        for name in ("_current", "_base"):
+            _remove(spark, f"{path}/{name}-{old:012d}")
+    if bases:
+        for name in _names(spark, path):
+            if name.startswith("epoch_id=") and int(name.partition("=")[2]) <= bases[-1]:
+                _remove(spark, f"{path}/{name}")
+
+
+def _changes(spark: SparkSession, path: str, base: int | None, until: int | None = None) -> DataFrame:
+    """The rows of a base, and of all batches after it, with ``epoch_id``."""
     changes = spark.read.parquet(path)
+    changes = changes.withColumn("epoch_id", F.col("epoch_id").cast("long"))
+    if until is not None:
+        changes = changes.where(F.col("epoch_id") <= until)
+    if base is None:
+        return changes
+    return spark.read.parquet(f"{path}/_base-{base:012d}").unionByName(changes.where(F.col("epoch_id") > base))
+
+
+def _latest(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last row of each key, with its ``epoch_id``."""
     values = [c for c in changes.columns if c not in (*keys, "epoch_id")]
-    return (
-        changes.groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), "epoch_id").alias("last"))
-        .select(*keys, "last.*")
-    )
+    last = F.max_by(F.struct(*values), "epoch_id").alias("last")
+    return changes.groupBy(*keys).agg(last, F.max("epoch_id").alias("epoch_id")).select(*keys, "last.*", "epoch_id")
+
+
+def read_latest_changes(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The last written row of each key."""
+    bases = _complete(spark, path, "_current")
+    return _latest(_changes(spark, path, bases[-1] if bases else None), keys).drop("epoch_id")
+
+
+def _micros(time: str) -> Column:
+    return F.unix_micros(F.col(time).cast("timestamp"))
+
+
+def leaderboard_writer(
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    delay: str,
+    within: Sequence[str] = (),
+) -> BatchWriter:
+    """Keep the ``n`` best rows of every window, by ``within``, of an update-mode query over windows.
+
+    The batch brings the new totals of some ``keys`` in some windows (``window_start``, ``window_end``). Only those windows are ranked anew; the
+    ranks of the other open ones are carried over. A window is closed once no event may come for it: its end is ``delay``, the query's watermark,
+    before the start of a window seen in an earlier batch. Its ranks are then written for good and its totals dropped. So
+    what a batch reads and writes is bounded by the windows that are open, not by how long the stream has run.
+    """
+    span = ("window_start", "window_end")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        before = [e for e in _complete(spark, path, "current") if e < epoch]
+        last = before[-1] if before else None
+        held = batch.persist()
+        try:
+            totals, ranks, horizon = held, None, None
+            touched = held.select(*span).distinct()
+            newest = held.agg(F.max(_micros("window_start")).alias("newest"))
+            if last is not None:
+                mark = spark.read.parquet(f"{path}/mark-{last:012d}")
+                horizon = mark.first().newest
+                newest = newest.unionByName(mark).agg(F.max("newest").alias("newest"))
+                # Windows that are open are few: as many as the delay is long.
+                old = spark.read.parquet(f"{path}/totals-{last:012d}").withColumn("epoch_id", F.lit(last))
+                both = old.unionByName(held.withColumn("epoch_id", F.lit(epoch)))
+                totals = _latest(both, [*span, *within, *keys]).drop("epoch_id")
+                ranks = spark.read.parquet(f"{path}/ranks-{last:012d}").join(F.broadcast(touched), list(span), "left_anti")
+            fresh = top_n(totals.join(F.broadcast(touched), list(span), "left_semi"), [*span, *within], order, n)
+            ranks = fresh if ranks is None else ranks.unionByName(fresh)
+            late = int(duration(delay).total_seconds() * 1_000_000)
+            closed = F.lit(False) if horizon is None else _micros("window_end") <= horizon - late
+            ranks = ranks.persist()
+            try:
+                ranks.where(closed).write.mode("overwrite").parquet(f"{path}/final/epoch_id={epoch}")
+                ranks.where(~closed).write.mode("overwrite").parquet(f"{path}/ranks-{epoch:012d}")
+            finally:
+                ranks.unpersist()
+            totals.where(~closed).write.mode("overwrite").parquet(f"{path}/totals-{epoch:012d}")
+            newest.coalesce(1).write.mode("overwrite").parquet(f"{path}/mark-{epoch:012d}")
+        finally:
+            held.unpersist()
+        _point(spark, f"{path}/current", epoch)
+        for old in before[:-KEPT]:
+            for name in ("current", "mark", "totals", "ranks"):
+                _remove(spark, f"{path}/{name}-{old:012d}")
+
+    return write
+
+
+def read_leaderboard(spark: SparkSession, path: str) -> DataFrame:
+    """All ranks that :func:`leaderboard_writer` keeps: those of closed windows, and of open ones as they stand."""
+    last = _complete(spark, path, "current")[-1]
+    final = spark.read.parquet(f"{path}/final").where(F.col("epoch_id") <= last).drop("epoch_id")
+    return final.unionByName(spark.read.parquet(f"{path}/ranks-{last:012d}"))
 
 
 def jdbc_writer(url: str, table: str, properties: dict[str, str]) -> BatchWriter:
