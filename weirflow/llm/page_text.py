@@ -33,6 +33,10 @@ _TEMPLATE_WORDS = set(
     "breadcrumbs footer header masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
     "subscription signup login search share sharing social related recommended comment comments disqus respond replies pagination pager toolbar".split()
 )
+_COMMENTS = set("comment comments disqus respond replies".split())
+_HEADERS = set("header masthead".split())
+#: Beginnings of names that say what is beside or around an element, and not what it is: ``has-sidebar``.
+_MODIFIERS = ("has-", "with-", "no-", "without-", "not-", "is-", "js-", "has_", "with_", "no_")
 _TEMPLATE_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 _WORD = re.compile(r"[^a-z0-9]+")
 
@@ -61,13 +65,15 @@ class _Reader(HTMLParser):
             return above
         known = {k: v or "" for k, v in attrs}
         role = known.get("role", "").lower()
-        words = set(_WORD.split(f"{known.get('class', '')} {known.get('id', '')}".lower()))
         if tag == "header" and above == ARTICLE:
             return _TITLE  # of an article's own header, its headings are the article's
+        named = self.named(tag, role, known, above == ARTICLE)
+        if named in (_TITLE, LOOSE):
+            return named
         if (
             tag in _TEMPLATE_TAGS
             or role in _TEMPLATE_ROLES
-            or (words & _TEMPLATE_WORDS and tag not in ("html", "body"))
+            or named == TEMPLATE
             or "hidden" in known
             or known.get("aria-hidden") == "true"
             or "display:none" in known.get("style", "").replace(" ", "").lower()
@@ -79,6 +85,25 @@ class _Reader(HTMLParser):
             return MAIN
         return above
 
+    def named(self, tag: str, role: str, known: dict[str, str], within: bool) -> int | None:
+        """What class and id say of an element: TEMPLATE, _TITLE or, where that is in doubt ``within`` an article, LOOSE; None if nothing.
+
+        Names never overrule ``main``, ``body`` or an article that is no comment. Outside an article a part of a name is enough; within one
+        a class has to be the very word, an id that of the comments, and the rest is left to differencing.
+        """
+        classes, ids = (set(x for x in known.get(k, "").lower().split() if not x.startswith(_MODIFIERS)) for k in ("class", "id"))
+        if tag in ("html", "body", "main") or role == "main":
+            return None
+        if tag == "article" or role == "article":
+            return TEMPLATE if classes & _COMMENTS else None
+        if not within:
+            return TEMPLATE if set(_WORD.split(" ".join(classes | ids))) & _TEMPLATE_WORDS else None
+        if classes & _HEADERS:
+            return _TITLE
+        if classes & _TEMPLATE_WORDS or ids & _COMMENTS:
+            return TEMPLATE
+        return LOOSE if set(_WORD.split(" ".join(classes | ids))) & _TEMPLATE_WORDS else None
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self.skipped:
             if tag == self.skipped[-1]:
