@@ -1,7 +1,7 @@
 """Line dedup by site-relative frequency: drop lines that stand on too large a share of a host's pages.
 
-Built-in expressions only. Lines are counted by hash, one row per distinct line of a page, summed in each task before the
-shuffle; a line's text is never moved. A host has at most (mean distinct lines per page / ratio) lines above
+Built-in expressions only. Copies of a text are one page. Lines are counted by hash, one row per distinct line of a page, summed in each task
+before the shuffle; a line's text is never moved. A host has at most (mean distinct lines per page / ratio) lines above
 the ratio, so what meets its pages again is a short list per host.
 """
 
@@ -27,17 +27,16 @@ def _key(line: Column) -> Column:
 
 
 def boilerplate(
-    docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST, copies_once: bool = False
+    docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST
 ) -> DataFrame:
     """(host, lines): hashes of the lines that stand on more than ``ratio`` of the host's pages, and on ``least`` at least.
 
-    Each row is a page; with ``copies_once`` each different text of a host is one, however many rows have it, among the
-    host's pages and among those of a line. Blank lines, null texts and null hosts do not count.
+    Each different text of a host is a page, however many rows have it: copies of a document are no sign of boilerplate. All null texts of a host
+    are one page, without lines. Blank lines and null hosts do not count.
     """
     own = F.array_distinct(F.transform(F.filter(_lines(text), lambda x: F.trim(x) != ""), _key))
     pages = docs.where(F.col(host).isNotNull()).select(F.col(host).alias("host"), _key(F.col(text)).alias("text"), own.alias("own"))
-    if copies_once:
-        pages = pages.dropDuplicates(["host", "text"])
+    pages = pages.dropDuplicates(["host", "text"])
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
     counts = pages.select("host", F.explode("own").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
     often = counts.where(F.col("n") >= least).join(totals, "host").where(F.col("n") > ratio * F.col("pages"))
@@ -45,14 +44,14 @@ def boilerplate(
 
 
 def drop_boilerplate(
-    docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST, copies_once: bool = False
+    docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST
 ) -> DataFrame:
     """``docs`` with the boilerplate lines of each row's host taken out of ``text``; all rows and columns are kept.
 
     Every occurrence of such a line goes, the rest keeps its order. A text all of whose lines go is empty; null stays null, a row
-    with a null host stays as it is, and repeated rows are pages of their own unless ``copies_once``. An empty table gives an empty one.
+    with a null host stays as it is, and repeated rows are one page. An empty table gives an empty one.
     """
-    found = saved(boilerplate(docs, host, text, ratio, least, copies_once), "boilerplate")
+    found = saved(boilerplate(docs, host, text, ratio, least), "boilerplate")
     size = found.agg(F.count("*"), F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()
     few = size[0] <= MOST_HOSTS and size[1] <= MOST_LINES
     found = found.select(F.col("host").alias("_llm_host"), F.col("lines").alias("_llm_lines"))
