@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from weirflow.llm.lines import LEAST, RATIO
 from weirflow.llm.urls import LEAST as PRIOR_LEAST
-from weirflow.llm.urls import LIMIT, MOST, Z
+from weirflow.llm.urls import LIMIT, MOST, SECOND_LEVEL, Z
 
 LINE_DEDUP = f"""
-WITH lines AS (
-    SELECT source, unnest(list_distinct(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''))) AS line
-    FROM documents WHERE source IS NOT NULL AND text IS NOT NULL
+WITH texts AS (
+    SELECT DISTINCT source, text FROM documents WHERE source IS NOT NULL
+), lines AS (
+    SELECT source, unnest(list_distinct(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''))) AS line FROM texts WHERE text IS NOT NULL
 ), totals AS (
-    SELECT source, count(*) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source
+    SELECT source, count(*) AS pages FROM texts GROUP BY source
 ), counts AS (
     SELECT source, line, count(*) AS n FROM lines GROUP BY source, line
 ), often AS (
@@ -30,13 +31,14 @@ def _shrunk(stats: str, parents: str, parent: str) -> str:
     """The members of a level with the mean of their posterior under the prior of their parent."""
     noise = "(q * (1 - q))"
     extra = f"((ss - members * {noise}) / total)"
-    weight = f"CASE WHEN {extra} > 0 THEN least(greatest({noise} / {extra} - 1, {PRIOR_LEAST}), {MOST}) ELSE {MOST} END"
+    weight = f"CASE WHEN total = 0 THEN above WHEN {extra} > 0 THEN least(greatest({noise} / {extra} - 1, {PRIOR_LEAST}), {MOST}) ELSE {MOST} END"
     return f"""(
-    WITH j AS (SELECT s.*, p.mean AS p FROM {stats} s JOIN {parents} p USING ({parent})),
+    WITH j AS (SELECT s.*, p.mean AS p, p.m AS above FROM {stats} s JOIN {parents} p USING ({parent})),
     spread AS (
-        SELECT {parent}, sum(n * pow(bad / n - p, 2)) AS ss, sum(n) AS total, count(*) AS members, any_value(p) AS q FROM j GROUP BY {parent}
+        SELECT {parent}, sum(n * pow(bad / n - p, 2)) FILTER (n > 0) AS ss, sum(n) AS total, count(*) FILTER (n > 0) AS members,
+            any_value(p) AS q, any_value(above) AS above FROM j GROUP BY {parent}
     ), w AS (SELECT {parent}, CAST({weight} AS DOUBLE) AS m FROM spread)
-    SELECT j.* EXCLUDE (p), m, (bad + m * p) / (n + m) AS mean FROM j JOIN w USING ({parent}))"""
+    SELECT j.* EXCLUDE (p, above), m, (bad + m * p) / (n + m) AS mean FROM j JOIN w USING ({parent}))"""
 
 
 URL_FILTERS = f"""
@@ -48,13 +50,19 @@ WITH rest AS (
 ), known AS (
     SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR coalesce(toxic, 0) = 1 THEN 1 WHEN quality IS NULL THEN NULL ELSE 0 END) AS bad
     FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), counted AS (
+    SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name
+    FROM u LEFT JOIN known USING (page_id) WHERE host <> '' GROUP BY host
+), parts AS (
+    SELECT *, string_split(name, '.') AS parts, regexp_full_match(name, '([0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}|\\[.*\\])') AS address FROM counted
+), lengths AS (
+    SELECT *, CASE WHEN len(parts) > 2 AND list_contains({list(SECOND_LEVEL)}, parts[-2]) AND length(parts[-1]) = 2 THEN 2 ELSE 1 END AS last FROM parts
 ), hosts AS (
-    SELECT host, count(*) AS n, sum(bad) AS bad,
-        array_to_string(string_split(host, '.')[greatest(len(string_split(host, '.')) - 1, 1):], '.') AS domain, string_split(host, '.')[-1] AS suffix
-    FROM u JOIN known USING (page_id) WHERE host <> '' AND bad IS NOT NULL GROUP BY host
+    SELECT host, n, bad, CASE WHEN address THEN name ELSE array_to_string(parts[greatest(len(parts) - last, 1):], '.') END AS domain,
+        CASE WHEN address THEN name ELSE array_to_string(parts[greatest(len(parts) - last + 1, 1):], '.') END AS suffix FROM lengths
 ), domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL
 ), suffixes AS (SELECT suffix, 0 AS top, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix
-), tops AS (SELECT top, (sum(bad) + 1) / (sum(n) + 2) AS mean FROM suffixes GROUP BY top
+), tops AS (SELECT top, (sum(bad) + 1) / (sum(n) + 2) AS mean, CAST({MOST} AS DOUBLE) AS m FROM suffixes GROUP BY top HAVING sum(n) > 0
 ), s AS (SELECT * FROM {_shrunk("suffixes", "tops", "top")}
 ), d AS (SELECT * FROM {_shrunk("domains", "s", "suffix")}
 ), h AS (SELECT * FROM {_shrunk("hosts", "d", "domain")}

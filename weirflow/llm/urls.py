@@ -3,7 +3,8 @@
 Labelled pages are binomial outcomes of their host. A host's bad rate is shrunk to that of its registered domain, that one to its
 suffix, and that to the whole table, each by a beta prior whose weight comes from how much the members differ. A host is blocked if the
 lower bound of its posterior bad rate lies above a limit, so a host with little evidence is never blocked by chance.
-Built-in expressions only; the statistics are one row per host, and a page meets them in one join.
+Built-in expressions only. The pages and their outcomes are read once, to make a table of one row per host; each level is a small
+table made of the one before. A page meets the blocked hosts in one join.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weirflow.llm.common import saved
+
 #: Rules of (host with its subdomains, beginning of the path, verdict).
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 #: The posterior bad rate less Z standard deviations must exceed LIMIT. MOST and LEAST bound a prior's weight, in pages.
@@ -45,9 +48,25 @@ def _longest(rules, value) -> Column:
     return chosen
 
 
-def _level(stats: DataFrame, level: str, above: str | None, keep: list[str]) -> DataFrame:
+def _level(stats: DataFrame, *level: str) -> DataFrame:
     """Totals per member of a level, ``stats`` being those of the level below."""
-    return stats.groupBy(level, *([above] if above else []), *keep).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    return saved(stats.groupBy(*level).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "url-level")
+
+
+def with_places(hosts: DataFrame) -> DataFrame:
+    """``hosts`` (host) with their registered ``domain`` and its ``suffix``.
+
+    User and port are no part of a name. A suffix is a name's last part, or its last two where these are as ``co.uk``; the domain has one
+    part more. An address of numbers is its own domain and suffix.
+    """
+    name = F.regexp_replace(F.regexp_replace("host", "^.*@", ""), r":\d*$", "")
+    parts = F.split(name, r"\.")
+    size = F.size(parts)
+    second = F.when(size > 1, F.try_element_at(parts, F.lit(-2))).isin(*SECOND_LEVEL) & (F.length(F.element_at(parts, -1)) == 2)
+    last = F.when((size > 2) & second, 2).otherwise(1)
+    end = lambda n: F.array_join(F.slice(parts, F.greatest(size - n + 1, F.lit(1)), n), ".")
+    address = name.rlike(r"^(\d{1,3}(\.\d{1,3}){3}|\[.*\])$")
+    return hosts.withColumns({"domain": F.when(address, name).otherwise(end(last + 1)), "suffix": F.when(address, name).otherwise(end(last))})
 
 
 def _shrunk(stats: DataFrame, parents: DataFrame, parent: str, least: float, most: float) -> DataFrame:
@@ -78,25 +97,25 @@ def _shrunk(stats: DataFrame, parents: DataFrame, parent: str, least: float, mos
 def host_reputation(outcomes: DataFrame, limit: float = LIMIT, z: float = Z, least: float = LEAST, most: float = MOST, others: DataFrame | None = None) -> DataFrame:
     """(host, n, bad, mean, bound, blocked) of each host in ``outcomes`` (host, bad 0/1), one row per labelled page.
 
-    Hosts of ``others`` (host) without outcomes have n 0 and the posterior of their domain, else of their suffix, else of the table. The
-    suffix is a host's last part, or its last two where these are as ``co.uk``; the registered domain has one part more. No outcomes, no rows.
+    Hosts of ``others`` (host) without outcomes have n 0 and the posterior of their domain, else of their suffix, else of the table; see
+    :func:`with_places` for these. No outcomes, no rows.
     """
-    parts = F.split("host", r"\.")
-    hosts = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+    hosts = outcomes.select("host", F.lit(1).cast("long").alias("n"), F.col("bad").cast("long").alias("bad"))
     if others is not None:
-        hosts = hosts.unionByName(others.select("host", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bad")).distinct())
-        hosts = hosts.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    size = F.size(parts)
-    second = F.when(size > 1, F.try_element_at(parts, F.lit(-2))).isin(*SECOND_LEVEL) & (F.length(F.element_at(parts, -1)) == 2)
-    last = F.when((size > 2) & second, 2).otherwise(1)
-    end = lambda n: F.array_join(F.slice(parts, F.greatest(size - n + 1, F.lit(1)), n), ".")
-    hosts = hosts.withColumns({"domain": end(last + 1), "suffix": end(last)})
-    domains = _level(hosts, "domain", "suffix", [])
-    suffixes = _level(domains, "suffix", None, []).withColumn("top", F.lit(0))
-    top = suffixes.groupBy("top").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    top = top.where("n > 0").withColumn("mean", (F.col("bad") + 1) / (F.col("n") + 2))
-    suffixes = _shrunk(suffixes, top, "top", least, most)
-    domains = _shrunk(domains, suffixes, "suffix", least, most)
+        none = F.lit(0).cast("long")
+        hosts = hosts.unionByName(others.select("host", none.alias("n"), none.alias("bad")))
+    return reputation(hosts.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), limit, z, least, most)
+
+
+def reputation(hosts: DataFrame, limit: float = LIMIT, z: float = Z, least: float = LEAST, most: float = MOST) -> DataFrame:
+    """:func:`host_reputation` from one row per host (host, n, bad)."""
+    hosts = saved(with_places(hosts), "url-hosts")
+    domains = _level(hosts, "domain", "suffix")
+    suffixes = _level(domains, "suffix")
+    top = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where("n > 0")
+    top = top.select(F.lit(0).alias("top"), ((F.col("bad") + 1) / (F.col("n") + 2)).alias("mean"))
+    suffixes = saved(_shrunk(suffixes.withColumn("top", F.lit(0)), top, "top", least, most), "url-suffixes")
+    domains = saved(_shrunk(domains, suffixes, "suffix", least, most), "url-domains")
     hosts = _shrunk(hosts, domains, "domain", least, most)
     weight = F.col("n") + F.col("m") + 1
     bound = F.col("mean") - z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / weight)
@@ -112,8 +131,10 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, **limits) ->
     """
     judged = split_url(pages.select("page_id", "url"))
     known = outcomes.where("page_id is not null and bad is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
-    named = judged.where("host != ''")
-    bad = host_reputation(named.join(known, "page_id").select("host", "bad"), **limits, others=named.select("host")).where("blocked")
+    # One row per host, whether any of its pages has an outcome or none has.
+    hosts = judged.where("host != ''").join(known, "page_id", "left").groupBy("host")
+    hosts = hosts.agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    bad = reputation(hosts, **limits).where("blocked")
     judged = judged.withColumns({"rule": _longest(rules, lambda r: r[0] + r[1]), "by_rule": _longest(rules, lambda r: r[2])})
     return judged.join(bad.select("host", "blocked"), "host", "left").select(
         "page_id",
