@@ -147,6 +147,8 @@ def with_first(pages: DataFrame, least: int = 0) -> DataFrame:
 def write_pages(pages: DataFrame, least: int = 0) -> tuple[str, DataFrame]:
     """Write the pages (page_id, url, html) to archives; their folder, and (path, records) of each archive.
 
+    A task that is lost or repeated leaves a file that no row names.
+
     A null html is an empty payload. Of pages with equal payloads of ``least`` bytes or more that with the smallest page_id is a response, and so are
     rows that repeat its id; the others revisit it. A page without an id is a response. An empty table gives no archive with records.
     """
@@ -166,11 +168,10 @@ def write_pages(pages: DataFrame, least: int = 0) -> tuple[str, DataFrame]:
     def write(batches):
         store, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
         store.create_dir(root)
-        path = f"{root}/pages-{TaskContext.get().partitionId():06d}.warc.zst"
-        attempt = f"{path}.{uuid4().hex}"
-        with store.open_output_stream(attempt, compression=None) as out:
+        # Every attempt has a file of its own. Spark commits the rows of one attempt per task, so the manifest names whole archives only.
+        path = f"{root}/pages-{TaskContext.get().partitionId():06d}-{uuid4().hex}.warc.zst"
+        with store.open_output_stream(path, compression=None) as out:
             n = write_archive(out, rows(batches))
-        store.move(attempt, path)
         yield batch(schema, [path], [n])
 
     written = with_first(pages, least).select("page_id", "url", "payload", "first").mapInArrow(write, "path string, records long")
