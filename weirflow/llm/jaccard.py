@@ -2,11 +2,12 @@
 
 1. ``shingle_table``: each text's set of shingle hashes, known by a hash of the whole set, so equal sets are one.
 2. ``_postings`` and ``_frequent``: groups of sets deal their shingles by ranges of the hash, packed by numpy, and each
-   range finds in how many sets a shingle lies. A shingle of one set only can be in no overlap and ends here.
+   range finds in how many sets a shingle lies. A shingle of one set only can be in no overlap and ends here. One that several sets of a
+   group have is sent once, with their number, so a shingle of very many documents is a row per group and not per document.
 3. ``_live``: per set, its shared shingles, rarest first. A set of n shingles needs ``T = ceil(t * n)`` in common with
    a partner, so two linked sets share one of their ``n - T + 1`` rarest. Most sets have that many of their own
    and are done. Sets that share such a shingle get the same bucket, by connected components.
-4. ``_search``: in a bucket, inverted lists; for each set the short lists are merged by counting, the longest are only
+4. ``_search``: in a bucket, inverted lists; for each set the short lists are merged in order, the longest are only
    probed by binary search for what the short ones left, and overlaps that reach the threshold are links. A bucket too
    large for one task is cut into blocks, and each pair of blocks is searched once.
 
@@ -61,9 +62,10 @@ def _spread(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
-# What blobs hold, column after column: shingles and the place of their set in its group, for shared ones also the number
-# of sets; of a group its sets' ids and sizes. A group's places fit 16 bits, so a shingle is 10 bytes however many ranges there are.
-_POSTINGS, _SHARED, _GROUP = ("u8", "u2"), ("u8", "u4", "u2"), ("i8", "i4")
+# What blobs hold, column after column. _GROUP: a group's sets, their ids and sizes. _POSTINGS: shingles and the place of their set in its
+# group; _SHARED: the same with the number of sets that have it. _COUNTED: shingles of several sets of the group, and that number; where
+# they lie (_OWN) stays with the group. A group's places fit 16 bits, so a shingle is 10 bytes however many ranges there are.
+_KINDS = {"group": ("i8", "i4"), "own": ("u8", "u2"), "postings": ("u8", "u2"), "counted": ("u8", "u4"), "shared": ("u8", "u4", "u2")}
 GROUP_SETS = 60_000
 
 
@@ -84,19 +86,26 @@ def _unpack(kinds: tuple[str, ...], blobs) -> list[np.ndarray]:
 
 
 def _postings(docs: DataFrame, words: int, ranges: int) -> DataFrame:
-    """(part, grp, known, blob): the shingles of groups of sets, dealt by ranges; and, ``known``, the sets of each group."""
-    schema = pa.schema([("part", pa.int32()), ("grp", pa.int64()), ("known", pa.bool_()), ("blob", pa.binary())])
+    """(part, grp, kind, blob): the shingles of groups of sets, dealt by ranges; and what a range only passes on to the group."""
+    schema = pa.schema([("part", pa.int32()), ("grp", pa.int64()), ("kind", pa.string()), ("blob", pa.binary())])
 
     def dealt(grp: int, held: dict[int, np.ndarray]) -> pa.RecordBatch:
         sizes = np.array([len(k) for k in held.values()])
         keys, owner = np.concatenate(list(held.values())), np.repeat(np.arange(len(held)), sizes)
-        goes_to = _spread(keys, ranges)
-        order = np.argsort(goes_to, kind="stable")
-        cuts = np.searchsorted(goes_to[order], np.arange(ranges + 1)).tolist()
-        rows = [(grp % ranges, grp, True, _pack(_GROUP, np.array(list(held)), sizes))]
-        for to, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if a < b:
-                rows.append((to, grp, False, _pack(_POSTINGS, keys[order[a:b]], owner[order[a:b]])))
+        # Ranges are those of the hash, so what is in order by shingle is in order by range.
+        order = np.argsort(keys, kind="stable")
+        keys, owner = keys[order], owner[order]
+        begins = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+        n = np.diff(np.append(begins, len(keys)))
+        once = np.repeat(n == 1, n)
+        rows = [(grp % ranges, grp, "group", _pack(_KINDS["group"], np.array(list(held)), sizes))]
+        if not once.all():
+            rows.append((grp % ranges, grp, "own", _pack(_KINDS["own"], keys[~once], owner[~once])))
+        for kind, columns in (("postings", (keys[once], owner[once])), ("counted", (keys[begins[n > 1]], n[n > 1]))):
+            cuts = np.searchsorted(_spread(columns[0], ranges), np.arange(ranges + 1)).tolist()
+            for to, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                if a < b:
+                    rows.append((to, grp, kind, _pack(_KINDS[kind], *(c[a:b] for c in columns))))
         return batch(schema, *zip(*rows))
 
     def deal(batches):
@@ -115,31 +124,34 @@ def _postings(docs: DataFrame, words: int, ranges: int) -> DataFrame:
                     yield dealt(first + n, held)
                     n += 1
 
-    return docs.select(F.lit(0), "text").mapInArrow(deal, "part int, grp long, known boolean, blob binary")
+    return docs.select(F.lit(0), "text").mapInArrow(deal, "part int, grp long, kind string, blob binary")
 
 
 def _frequent(postings: DataFrame) -> DataFrame:
-    """(grp, known, blob): the shingles that lie in two sets or more, with that number, back in their groups.
+    """(grp, kind, blob): the shingles that lie in two sets or more, with that number, back in their groups.
 
     A set that stands in several groups counts once for each; that makes its shingles seem more frequent, in all places alike.
     """
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        posted = pdf[~pdf["known"]]
-        keys, owner = _unpack(_POSTINGS, posted["blob"])
-        order = np.argsort(keys, kind="stable")
-        n = np.diff(np.append(np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]])), len(keys)))
-        df = np.empty(len(keys), np.int32)
-        df[order] = np.repeat(n, n)
-        cuts = np.cumsum([0, *(len(b) // 10 for b in posted["blob"])]).tolist()
+        posted, counted = pdf[pdf["kind"] == "postings"], pdf[pdf["kind"] == "counted"]
+        keys, owner = _unpack(_KINDS["postings"], posted["blob"])
+        several, n = _unpack(_KINDS["counted"], counted["blob"])
+        every, where = np.unique(np.concatenate([keys, several]), return_inverse=True)
+        df = np.bincount(where, np.concatenate([np.ones(len(keys)), n]), len(every)).astype(np.int64)[where]
         out = []
+        cuts = np.cumsum([0, *(len(b) // 10 for b in posted["blob"])]).tolist()
         for grp, a, b in zip(posted["grp"], cuts[:-1], cuts[1:]):
             at = a + np.flatnonzero(df[a:b] > 1)
             if len(at):
-                out.append((grp, False, _pack(_SHARED, keys[at], df[at], owner[at])))
-        return pd.concat([pdf.loc[pdf["known"], ["grp", "known", "blob"]], pd.DataFrame(out, columns=["grp", "known", "blob"])])
+                out.append((grp, "shared", _pack(_KINDS["shared"], keys[at], df[at], owner[at])))
+        cuts = np.cumsum([0, *(len(b) // 12 for b in counted["blob"])]).tolist()
+        for grp, a, b in zip(counted["grp"], cuts[:-1], cuts[1:]):
+            out.append((grp, "counted", _pack(_KINDS["counted"], several[a:b], df[len(keys) + a : len(keys) + b])))
+        passed = pdf.loc[pdf["kind"].isin(["group", "own"]), ["grp", "kind", "blob"]]
+        return pd.concat([passed, pd.DataFrame(out, columns=["grp", "kind", "blob"])])
 
-    return postings.groupBy("part").applyInPandas(count, "grp long, known boolean, blob binary")
+    return postings.groupBy("part").applyInPandas(count, "grp long, kind string, blob binary")
 
 
 def _needed(n, num: int, den: int):
@@ -152,8 +164,15 @@ def _live(frequent: DataFrame, num: int, den: int) -> DataFrame:
     fields = "set_id long, n int, keys array<long>, prefix int"
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, sizes = _unpack(_GROUP, pdf.loc[pdf["known"], "blob"])
-        keys, df, owner = _unpack(_SHARED, pdf.loc[~pdf["known"], "blob"])
+        got = {kind: _unpack(of, pdf.loc[pdf["kind"] == kind, "blob"]) for kind, of in _KINDS.items()}
+        ids, sizes = got["group"]
+        keys, df, owner = got["shared"]
+        counted, n = got["counted"]
+        if len(counted):
+            order = np.argsort(counted)
+            own, places = got["own"]
+            keys, owner = np.concatenate([keys, own]), np.concatenate([owner, places])
+            df = np.concatenate([df, n[order][np.searchsorted(counted[order], own)]])
         order = np.lexsort((keys, df, owner))
         keys, owner = keys[order].view(np.int64), owner[order]
         cuts = np.append(np.flatnonzero(np.diff(owner.astype(np.int32), prepend=-1)), len(owner)).tolist()
@@ -187,11 +206,11 @@ def search(sets: list[np.ndarray], n: np.ndarray, side: np.ndarray | None, num:
         some = some[np.argsort(size[some], kind="stable")]
         long = min(need - 1, int(need / (PROBE * math.log2(size[some[-1]] + 1) + 1)))
         short, probed = some[: len(some) - long], some[len(some) - long :]
-        merged = np.concatenate([lists[left[i] : right[i]] - mine[i] for i in short.tolist()])
-        found = np.bincount(merged - low, minlength=q - low)
-        who = np.flatnonzero(found >= need - long)
-        found = found[who]
-        who = who + low
+        # Each list is in order: a stable sort merges such runs. How long a run of equal places is, so many lists have it.
+        merged = np.sort(np.concatenate([lists[left[i] : right[i]] - mine[i] for i in short.tolist()]), kind="stable")
+        starts = np.flatnonzero(np.diff(merged, prepend=-1))
+        found = np.diff(np.append(starts, len(merged)))
+        who, found = merged[starts[found >= need - long]], found[found >= need - long]
         for rest, i in zip(range(long - 1, -1, -1), probed.tolist()):
             if not len(who):
                 break
