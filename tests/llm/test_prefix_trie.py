@@ -99,9 +99,8 @@ def test_empty(spark):
     assert prefix_trie(spark.createDataFrame([(None, 1, "user", "x")], SCHEMA)).count() == 0
 
 
-@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
-def test_against_sql(spark, sf):
-    root = f"/root/testdata/{sf}"
+def test_against_sql(spark):
+    root = "/root/testdata/sf0.001"
     con = duck(root)
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{root}/conversations.parquet')")
     assert compare(op12_conversation_prefix_trie(spark, root), con, ORACLE["op12_conversation_prefix_trie"]) is None

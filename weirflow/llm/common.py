@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from weirflow.session import work_dir
+from weirflow.session import stored as saved  # noqa: F401  (a lost executor costs no more than reading it again)
 
 #: Text handled at once in a task, in bytes. Numpy's arrays over it take up to a hundred times as much.
 CHUNK = 1 << 18
@@ -23,13 +23,6 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def saved(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared work folder and read again: a lost executor costs no more than that read."""
-    path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
