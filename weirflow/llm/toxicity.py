@@ -1,8 +1,9 @@
 """Toxicity of documents from the words they mean, after ``deobfuscation`` has read what was written to hide them.
 
 1. All units of all texts are counted; the doubtful ones are decoded under a character model of the plain ones.
-2. For each word, the learning documents that have it are counted by label. A word is evidence if it is more frequent among toxic ones and
-   the likelihood ratio of both rates passes a bound that grows with the number of words tried.
+2. For each word, the learning documents that have it are counted by label. A word is evidence if it is TIMES as frequent among toxic ones and
+   the likelihood ratio of both rates passes a bound that grows with the number of words tried. The first bound keeps out words that are
+   common everywhere: many labels tell their rates apart, however little they differ, and a long text has all of them.
 3. A text's evidence is the sum of the logarithms of those ratios over its different words. A logistic curve over evidence, fitted to all
    learning documents, makes it the probability of label 1.
 
@@ -24,6 +25,8 @@ from weirflow.llm.deobfuscation import batches_of, is_doubtful, is_plain, restor
 
 #: A text is called toxic from this score on.
 THRESHOLD = 0.3
+#: A word of evidence is so many times as frequent among toxic documents as among others.
+TIMES = 4.0
 #: The likelihood ratio statistic of a word of evidence: LEAST, and twice the logarithm of the words tried.
 LEAST = 2.0
 #: Evidence above MOST counts as MOST; the curve is fitted to steps of STEP.
@@ -82,7 +85,7 @@ def evidence(by_word: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     ratio = 2 * (part(t, n_toxic) + part(c, n_clean) + rest(t, n_toxic) + rest(c, n_clean))
     weight = F.log((t + 0.5) / (n_toxic + 1.0)) - F.log((c + 0.5) / (n_clean + 1.0))
     found = by_word.withColumns({"ratio": ratio, "weight": weight})
-    return found.where((F.col("weight") > 0) & (F.col("ratio") > LEAST + 2 * math.log(max(tried, 1)))).select("word", "weight")
+    return found.where((F.col("weight") > math.log(TIMES)) & (F.col("ratio") > LEAST + 2 * math.log(max(tried, 1)))).select("word", "weight")
 
 
 def spellings(words: DataFrame, meant: DataFrame) -> DataFrame:
