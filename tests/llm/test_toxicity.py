@@ -131,3 +131,18 @@ def test_edges(spark):
     assert len({r.score for r in got.where("doc_id in (2, 3)").collect()}) == 1
     assert judge_toxicity(table.limit(0), outcomes).count() == 0
     assert {r.score for r in judge_toxicity(table, outcomes.limit(0)).collect()} == {0.0}
+
+
+def test_copies_of_a_document_are_learnt_from_once(spark):
+    import random
+
+    from weirflow.llm.toxicity import without_copies
+
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(2000)]
+    text = [rnd.choice(words) for _ in range(300)]
+    near = [(i, " ".join([*text[:k], "new", *text[k + 1 :]]), 1) for i, k in enumerate(rnd.sample(range(300), 30))]
+    rows = [*near, *((100 + i, " ".join(text), 1) for i in range(10)), *((200 + i, " ".join(rnd.choice(words) for _ in range(100)), 0) for i in range(40)), (300, "", 1), (301, None, 1)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    kept = {r.doc_id for r in without_copies(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")).collect()}
+    assert kept >= {0, 300, 301} | set(range(200, 240)) and len(kept - set(range(200, 400))) <= 2

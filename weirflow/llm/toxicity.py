@@ -1,10 +1,12 @@
 """Toxicity of documents from the words they mean, after ``deobfuscation`` has read what was written to hide them.
 
 1. All units of all texts are counted; the doubtful ones are decoded under a character model of the plain ones.
-2. For each word, the learning documents that have it are counted by label. A word is evidence if it is TIMES as frequent among toxic ones and
+2. Of learning documents that are copies or near copies of each other, by equal min-hashes of their five-word shingles, one is learnt from: else all
+   words of a toxic document with many copies would tell of toxicity.
+3. For each word, the learning documents that have it are counted by label. A word is evidence if it is TIMES as frequent among toxic ones and
    the likelihood ratio of both rates passes a bound that grows with the number of words tried. The first bound keeps out words that are
    common everywhere: many labels tell their rates apart, however little they differ, and a long text has all of them.
-3. A text's evidence is the sum of the logarithms of those ratios over its different words. A logistic curve over evidence, fitted to all
+4. A text's evidence is the sum of the logarithms of those ratios over its different words. A logistic curve over evidence, fitted to all
    learning documents, makes it the probability of label 1.
 
 Texts are never shuffled: tasks read them with the spellings of the evidence at hand, and hand on one short row per hit.
@@ -20,8 +22,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import saved, ship
+from weirflow.llm.common import batch, chunks, saved, ship
 from weirflow.llm.deobfuscation import batches_of, is_doubtful, is_plain, restore, train, units, vocabulary
+from weirflow.llm.shingles import mix, shingle_sets
 
 #: A text is called toxic from this score on.
 THRESHOLD = 0.3
@@ -31,6 +34,8 @@ TIMES = 4.0
 LEAST = 2.0
 #: Evidence above MOST counts as MOST; the curve is fitted to steps of STEP.
 MOST, STEP = 40.0, 0.05
+#: Words of a shingle, and min-hashes of a text: documents of one label that agree in any of these count once.
+WORDS, HASHES = 5, 4
 #: So many spellings, or labelled ids, are sent to all tasks; beyond that they are met by a shuffle join.
 MOST_SPELLINGS, MOST_IDS = 500_000, 4_000_000
 
@@ -40,10 +45,31 @@ def text_key() -> Column:
     return F.md5(F.coalesce("text", F.lit("")))
 
 
-def learning(docs: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """(text, toxic): the documents with an outcome (doc_id, toxic 0/1)."""
+def without_copies(docs: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """``outcomes`` (doc_id, toxic) without those documents of which a copy or near copy with a smaller doc_id has the same label."""
+    ship(docs.sparkSession)
+    seeds = np.random.default_rng(11).integers(1, 2**63, HASHES, dtype=np.uint64)
+    schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("hashes", pa.list_(pa.int64()))])
+
+    def signed(parts):
+        for part in parts:
+            found = []
+            for texts in chunks(part.column(1)):
+                for keys in shingle_sets(texts, WORDS):
+                    found.append([int(mix(keys ^ seed).min().view(np.int64)) for seed in seeds] if len(keys) else [])
+            yield batch(schema, part.column(0), part.column(2), found)
+
+    known = learning(docs, outcomes, "doc_id").mapInArrow(signed, "doc_id long, toxic int, hashes array<long>")
+    known = saved(known.select("doc_id", "toxic", F.posexplode("hashes").alias("i", "hash")), "label-hashes")
+    first = known.groupBy("toxic", "i", "hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    again = known.join(first, ["toxic", "i", "hash"]).where("doc_id > first").select("doc_id").distinct()
+    return outcomes.join(again, "doc_id", "left_anti")
+
+
+def learning(docs: DataFrame, outcomes: DataFrame, *columns: str) -> DataFrame:
+    """(*columns, text, toxic): the documents with an outcome (doc_id, toxic 0/1)."""
     few = outcomes.limit(MOST_IDS + 1).count() <= MOST_IDS
-    return docs.select("doc_id", "text").join(F.broadcast(outcomes) if few else outcomes, "doc_id").select("text", "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(outcomes) if few else outcomes, "doc_id").select(*columns, "text", "toxic")
 
 
 def units_by_label(learned: DataFrame) -> DataFrame:
@@ -140,13 +166,15 @@ def judge_toxicity(docs: DataFrame, outcomes: DataFrame, threshold: float = THRE
     """All columns of ``docs`` (doc_id, text and others) with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
     ``outcomes`` (doc_id, toxic) are the labels to learn from. Several outcomes of one document count as one, 1 if any is; null ids and
-    nulls do not count, nor do ids without a document. The character model and the spellings come from all texts of ``docs``. A text without evidence, an empty or null
+    nulls do not count, nor do ids without a document; copies and near copies of one label count once. The character model and the spellings come from all texts of ``docs``. A text without evidence, an empty or null
     one too, has the score that such texts have among the learning documents. Repeated rows are learnt from and scored each; columns
     of the two names are replaced. Without any outcome all scores are 0. An empty table gives no rows.
     """
     docs = docs.drop("score", "predicted")
-    outcomes = outcomes.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learned = learning(docs, outcomes)
+    outcomes = outcomes.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    docs_of_labels = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    outcomes = saved(without_copies(docs_of_labels, outcomes), "label-firsts")
+    learned = learning(docs_of_labels, outcomes)
     n = learned.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") != 1).alias("clean")).first()
     if not n.toxic + n.clean:
         return docs.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
