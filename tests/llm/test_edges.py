@@ -134,8 +134,10 @@ def test_lines(docs, spark):
     got = lines.changed_lengths(docs.drop("n_lines"))
     assert got.count() == len(ROWS)
     assert by_id(got)[3]["text"] is None and by_id(got)[4]["text"] == ""
-    page = spark.createDataFrame([(i, "menu\n\nmenu", "s") for i in range(3)] + [(9, f"menu\nown\n", "s")], "doc_id long, text string, source string")
-    assert sorted(r["text"] for r in lines.drop_boilerplate(page).collect()) == ["", "", "", "own\n"]
+    rows = [(i, f"menu\n\nmenu\n{i}", "s") for i in range(3)] + [(9, "menu\nown\n", "s")] + [(20 + i, "copied\nmenu", "s") for i in range(5)]
+    page = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    # Copies are one page, so what only they have stays.
+    assert sorted(r["text"] for r in lines.drop_boilerplate(page).collect()) == sorted(["\n0", "\n1", "\n2", "own\n", *["copied"] * 5])
     assert lines.changed_lengths(docs.limit(0)).count() == 0
 
 
