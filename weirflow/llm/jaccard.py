@@ -62,10 +62,13 @@ def _spread(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
-# What blobs hold, column after column. _GROUP: a group's sets, their ids and sizes. _POSTINGS: shingles and the place of their set in its
-# group; _SHARED: the same with the number of sets that have it. _COUNTED: shingles of several sets of the group, and that number; where
-# they lie (_OWN) stays with the group. A group's places fit 16 bits, so a shingle is 10 bytes however many ranges there are.
-_KINDS = {"group": ("i8", "i4"), "own": ("u8", "u2"), "postings": ("u8", "u2"), "counted": ("u8", "u4"), "shared": ("u8", "u4", "u2")}
+# What blobs hold, column after column. group: its sets, their ids and sizes. postings: shingles and the place of their set in its group;
+# shared: the same with the number of sets that have it. counted: shingles of several sets of the group, and their number there; totals: the
+# same after the number in all groups. own: the places of those sets, shingle by shingle; they stay with the group.
+# A group's places fit 16 bits, so a shingle is 10 bytes however many ranges there are.
+_KINDS = {
+    "group": ("i8", "i4"), "own": ("u2",), "postings": ("u8", "u2"), "counted": ("u8", "u4"), "shared": ("u8", "u4", "u2"), "totals": ("u8", "u4", "u4"),
+}
 GROUP_SETS = 60_000
 
 
@@ -100,7 +103,7 @@ def _postings(docs: DataFrame, words: int, ranges: int) -> DataFrame:
         once = np.repeat(n == 1, n)
         rows = [(grp % ranges, grp, "group", _pack(_KINDS["group"], np.array(list(held)), sizes))]
         if not once.all():
-            rows.append((grp % ranges, grp, "own", _pack(_KINDS["own"], keys[~once], owner[~once])))
+            rows.append((grp % ranges, grp, "own", _pack(_KINDS["own"], owner[~once])))
         for kind, columns in (("postings", (keys[once], owner[once])), ("counted", (keys[begins[n > 1]], n[n > 1]))):
             cuts = np.searchsorted(_spread(columns[0], ranges), np.arange(ranges + 1)).tolist()
             for to, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
@@ -147,7 +150,7 @@ def _frequent(postings: DataFrame) -> DataFrame:
                 out.append((grp, "shared", _pack(_KINDS["shared"], keys[at], df[at], owner[at])))
         cuts = np.cumsum([0, *(len(b) // 12 for b in counted["blob"])]).tolist()
         for grp, a, b in zip(counted["grp"], cuts[:-1], cuts[1:]):
-            out.append((grp, "counted", _pack(_KINDS["counted"], several[a:b], df[len(keys) + a : len(keys) + b])))
+            out.append((grp, "totals", _pack(_KINDS["totals"], several[a:b], df[len(keys) + a : len(keys) + b], n[a:b])))
         passed = pdf.loc[pdf["kind"].isin(["group", "own"]), ["grp", "kind", "blob"]]
         return pd.concat([passed, pd.DataFrame(out, columns=["grp", "kind", "blob"])])
 
@@ -167,12 +170,11 @@ def _live(frequent: DataFrame, num: int, den: int) -> DataFrame:
         got = {kind: _unpack(of, pdf.loc[pdf["kind"] == kind, "blob"]) for kind, of in _KINDS.items()}
         ids, sizes = got["group"]
         keys, df, owner = got["shared"]
-        counted, n = got["counted"]
-        if len(counted):
-            order = np.argsort(counted)
-            own, places = got["own"]
-            keys, owner = np.concatenate([keys, own]), np.concatenate([owner, places])
-            df = np.concatenate([df, n[order][np.searchsorted(counted[order], own)]])
+        # Ascending shingles are the order in which the group keeps the places of their sets.
+        several = np.argsort(got["totals"][0])
+        counted, total, n = (column[several] for column in got["totals"])
+        keys, df = np.concatenate([keys, np.repeat(counted, n)]), np.concatenate([df, np.repeat(total, n)])
+        owner = np.concatenate([owner, *got["own"]])
         order = np.lexsort((keys, df, owner))
         keys, owner = keys[order].view(np.int64), owner[order]
         cuts = np.append(np.flatnonzero(np.diff(owner.astype(np.int32), prepend=-1)), len(owner)).tolist()
