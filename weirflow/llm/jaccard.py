@@ -95,20 +95,23 @@ def _postings(docs: DataFrame, words: int, ranges: int) -> DataFrame:
     def dealt(grp: int, held: dict[int, np.ndarray]) -> pa.RecordBatch:
         sizes = np.array([len(k) for k in held.values()])
         keys, owner = np.concatenate(list(held.values())), np.repeat(np.arange(len(held)), sizes)
-        # Ranges are those of the hash, so what is in order by shingle is in order by range.
         order = np.argsort(keys, kind="stable")
-        keys, owner = keys[order], owner[order]
-        begins = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+        ordered = keys[order]
+        begins = np.flatnonzero(np.diff(ordered, prepend=~ordered[:1]))
         n = np.diff(np.append(begins, len(keys)))
-        once = np.repeat(n == 1, n)
+        once = np.zeros(len(keys), bool)
+        once[order] = np.repeat(n == 1, n)
         rows = [(grp % ranges, grp, "group", _pack(_KINDS["group"], np.array(list(held)), sizes))]
         if not once.all():
-            rows.append((grp % ranges, grp, "own", _pack(_KINDS["own"], owner[~once])))
-        for kind, columns in (("postings", (keys[once], owner[once])), ("counted", (keys[begins[n > 1]], n[n > 1]))):
-            cuts = np.searchsorted(_spread(columns[0], ranges), np.arange(ranges + 1)).tolist()
+            rows.append((grp % ranges, grp, "own", _pack(_KINDS["own"], owner[order][~once[order]])))
+        # Within a range shingles stay set by set: that keeps the places in runs, which shuffles compress.
+        for kind, columns in (("postings", (keys[once], owner[once])), ("counted", (ordered[begins[n > 1]], n[n > 1]))):
+            goes_to = _spread(columns[0], ranges)
+            by_range = np.argsort(goes_to, kind="stable")
+            cuts = np.searchsorted(goes_to[by_range], np.arange(ranges + 1)).tolist()
             for to, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if a < b:
-                    rows.append((to, grp, kind, _pack(_KINDS[kind], *(c[a:b] for c in columns))))
+                    rows.append((to, grp, kind, _pack(_KINDS[kind], *(c[by_range[a:b]] for c in columns))))
         return batch(schema, *zip(*rows))
 
     def deal(batches):
