@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 
 from weirflow.functions.measures import highest, lowest, row_count, total, value_count
 from weirflow.functions.time import duration
-from weirflow.operators.windows import sliding_agg, sliding_from_panes, tumbling_agg
+from weirflow.operators.windows import BLOCK, sliding_agg, sliding_from_panes, tumbling_agg
+from weirflow.plans.catalog import QUERIES
 
 MEASURES = (
     total("v", "v"), row_count("n"), value_count("v", "n_v"), lowest("v", "low"), highest("v", "high"),
@@ -83,3 +84,27 @@ def test_duration():
     for text in ("1 month", "soon", "", "1"):
         with pytest.raises(ValueError):
             duration(text)
+
+
+def test_windows_across_blocks_of_time(spark):
+    """Panes far apart, at the edges of blocks and before the epoch, with and without keys."""
+    block = BLOCK * 10
+    seconds = [b * block + s for b in range(-2, 4) for s in (-61, -50, -10, -1, 0, 9, 10, 49, 50, 300)]
+    events = [(EPOCH + timedelta(seconds=s), k, s) for s in seconds for k in ("a", None)]
+    df = spark.createDataFrame(events, SCHEMA)
+    expected = brute_force(events, timedelta(minutes=1), timedelta(seconds=10))
+    assert rows(sliding_agg(df, ["k"], MEASURES, "1 minute", "10 seconds")) == expected
+    for keys in ([], ["k"]):
+        copied = rows(sliding_agg(df, keys, MEASURES, "1 minute", "10 seconds", panes=False))
+        assert rows(sliding_agg(df, keys, MEASURES, "1 minute", "10 seconds")) == copied
+        assert rows(sliding_agg(df, keys, MEASURES, "65 seconds", "1 second")) == rows(
+            sliding_agg(df, keys, MEASURES, "65 seconds", "1 second", panes=False)
+        )
+
+
+@pytest.mark.parametrize("name", ["sliding_product_revenue", "topn_products_sliding"])
+def test_no_task_gathers_the_copies_of_the_panes(spark, small, name):
+    """The panes are grouped; the windows made of them are neither grouped nor shuffled before the price is joined."""
+    plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2
+    assert plan.index("REPARTITION_BY_NUM") > plan.index("Generate")

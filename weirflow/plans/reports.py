@@ -40,10 +40,10 @@ def product_revenue(
 
 
 def product_units(sales: DataFrame, size: str = "1 minute", slide: str | None = None, watermark: str = "30 seconds") -> DataFrame:
-    """Units per window, region and product id, of sales that need no price yet."""
+    """Units per window, region and product id, of sales that need no price yet. They are dealt out for the price's join."""
     if slide is None:
         return tumbling_agg(sales, PRODUCT_KEYS, SALES[1:], size, watermark)
-    return sliding_agg(sales, PRODUCT_KEYS, SALES[1:], size, slide, watermark)
+    return sliding_agg(sales, PRODUCT_KEYS, SALES[1:], size, slide, watermark, by=["product_id"])
 
 
 def product_revenue_from_panes(panes: DataFrame, size: str = "1 minute", slide: str = "10 seconds") -> DataFrame:
