@@ -4,11 +4,11 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from weirflow.functions.measures import row_count
+from weirflow.functions.measures import row_count, total
 from weirflow.operators.enrich import ROW, join_hot, join_lookup, rows_of
 from weirflow.operators.rank import by_sales, top_n
 from weirflow.operators.sessions import durations_by_window
-from weirflow.operators.windows import tumbling_agg
+from weirflow.operators.windows import open_panes, sliding_agg, tumbling_agg
 from weirflow.plans import reports
 from weirflow.plans.streams import action_stream
 from weirflow.sources.bucketed import bucketed
@@ -106,6 +106,30 @@ def test_a_leaderboard_holds_open_windows_only(spark, tmp_path):
     assert rows(read_leaderboard(spark, path)) == rows(want)
 
 
+def test_a_sliding_leaderboard_holds_each_event_once(spark, tmp_path):
+    """Events out of order, some too late for a few of their windows or for all: the same ranks as with a state row per window."""
+    times = [(0, 25, 31, 44), (70, 12, 33, 59), (95, 41, 38, 62), (180, 65, 71, 99), (200, 101, 119, 150), (201, 155, 99, 161)]
+    for part, seconds in enumerate(times):
+        made = [(s, p, r, 7 * s + p) for s in seconds for p in range(3) for r in ("e", None)]
+        batch = spark.createDataFrame(made, "s long, product_id long, region string, v long").withColumn("event_time", F.timestamp_seconds(F.col("s") + 1_000_000))
+        batch.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    keys, sums, size, slide, delay = ["region", "product_id"], (total("v", "revenue"), row_count("units")), "40 seconds", "10 seconds", "15 seconds"
+
+    def ranked(name, df, sliding):
+        write = leaderboard_writer(str(tmp_path / name), ["product_id"], by_sales(), 2, delay, within=["region"], sliding=sliding)
+        out = str(tmp_path / f"{name}-cp")
+        query = run_stream(df, "update", "batch", checkpoint=out, on_batch=write, available_now=True)
+        most = max(r.state_rows for r in recent_metrics(query).collect())
+        return rows(read_leaderboard(spark, str(tmp_path / name))), most
+
+    want, copies = ranked("copied", sliding_agg(stream, keys, sums, size, slide, delay), None)
+    got, panes = ranked("panes", open_panes(stream, keys, sums, size, slide, delay), (size, slide, sums))
+    whole = top_n(sliding_agg(spark.read.parquet(str(tmp_path / "in")), keys, sums, size, slide), ["window_start", "region"], by_sales(), 2)
+    assert got == want and got != rows(whole)
+    assert panes < copies
+
+
 def test_state_of_the_leaderboard_stream_is_bounded(spark, small, tmp_path):
     events = action_events(read_table(spark, small, "events"))
     for part in range(6):

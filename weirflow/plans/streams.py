@@ -21,6 +21,7 @@ from weirflow.operators.late import backdate_every_nth
 from weirflow.operators.product_mix import closed_only, product_slots, session_product_mix, totals_from_slots
 from weirflow.operators.rank import by_sales, top_n
 from weirflow.operators.sessions import durations_by_window, session_agg
+from weirflow.operators.windows import open_panes
 from weirflow.plans import reports
 from weirflow.plans.catalog import (
     ACTION_GAP,
@@ -404,10 +405,14 @@ def stream_two_outputs(spark, root):
 
 @query("stream_topn_leaderboard")
 def stream_topn_leaderboard(spark, root):
-    """Sliding Top-N in update mode: each batch ranks the windows it touched anew, and closes those the watermark has passed."""
+    """Sliding Top-N in update mode: each batch ranks the windows it touched anew, and closes those the watermark has passed.
+
+    The state holds totals per slide, and the store forms the windows from them.
+    """
     out = work_dir(spark, "leaderboard")
-    revenue = reports.product_revenue(sales_stream(spark, root), SLIDE_SIZE, SLIDE, watermark="30 days")
-    write = leaderboard_writer(f"{out}/store", ["product_id"], by_sales(), 5, "30 days", within=["region"])
+    revenue = open_panes(sales_stream(spark, root), reports.PRODUCT_KEYS, reports.SALES, SLIDE_SIZE, SLIDE, "30 days")
+    sliding = (SLIDE_SIZE, SLIDE, reports.SALES)
+    write = leaderboard_writer(f"{out}/store", ["product_id"], by_sales(), 5, "30 days", within=["region"], sliding=sliding)
     to_the_end(revenue, "update", "batch", out, on_batch=write)
     best = named(zoneless(read_leaderboard(spark, f"{out}/store")), root, "product_name", "category")
     return in_units(reports.ranking_order(best, newest_first=True), "revenue")

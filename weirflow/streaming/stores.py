@@ -10,12 +10,15 @@ stays for some batches more, so whoever has begun to read is not disturbed.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from weirflow.functions.measures import Measure
 from weirflow.functions.time import duration
 from weirflow.operators.rank import top_n
+from weirflow.operators.windows import sliding_from_panes
 from weirflow.streaming.runner import BatchWriter
 
 #: Snapshots that stay beside the current one.
@@ -179,6 +182,7 @@ def leaderboard_writer(
     n: int,
     delay: str,
     within: Sequence[str] = (),
+    sliding: tuple[str, str, Sequence[Measure]] | None = None,
 ) -> BatchWriter:
     """Keep the ``n`` best rows of every window, by ``within``, of an update-mode query over windows.
 
@@ -186,8 +190,18 @@ def leaderboard_writer(
     ranks of the other open ones are carried over. A window is closed once no event may come for it: its end is ``delay``, the query's watermark,
     before the start of a window seen in an earlier batch. Its ranks are then written for good and its totals dropped. So
     what a batch reads and writes is bounded by the windows that are open, not by how long the stream has run.
+
+    With ``sliding``, which is size, slide and measures, the batch brings the totals of :func:`weirflow.operators.windows.open_panes`, and ``delay``
+    is the watermark that was given there. The sliding windows are formed here, so neither the state nor the store holds an event
+    more than once. They are closed by the latest event of the earlier batches: just when the watermark would end their state.
     """
     span = ("window_start", "window_end")
+    late = int(duration(delay).total_seconds() * 1_000_000)
+    # A pane is held until its last window is closed.
+    held_on = timedelta(0) if sliding is None else duration(sliding[0]) - duration(sliding[1])
+
+    def windows(panes: DataFrame) -> DataFrame:
+        return panes if sliding is None else sliding_from_panes(panes, [*within, *keys], sliding[2], *sliding[:2])
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
@@ -195,29 +209,42 @@ def leaderboard_writer(
         last = before[-1] if before else None
         held = batch.persist()
         try:
-            totals, ranks, horizon = held, None, None
-            touched = held.select(*span).distinct()
-            newest = held.agg(F.max(_micros("window_start")).alias("newest"))
+            if sliding is None:
+                totals, touched, seen = held, held.select(*span).distinct(), _micros("window_start")
+            else:
+                totals, seen = held.drop("newest"), F.unix_millis(F.col("newest").cast("timestamp")) * 1000
+                touched = held.select("window_start").distinct().select(F.window("window_start", *sliding[:2]).alias("w"))
+                touched = touched.select(F.col("w.start").alias(span[0]), F.col("w.end").alias(span[1])).distinct()
+            ranks, horizon = None, None
+            newest = held.agg(F.max(seen).alias("newest"))
             if last is not None:
                 mark = spark.read.parquet(f"{path}/mark-{last:012d}")
-                horizon = mark.first().newest
-                newest = newest.unionByName(mark).agg(F.max("newest").alias("newest"))
+                known = mark.first().asDict()
+                horizon, closed_until = known["newest"], known.get("closed_until")
+                newest = newest.unionByName(mark.select("newest")).agg(F.max("newest").alias("newest"))
+                if sliding is not None and closed_until is not None:
+                    # An event of an open window may lie in a pane of closed ones too, for which it is late.
+                    touched = touched.where(_micros("window_end") > closed_until)
                 # Windows that are open are few: as many as the delay is long.
                 old = spark.read.parquet(f"{path}/totals-{last:012d}").withColumn("epoch_id", F.lit(last))
-                both = old.unionByName(held.withColumn("epoch_id", F.lit(epoch)))
+                both = old.unionByName(totals.withColumn("epoch_id", F.lit(epoch)))
                 totals = _latest(both, [*span, *within, *keys]).drop("epoch_id")
                 ranks = spark.read.parquet(f"{path}/ranks-{last:012d}").join(F.broadcast(touched), list(span), "left_anti")
-            fresh = top_n(totals.join(F.broadcast(touched), list(span), "left_semi"), [*span, *within], order, n)
+            fresh = top_n(windows(totals).join(F.broadcast(touched), list(span), "left_semi"), [*span, *within], order, n)
             ranks = fresh if ranks is None else ranks.unionByName(fresh)
-            late = int(duration(delay).total_seconds() * 1_000_000)
-            closed = F.lit(False) if horizon is None else _micros("window_end") <= horizon - late
+            until = None if horizon is None else horizon - late
+
+            def closed(end: Column) -> Column:
+                return F.lit(False) if until is None else F.unix_micros(end.cast("timestamp")) <= until
+
             ranks = ranks.persist()
             try:
-                ranks.where(closed).write.mode("overwrite").parquet(f"{path}/final/epoch_id={epoch}")
-                ranks.where(~closed).write.mode("overwrite").parquet(f"{path}/ranks-{epoch:012d}")
+                ranks.where(closed(F.col("window_end"))).write.mode("overwrite").parquet(f"{path}/final/epoch_id={epoch}")
+                ranks.where(~closed(F.col("window_end"))).write.mode("overwrite").parquet(f"{path}/ranks-{epoch:012d}")
             finally:
                 ranks.unpersist()
-            totals.where(~closed).write.mode("overwrite").parquet(f"{path}/totals-{epoch:012d}")
+            totals.where(~closed(F.col("window_end") + F.lit(held_on))).write.mode("overwrite").parquet(f"{path}/totals-{epoch:012d}")
+            newest = newest.select("newest", F.lit(until).cast("long").alias("closed_until"))
             newest.coalesce(1).write.mode("overwrite").parquet(f"{path}/mark-{epoch:012d}")
         finally:
             held.unpersist()
