@@ -72,3 +72,12 @@ def test_a_micro_batch_does_not_shuffle_the_orders(spark, small, no_broadcast, t
     last = between.rindex("FileScan parquet")
     side = between[between.rindex("+- ", 0, last) :]
     assert "Exchange" not in side
+
+
+@pytest.mark.parametrize("name", ["sliding_product_revenue", "topn_products_sliding", "stream_session_product_mix"])
+def test_many_rows_meet_a_lookup_unsorted(spark, small, no_broadcast, name):
+    """What is joined with a side of small partitions is not sorted for it, so no task holds it for the join."""
+    df = QUERIES[name](spark, small)
+    assert df.collect()
+    final = plan_of(df).split("Initial Plan")[0]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
