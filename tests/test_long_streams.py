@@ -10,6 +10,7 @@ from weirflow.operators.rank import by_sales, top_n
 from weirflow.operators.sessions import durations_by_window
 from weirflow.operators.windows import open_panes, sliding_agg, tumbling_agg
 from weirflow.plans import reports
+from weirflow.plans.catalog import QUERIES
 from weirflow.plans.streams import action_stream
 from weirflow.sources.bucketed import bucketed
 from weirflow.sources.tables import action_events, read_table
@@ -219,6 +220,28 @@ def test_state_is_read_from_the_checkpoint(spark, small, tmp_path):
     assert read_state(spark, str(tmp_path / "cp"), batch=0).count() > last.state_rows
 
 
+def test_state_that_is_not_counted_by_the_batch(spark, small, tmp_path):
+    found = []
+    for counted in (True, False):
+        counts = reports.action_counts(action_stream(spark, small), "1 hour", "30 minutes")
+        run = {"checkpoint": str(tmp_path / f"cp{counted}"), "path": str(tmp_path / f"out{counted}"), "count_state": counted}
+        query = run_stream(counts, "append", "parquet", available_now=True, rocksdb=True, **run)
+        held = recent_metrics(query).orderBy(F.desc("batch_id")).first().state_rows
+        sizes = state_sizes(spark, run["checkpoint"]).first()
+        assert sizes.state_rows > 0 and (held == sizes.state_rows) == counted
+        found.append((sorted(spark.read.parquet(run["path"]).collect()), sizes))
+    assert found[0] == found[1]
+
+
+def test_the_registered_streams_do_not_count_their_state(spark, small, monkeypatch):
+    from weirflow.plans import streams
+
+    counted = []
+    monkeypatch.setattr(streams, "run_stream", lambda *a, **b: (counted.append(b.get("count_state", True)), run_stream(*a, **b))[1])
+    assert QUERIES["stream_session_product_mix"](spark, small).count() > 0
+    assert counted == [False]
+
+
 def test_durations_of_a_table(spark):
     events = spark.createDataFrame([("a", "e", "2025-01-01 10:00"), ("a", "e", "2025-01-01 10:05"), ("b", "e", "2025-01-01 10:58"), ("c", "w", "2025-01-02 00:00")], "u string, region string, t string")
     got = durations_by_window(events.withColumn("event_time", F.col("t").cast("timestamp")), ["u", "region"], ["region"], "10 minutes", "1 hour", "1 hour")

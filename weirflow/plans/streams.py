@@ -142,8 +142,8 @@ def action_stream(spark: SparkSession, root: str) -> DataFrame:
 
 
 def to_the_end(df: DataFrame, mode: str, sink: str, out: str, **options) -> None:
-    """Run over what the source holds, with the checkpoint below ``out`` and the state on disk."""
-    run_stream(df, mode, sink, checkpoint=f"{out}/checkpoint", available_now=True, rocksdb=True, **options)
+    """Run over what the source holds, with the checkpoint below ``out`` and the state on disk. No query here reads the metrics."""
+    run_stream(df, mode, sink, checkpoint=f"{out}/checkpoint", available_now=True, rocksdb=True, count_state=False, **options)
 
 
 def appended(df: DataFrame, purpose: str) -> DataFrame:
