@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weirflow.functions.measures import highest, lowest, row_count, total
 from weirflow.functions.money import in_units, steps
@@ -35,7 +36,7 @@ from weirflow.plans.catalog import (
     placed,
     query,
 )
-from weirflow.session import stored, work_dir
+from weirflow.session import files_of, passing, work_dir
 from weirflow.sources.bucketed import bucketed
 from weirflow.sources.schemas import ORDER_AMOUNT, USER_ACTION, USER_CLICK
 from weirflow.sources.streams import json_folder
@@ -92,11 +93,28 @@ def arriving_lines(spark: SparkSession, root: str, parts: int = 2) -> DataFrame:
         since = (F.unix_micros(F.col("o_orderdate").cast("timestamp")) - F.unix_micros(F.lit(ends[0]).cast("timestamp"))) / 1e6
         part = F.least(F.floor(since * parts / length), F.lit(parts - 1))
     lines = read_table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    dated = stored(lines.join(dates, "l_orderkey", "left").withColumn("part", F.coalesce(part, F.lit(0))).drop("o_orderdate"), "lines-by-date")
+    dated = lines.join(dates, "l_orderkey", "left").withColumn("part", F.coalesce(part, F.lit(0))).drop("o_orderdate")
     files, folder = int(spark.conf.get("spark.sql.shuffle.partitions")), work_dir(spark, "lines")
     for i in range(parts):
-        dated.where(F.col("part") == i).drop("part").repartition(files).write.mode("append").parquet(folder)
-    return spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", files).parquet(folder)
+        # Written as they come out of the join: lines of an order stay together, and neither a copy nor a second shuffle is kept.
+        arrived = dated.where(F.col("part") == i).select(*lines.columns).coalesce(files)
+        with passing(spark):
+            arrived.write.mode("append").option("compression", "zstd").parquet(folder)
+        fill_up(spark, folder, lines.schema, (i + 1) * files)
+    return spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", files).option("cleanSource", "delete").parquet(folder)
+
+
+def fill_up(spark: SparkSession, folder: str, schema: T.StructType, wanted: int) -> None:
+    """Add files without rows to a folder until it holds ``wanted`` of them, so a micro-batch of so many files takes in no rows that come later."""
+    files, where = files_of(spark, folder)
+    there = sum(s.isFile() and not s.getPath().getName().startswith(("_", ".")) for s in files.listStatus(where))
+    if there < wanted:
+        empty = work_dir(spark, "no-lines")
+        spark.createDataFrame([], schema).coalesce(1).write.parquet(empty)
+        source = next(s.getPath() for s in files.listStatus(files_of(spark, empty)[1]) if s.getPath().getName().startswith("part-"))
+        for k in range(there, wanted):
+            target = files_of(spark, f"{folder}/none-{k:06d}.parquet")[1]
+            spark._jvm.org.apache.hadoop.fs.FileUtil.copy(files, source, files, target, False, spark._jsc.hadoopConfiguration())
 
 
 def placed_orders(spark: SparkSession, root: str, how: str | None = None) -> DataFrame:

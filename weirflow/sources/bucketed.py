@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from weirflow.session import work_dir
+from weirflow.session import passing, work_dir
 
 
 def bucketed(df: DataFrame, key: str, purpose: str, buckets: int | None = None) -> DataFrame:
@@ -22,6 +22,8 @@ def bucketed(df: DataFrame, key: str, purpose: str, buckets: int | None = None)
     name = f"{purpose}_{uuid.uuid4().hex}".replace("-", "_")
     # Dealt like the buckets, so each task writes one file.
     dealt = df.repartition(n, key)
-    dealt.write.bucketBy(n, key).sortBy(key).option("path", work_dir(spark, purpose)).format("parquet").saveAsTable(name)
+    with passing(spark):
+        writer = dealt.write.bucketBy(n, key).sortBy(key).option("compression", "zstd")
+        writer.option("path", work_dir(spark, purpose)).format("parquet").saveAsTable(name)
     return spark.table(name)
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from weirflow.operators.enrich import join_hot, rows_of
 from weirflow.streaming.runner import BatchWriter
-from weirflow.streaming.stores import KEPT, _complete, _point, _remove
+from weirflow.session import remove
+from weirflow.streaming.stores import KEPT, _complete, _point
 
 
 class HotKeys:
@@ -39,7 +40,7 @@ class HotKeys:
         _point(spark, f"{self.path}/current", epoch)
         for old in before[:-KEPT]:
             for name in ("current", "sketch"):
-                _remove(spark, f"{self.path}/{name}-{old:012d}")
+                remove(spark, f"{self.path}/{name}-{old:012d}")
         tops = spark.read.parquet(target).unionByName(now)
         tops = tops.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {self.most})")).alias("t"), "n")
         hot = tops.where(F.col("t.count") > F.col("n") * self.share).select(F.col("t.item").alias(self.key))

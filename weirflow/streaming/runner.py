@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import json
 import threading
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from weirflow.session import drop_shuffles, passing, settings_of
+
 MODES = ("append", "update", "complete")
 SINKS = ("console", "memory", "parquet", "kafka", "batch")
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -49,18 +50,6 @@ def check_sink(
         raise ValueError("the batch sink needs a function to hand each batch to")
 
 
-@contextmanager
-def _conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def run_stream(
     df: DataFrame,
     mode: str,
@@ -82,6 +71,9 @@ def run_stream(
     life of the checkpoint; ``rocksdb`` keeps large state on disk instead of in the executors' heap.
     Without ``count_state`` it does not look up each key a second time to keep the metric ``state_rows``, which then means
     nothing; :func:`state_sizes` counts the rows from the checkpoint all the same.
+
+    With ``rocksdb`` a new checkpoint is compressed by zstd. When ``on_batch`` has returned, the shuffle files of its batch are dropped, as are those
+    of each write it made; with other sinks they stay until the driver happens to collect its garbage.
     """
     check_sink(mode, sink, checkpoint, name, path, on_batch)
     writer = df.writeStream.outputMode(mode).options(**(options or {}))
@@ -92,7 +84,13 @@ def run_stream(
         writer = writer.option("checkpointLocation", checkpoint)
     if path is not None:
         writer = writer.option("path", path)
-    writer = writer.foreachBatch(on_batch) if sink == "batch" else writer.format(sink)
+
+    def whole_batch(batch: DataFrame, epoch: int) -> None:
+        with passing(batch.sparkSession):
+            on_batch(batch, epoch)
+        drop_shuffles(batch)
+
+    writer = writer.foreachBatch(whole_batch) if sink == "batch" else writer.format(sink)
 
     # Merge the sessions of a task before the shuffle, so a hot key sends on its sessions and not its rows.
     settings = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
@@ -103,7 +101,11 @@ def run_stream(
         # Upload only what changed since the last commit.
         settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
         settings["spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"] = str(count_state).lower()
-    with _conf(df.sparkSession, settings):
+        settings["spark.sql.streaming.stateStore.rocksdb.compression"] = "zstd"
+        settings["spark.sql.streaming.stateStore.compression.codec"] = "zstd"
+        # Else the log of each partition's files takes 4 MB, however little it says.
+        settings["spark.sql.streaming.stateStore.rocksdb.allowFAllocate"] = "false"
+    with settings_of(df.sparkSession, settings):
         query = writer.start()
     if available_now:
         query.awaitTermination()

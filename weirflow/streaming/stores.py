@@ -19,6 +19,7 @@ from weirflow.functions.measures import Measure
 from weirflow.functions.time import duration
 from weirflow.operators.rank import top_n
 from weirflow.operators.windows import sliding_from_panes
+from weirflow.session import drop_shuffles, files_of, passing, remove
 from weirflow.streaming.runner import BatchWriter
 
 #: Snapshots that stay beside the current one.
@@ -44,6 +45,12 @@ def fan_out(*writers: BatchWriter) -> BatchWriter:
     return write
 
 
+def _write(df: DataFrame, path: str) -> None:
+    """Replace a table of this module. Its shuffle files go as soon as it has been written."""
+    with passing(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
 def snapshot_writer(
     path: str,
     shape: Shape | None = None,
@@ -59,19 +66,14 @@ def snapshot_writer(
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        result = shape(batch) if shape else batch
+        spark, result = batch.sparkSession, shape(batch) if shape else batch
         target = f"{path}/snapshot-{epoch:012d}"
         counted = Observation()
-        (
-            result.observe(counted, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
-            .parquet(target)
-        )
-        spark = batch.sparkSession
+        _write(result.observe(counted, F.count(F.lit(1)).alias("rows")), target)
         _point(spark, f"{path}/current", epoch)
         for old in range(max(0, epoch - KEPT - 8), epoch - KEPT):
             for name in ("current", "snapshot"):
-                _remove(spark, f"{path}/{name}-{old:012d}")
+                remove(spark, f"{path}/{name}-{old:012d}")
         if view is not None:
             spark.read.schema(result.schema).parquet(target).createOrReplaceGlobalTempView(view)
         if report is not None:
@@ -90,21 +92,9 @@ def _point(spark: SparkSession, pointer: str, epoch: int) -> None:
     spark.createDataFrame([(epoch,)], "epoch_id long").coalesce(1).write.mode("overwrite").parquet(f"{pointer}-{epoch:012d}")
 
 
-def _files(spark: SparkSession, path: str):
-    """The file system of a path, as the session knows it, and the path."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this module wrote."""
-    files, where = _files(spark, path)
-    files.delete(where, True)
-
-
 def _names(spark: SparkSession, path: str) -> list[str]:
     """The folders and files right below a path; none if there is no such path."""
-    files, where = _files(spark, path)
+    files, where = files_of(spark, path)
     return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
 
 
@@ -124,7 +114,7 @@ def changes_writer(path: str, shape: Shape | None = None, keys: Sequence[str] |
 
     def write(batch: DataFrame, epoch: int) -> None:
         result = shape(batch) if shape else batch
-        result.write.mode("overwrite").parquet(f"{path}/epoch_id={epoch}")
+        _write(result, f"{path}/epoch_id={epoch}")
         if keys is not None and epoch % every == every - 1:
             _put_in_order(batch.sparkSession, path, keys, epoch)
 
@@ -135,16 +125,16 @@ def _put_in_order(spark: SparkSession, path: str, keys: Sequence[str], epoch: in
     bases = _complete(spark, path, "_current")
     if bases and bases[-1] >= epoch:
         return  # a batch that is written again after its base was made
-    _latest(_changes(spark, path, bases[-1] if bases else None, epoch), keys).write.mode("overwrite").parquet(f"{path}/_base-{epoch:012d}")
+    _write(_latest(_changes(spark, path, bases[-1] if bases else None, epoch), keys), f"{path}/_base-{epoch:012d}")
     _point(spark, f"{path}/_current", epoch)
     # Readers of the base before this one may still ask for what came after it.
     for old in bases[:-1]:
         for name in ("_current", "_base"):
-            _remove(spark, f"{path}/{name}-{old:012d}")
+            remove(spark, f"{path}/{name}-{old:012d}")
     if bases:
         for name in _names(spark, path):
             if name.startswith("epoch_id=") and int(name.partition("=")[2]) <= bases[-1]:
-                _remove(spark, f"{path}/{name}")
+                remove(spark, f"{path}/{name}")
 
 
 def _changes(spark: SparkSession, path: str, base: int | None, until: int | None = None) -> DataFrame:
@@ -207,51 +197,55 @@ def leaderboard_writer(
         spark = batch.sparkSession
         before = [e for e in _complete(spark, path, "current") if e < epoch]
         last = before[-1] if before else None
-        held = batch.persist()
-        try:
-            if sliding is None:
-                totals, touched, seen = held, held.select(*span).distinct(), _micros("window_start")
-            else:
-                totals, seen = held.drop("newest"), F.unix_millis(F.col("newest").cast("timestamp")) * 1000
-                touched = held.select("window_start").distinct().select(F.window("window_start", *sliding[:2]).alias("w"))
-                touched = touched.select(F.col("w.start").alias(span[0]), F.col("w.end").alias(span[1])).distinct()
-            ranks, horizon = None, None
-            newest = held.agg(F.max(seen).alias("newest"))
-            if last is not None:
-                mark = spark.read.parquet(f"{path}/mark-{last:012d}")
-                known = mark.first().asDict()
-                horizon, closed_until = known["newest"], known.get("closed_until")
-                newest = newest.unionByName(mark.select("newest")).agg(F.max("newest").alias("newest"))
-                if sliding is not None and closed_until is not None:
-                    # An event of an open window may lie in a pane of closed ones too, for which it is late.
-                    touched = touched.where(_micros("window_end") > closed_until)
-                # Windows that are open are few: as many as the delay is long.
-                old = spark.read.parquet(f"{path}/totals-{last:012d}").withColumn("epoch_id", F.lit(last))
-                both = old.unionByName(totals.withColumn("epoch_id", F.lit(epoch)))
-                totals = _latest(both, [*span, *within, *keys]).drop("epoch_id")
-                ranks = spark.read.parquet(f"{path}/ranks-{last:012d}").join(F.broadcast(touched), list(span), "left_anti")
-            fresh = top_n(windows(totals).join(F.broadcast(touched), list(span), "left_semi"), [*span, *within], order, n)
-            ranks = fresh if ranks is None else ranks.unionByName(fresh)
-            until = None if horizon is None else horizon - late
-
-            def closed(end: Column) -> Column:
-                return F.lit(False) if until is None else F.unix_micros(end.cast("timestamp")) <= until
-
-            ranks = ranks.persist()
-            try:
-                ranks.where(closed(F.col("window_end"))).write.mode("overwrite").parquet(f"{path}/final/epoch_id={epoch}")
-                ranks.where(~closed(F.col("window_end"))).write.mode("overwrite").parquet(f"{path}/ranks-{epoch:012d}")
-            finally:
-                ranks.unpersist()
-            totals.where(~closed(F.col("window_end") + F.lit(held_on))).write.mode("overwrite").parquet(f"{path}/totals-{epoch:012d}")
-            newest = newest.select("newest", F.lit(until).cast("long").alias("closed_until"))
-            newest.coalesce(1).write.mode("overwrite").parquet(f"{path}/mark-{epoch:012d}")
-        finally:
-            held.unpersist()
+        # The batch is computed once, and then read from the store: its shuffle files are not held while it is ranked.
+        changes, ranked = f"{path}/changes-{epoch:012d}", f"{path}/ranked-{epoch:012d}"
+        _write(batch, changes)
+        drop_shuffles(batch)
+        held = spark.read.schema(batch.schema).parquet(changes)
+        if sliding is None:
+            totals, touched, seen = held, held.select(*span).distinct(), _micros("window_start")
+        else:
+            totals, seen = held.drop("newest"), F.unix_millis(F.col("newest").cast("timestamp")) * 1000
+            touched = held.select("window_start").distinct().select(F.window("window_start", *sliding[:2]).alias("w"))
+            touched = touched.select(F.col("w.start").alias(span[0]), F.col("w.end").alias(span[1])).distinct()
+        recent, ranks, horizon = totals, None, None
+        newest = held.agg(F.max(seen).alias("newest"))
+        if last is not None:
+            mark = spark.read.parquet(f"{path}/mark-{last:012d}")
+            known = mark.first().asDict()
+            horizon, closed_until = known["newest"], known.get("closed_until")
+            newest = newest.unionByName(mark.select("newest")).agg(F.max("newest").alias("newest"))
+            if sliding is not None and closed_until is not None:
+                # An event of an open window may lie in a pane of closed ones too, for which it is late.
+                touched = touched.where(_micros("window_end") > closed_until)
+            # Windows that are open are few: as many as the delay is long.
+            old = spark.read.parquet(f"{path}/totals-{last:012d}").withColumn("epoch_id", F.lit(last))
+            both = old.unionByName(totals.withColumn("epoch_id", F.lit(epoch)))
+            totals = _latest(both, [*span, *within, *keys]).drop("epoch_id")
+            # Nothing older than the first window to be ranked is part of one.
+            first = touched.agg(F.min(_micros(span[0]))).first()[0]
+            recent = totals.where(F.lit(False) if first is None else _micros(span[0]) >= first)
+            ranks = spark.read.parquet(f"{path}/ranks-{last:012d}").join(F.broadcast(touched), list(span), "left_anti")
+        fresh = top_n(windows(recent).join(F.broadcast(touched), list(span), "left_semi"), [*span, *within], order, n)
+        ranks = fresh if ranks is None else ranks.unionByName(fresh)
+        until = None if horizon is None else horizon - late
+
+        def closed(end: Column) -> Column:
+            return F.lit(False) if until is None else F.unix_micros(end.cast("timestamp")) <= until
+
+        _write(ranks, ranked)
+        ranks = spark.read.schema(ranks.schema).parquet(ranked)
+        _write(ranks.where(closed(F.col("window_end"))), f"{path}/final/epoch_id={epoch}")
+        _write(ranks.where(~closed(F.col("window_end"))), f"{path}/ranks-{epoch:012d}")
+        _write(totals.where(~closed(F.col("window_end") + F.lit(held_on))), f"{path}/totals-{epoch:012d}")
+        newest = newest.select("newest", F.lit(until).cast("long").alias("closed_until"))
+        newest.coalesce(1).write.mode("overwrite").parquet(f"{path}/mark-{epoch:012d}")
+        for passed in (changes, ranked):
+            remove(spark, passed)
         _point(spark, f"{path}/current", epoch)
         for old in before[:-KEPT]:
             for name in ("current", "mark", "totals", "ranks"):
-                _remove(spark, f"{path}/{name}-{old:012d}")
+                remove(spark, f"{path}/{name}-{old:012d}")
 
     return write
 
