@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from weirflow.functions.measures import row_count, total
 from weirflow.operators.rank import by_sales, top_n
 from weirflow.operators.windows import open_panes, tumbling_agg
+from weirflow.plans.catalog import QUERIES
 from weirflow.plans.streams import arriving_lines
 from weirflow.session import stored
 from weirflow.streaming import stores
@@ -122,3 +123,12 @@ def test_lines_arrive_in_two_parts_however_few_there_are(spark, tmp_path, days):
     early = [k for k in [None, *range(len(days)), 99] if k not in late]
     key = lambda k: -1 if k is None else k
     assert (sorted(came.get(0, []), key=key), sorted(came.get(1, []), key=key)) == (sorted(early, key=key), late)
+
+
+def test_the_mix_keeps_its_totals_only(spark, small):
+    kinds = ("slots", "sessions", "session-slots", "lines-by-date")
+    before, held = shuffles(spark), {kind: folders_of(spark, kind) for kind in kinds}
+    mix = QUERIES["stream_session_product_mix"](spark, small)
+    # Those of the hot keys, the dates and the end of the slots are of a row each.
+    assert {kind: folders_of(spark, kind) for kind in kinds} == held and len(made_since(spark, before)) <= 3
+    assert mix.count() > 0

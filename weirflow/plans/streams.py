@@ -36,7 +36,7 @@ from weirflow.plans.catalog import (
     placed,
     query,
 )
-from weirflow.session import files_of, passing, work_dir
+from weirflow.session import files_of, passing, remove, stored, stored_meanwhile, work_dir
 from weirflow.sources.bucketed import bucketed
 from weirflow.sources.schemas import ORDER_AMOUNT, USER_ACTION, USER_CLICK
 from weirflow.sources.streams import json_folder
@@ -164,11 +164,12 @@ def to_the_end(df: DataFrame, mode: str, sink: str, out: str, **options) -> None
     run_stream(df, mode, sink, checkpoint=f"{out}/checkpoint", available_now=True, rocksdb=True, count_state=False, **options)
 
 
-def appended(df: DataFrame, purpose: str) -> DataFrame:
-    """Run to the end in append mode and read the Parquet files back."""
-    out = work_dir(df.sparkSession, purpose)
-    to_the_end(df, "append", "parquet", out, path=f"{out}/rows")
-    return zoneless(df.sparkSession.read.schema(df.schema).parquet(f"{out}/rows"))
+def appended(df: DataFrame, purpose: str, out: str | None = None) -> DataFrame:
+    """Run to the end in append mode and read the Parquet files back, from below ``out`` if a folder is given. The checkpoint goes."""
+    out = out or work_dir(df.sparkSession, purpose)
+    to_the_end(df, "append", "batch", out, on_batch=changes_writer(f"{out}/rows"))
+    remove(df.sparkSession, f"{out}/checkpoint")
+    return zoneless(df.sparkSession.read.schema(df.schema).parquet(f"{out}/rows/epoch_id=*"))
 
 
 def snapshot(df: DataFrame, purpose: str, shape: Shape | None = None, view: str | None = None) -> DataFrame:
@@ -292,8 +293,13 @@ def stream_avg_session_duration(spark, root):
 @query("stream_session_product_mix")
 def stream_session_product_mix(spark, root):
     """Product slots are appended by the stream; the mix of the closed sessions is read from them."""
-    slots = appended(product_slots(priced_stream(spark, root), GAP, "30 days"), "slots")
-    mix = session_product_mix(closed_only(totals_from_slots(slots, GAP), slots, GAP))
+    out = work_dir(spark, "slots")
+    slots = appended(product_slots(priced_stream(spark, root), GAP, "30 days"), "slots", out)
+    # Step by step, so the shuffle files of one are gone before the next makes its own.
+    with stored_meanwhile(spark) as keep:
+        totals = stored(closed_only(totals_from_slots(slots, GAP, keep=keep), slots, GAP), "totals")
+    remove(spark, out)
+    mix = session_product_mix(totals)
     return in_units(placed(named(mix, root, "product_name"), root), "product_revenue")
 
 
