@@ -4,6 +4,7 @@ import datetime
 import os
 
 import pytest
+from helpers import rows
 from pyspark.sql import functions as F
 
 from weirflow.functions.measures import row_count, total
@@ -14,7 +15,7 @@ from weirflow.plans.streams import arriving_lines
 from weirflow.session import stored
 from weirflow.streaming import stores
 from weirflow.streaming.runner import run_stream
-from weirflow.streaming.stores import changes_writer, leaderboard_writer, read_leaderboard
+from weirflow.streaming.stores import changes_writer, fan_out, leaderboard_writer, read_leaderboard, read_snapshot, snapshot_writer
 
 
 def shuffles(spark):
@@ -99,6 +100,29 @@ def test_old_totals_take_part_in_windows_that_are_touched(spark, tmp_path):
     assert best == want
 
 
+def test_a_shaped_snapshot_is_made_without_the_shuffle_files_of_its_batch(spark, sales, tmp_path):
+    before, seen = shuffles(spark), []
+
+    def shape(batch):
+        seen.append(len(made_since(spark, before)))
+        return batch.groupBy("product_id").agg(F.sum("units").alias("units"))
+
+    counts, path = tumbling_agg(sales, KEYS, SUMS, "10 seconds", "1 minute"), str(tmp_path / "rows")
+    write = snapshot_writer(path, shape)
+    run_stream(counts, "complete", "batch", checkpoint=str(tmp_path / "cp"), on_batch=write, available_now=True)
+    assert len(seen) >= 3 and not any(seen) and not made_since(spark, before)
+    assert not [n for n in os.listdir(path) if n.startswith("taken")]
+    assert rows(read_snapshot(spark, path)) == [(p, 60) for p in range(4)]
+
+
+def test_several_stores_share_a_batch_that_one_of_them_shapes(spark, sales, tmp_path):
+    counts = tumbling_agg(sales, KEYS, SUMS, "10 seconds", "1 minute")
+    shaped, plain = (snapshot_writer(str(tmp_path / name), shape) for name, shape in (("a", lambda b: b.agg(F.sum("units").alias("n"))), ("b", None)))
+    run_stream(counts, "complete", "batch", checkpoint=str(tmp_path / "cp"), on_batch=fan_out(shaped, plain), available_now=True)
+    assert read_snapshot(spark, str(tmp_path / "a")).first().n == 240
+    assert read_snapshot(spark, str(tmp_path / "b")).agg(F.sum("units")).first()[0] == 240
+
+
 @pytest.mark.parametrize("days", [(0, 1, 60, 61, 62, 63, 64, 100), (0, 100, 100, 100), (5, None), (None, None), ()])
 def test_lines_arrive_in_two_parts_however_few_there_are(spark, tmp_path, days):
     first = datetime.datetime(2024, 1, 1)

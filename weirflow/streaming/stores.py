@@ -66,10 +66,17 @@ def snapshot_writer(
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        spark, result = batch.sparkSession, shape(batch) if shape else batch
+        spark, result, taken = batch.sparkSession, batch, f"{path}/taken-{epoch:012d}"
+        if shape:
+            # The batch is computed once, and then read from the store: its shuffle files are not held while it is shaped.
+            _write(batch, taken)
+            drop_shuffles(batch)
+            result = shape(spark.read.schema(batch.schema).parquet(taken))
         target = f"{path}/snapshot-{epoch:012d}"
         counted = Observation()
         _write(result.observe(counted, F.count(F.lit(1)).alias("rows")), target)
+        if shape:
+            remove(spark, taken)
         _point(spark, f"{path}/current", epoch)
         for old in range(max(0, epoch - KEPT - 8), epoch - KEPT):
             for name in ("current", "snapshot"):
