@@ -72,7 +72,7 @@ def run_stream(
     Without ``count_state`` it does not look up each key a second time to keep the metric ``state_rows``, which then means
     nothing; :func:`state_sizes` counts the rows from the checkpoint all the same.
 
-    With ``rocksdb`` a new checkpoint is compressed by zstd. When ``on_batch`` has returned, the shuffle files of its batch are dropped, as are those
+    With ``rocksdb`` the changes in a new checkpoint are compressed by zstd. When ``on_batch`` has returned, the shuffle files of its batch are dropped, as are those
     of each write it made; with other sinks they stay until the driver happens to collect its garbage.
     """
     check_sink(mode, sink, checkpoint, name, path, on_batch)
@@ -101,7 +101,6 @@ def run_stream(
         # Upload only what changed since the last commit.
         settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
         settings["spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"] = str(count_state).lower()
-        settings["spark.sql.streaming.stateStore.rocksdb.compression"] = "zstd"
         settings["spark.sql.streaming.stateStore.compression.codec"] = "zstd"
         # Else the log of each partition's files takes 4 MB, however little it says.
         settings["spark.sql.streaming.stateStore.rocksdb.allowFAllocate"] = "false"
