@@ -149,10 +149,11 @@ def test_lines_arrive_in_two_parts_however_few_there_are(spark, tmp_path, days):
     assert (sorted(came.get(0, []), key=key), sorted(came.get(1, []), key=key)) == (sorted(early, key=key), late)
 
 
-def test_the_mix_keeps_its_totals_only(spark, small):
-    kinds = ("slots", "sessions", "session-slots", "lines-by-date")
+def test_the_mix_keeps_its_last_step_only(spark, small):
+    kinds = ("slots", "sessions", "session-slots", "totals", "mix", "lines-by-date")
     before, held = shuffles(spark), {kind: folders_of(spark, kind) for kind in kinds}
     mix = QUERIES["stream_session_product_mix"](spark, small)
     # Those of the hot keys, the dates and the end of the slots are of a row each.
     assert {kind: folders_of(spark, kind) for kind in kinds} == held and len(made_since(spark, before)) <= 3
+    assert mix.columns == ["customer_id", "product_id", "session_start", "session_end", "product_units", "product_revenue", "position", "product_name", "region"]
     assert mix.count() > 0

@@ -295,12 +295,15 @@ def stream_session_product_mix(spark, root):
     """Product slots are appended by the stream; the mix of the closed sessions is read from them."""
     out = work_dir(spark, "slots")
     slots = appended(product_slots(priced_stream(spark, root), GAP, "30 days"), "slots", out)
-    # Step by step, so the shuffle files of one are gone before the next makes its own.
+    # Step by step, so the shuffle files of one are gone before the next makes its own; the names, which are long, come last.
     with stored_meanwhile(spark) as keep:
-        totals = stored(closed_only(totals_from_slots(slots, GAP, keep=keep), slots, GAP), "totals")
-    remove(spark, out)
-    mix = session_product_mix(totals)
-    return in_units(placed(named(mix, root, "product_name"), root), "product_revenue")
+        with stored_meanwhile(spark) as keep_parts:
+            totals = keep(closed_only(totals_from_slots(slots, GAP, keep=keep_parts), slots, GAP), "totals")
+        remove(spark, out)
+        mix = keep(session_product_mix(totals), "mix")
+        columns = placed(named(mix, root, "product_name"), root).columns
+        mix = stored(placed(mix, root), "placed-mix")
+    return in_units(named(mix, root, "product_name").select(*columns), "product_revenue")
 
 
 @query("stream_fraud_alerts")
